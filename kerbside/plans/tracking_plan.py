@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,9 +24,10 @@ def frames(
     start: int = PLAYBACK_START,
     end: int = PLAYBACK_END,
     ticks_per_minute: int = 2,
+    order: Sequence[str] = ("datetime",),
 ) -> DataFrame:
     """Position, spots and clock label of each vehicle at each tick."""
-    shown = playback(suggestions, start, end, ticks_per_minute, ids)
+    shown = playback(suggestions, start, end, ticks_per_minute, ids, order)
     minutes = F.col("tick") / F.lit(float(ticks_per_minute))
     return shown.withColumns(
         {"label": clock.clock_label(minutes), "longitude": F.get("vehicle_pos", 0), "latitude": F.get("vehicle_pos", 1)}
