@@ -40,16 +40,25 @@ def centre(name: str, corner: str) -> str:
     return f"CAST({corner} AS DOUBLE) + ({name} + CAST(0.5 AS DOUBLE)) * CAST(0.00025 AS DOUBLE)"
 
 
-def word(digest: str, number: int) -> str:
-    return f"CAST('0x' || substr({digest}, {8 * number + 1}, 8) AS BIGINT)"
+def leading(digest: str, digits: int) -> str:
+    return f"CAST('0x' || substr({digest}, 1, {digits}) AS BIGINT)"
 
 
-def draw(digest: str, number: int) -> str:
-    return f"(({word(digest, number)} + CAST(0.5 AS DOUBLE)) / CAST(4294967296 AS DOUBLE))"
+def draw(seed: str, rank: str) -> str:
+    """Four words to a digest: rank 1 takes the first word of digest 0, rank 5 that of digest 1."""
+    digest = f"md5(concat({seed}, ':', ({rank} - 1) // 4))"
+    word = f"CAST('0x' || substr({digest}, ({rank} - 1) % 4 * 8 + 1, 8) AS BIGINT)"
+    return f"(({word} + CAST(0.5 AS DOUBLE)) / CAST(4294967296 AS DOUBLE))"
 
 
-def moved(coordinate: str, number: int) -> str:
-    steps = f"(floor({draw('noise', number)} * CAST(20 AS DOUBLE)) - 10)"
+# One number per copy, read as digits of the sizes 500, 4, 20 and 20.
+SECONDS = "(number % 500 - 250)"
+EXTRA = "(number // 500 % 4 = 3)"
+EAST = "(number // 2000 % 20 - 10)"
+NORTH = "(number // 40000 % 20 - 10)"
+
+
+def moved(coordinate: str, steps: str) -> str:
     return f"round({coordinate} + {steps} / CAST(100000 AS DOUBLE), 10)"
 
 
@@ -148,17 +157,17 @@ PARTS: dict[str, str] = {
         FROM (
           SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY draw_key, rn) AS pick_no
           FROM (
-            SELECT *, -ln({draw("md5(concat(4040 + CAST(vehicle_id AS BIGINT), ':', rn))", 0)}) / passengers AS draw_key
+            SELECT *, -ln({draw('4040 + CAST(vehicle_id AS BIGINT)', 'rn')}) / passengers AS draw_key
             FROM matched)) WHERE pick_no <= 3""",
     "copied": f"""
-        SELECT t.*, copy, md5(concat_ws(':', 0, copy, trip_key)) AS noise,
+        SELECT t.*, copy, {leading("md5(concat_ws(':', 0, copy, trip_key))", 15)} AS number,
                {moment('datetime')} AS old_start, {moment('dropoff')} AS old_end
         FROM trips t, (VALUES (1), (2)) AS c(copy)""",
     "shifted": f"""
         SELECT *, try_strptime(concat(year(old_start) - 7 * copy, strftime(old_start, '-%m-%d %H:%M:%S')), {STAMP}) AS shifted
         FROM copied""",
     "copied_lines": f"""
-        SELECT part, copy, md5(concat_ws(':', 0, copy, trim(value))) AS noise,
+        SELECT part, copy, {leading("md5(concat_ws(':', 0, copy, trim(value)))", 15)} AS number,
                {moment('part[2]')} AS old_start, {moment('part[3]')} AS old_end,
                CASE WHEN regexp_full_match(part[4], '{INT}') THEN TRY_CAST(trim(part[4]) AS BIGINT) END AS passengers,
                CASE WHEN regexp_full_match(part[6], '{FLOAT}|nan|inf') THEN TRY_CAST(trim(part[6]) AS DOUBLE) END AS longitude,
@@ -168,9 +177,9 @@ PARTS: dict[str, str] = {
         SELECT *, try_strptime(concat(year(old_start) - 7 * copy, strftime(old_start, '-%m-%d %H:%M:%S')), {STAMP}) AS shifted
         FROM copied_lines""",
     "noisy_lines": f"""
-        SELECT *, shifted + to_seconds(CAST(floor({draw('noise', 0)} * CAST(500 AS DOUBLE)) - 250 AS BIGINT)) AS new_start,
-               CASE WHEN {draw('noise', 1)} > 0.75 THEN CAST(passengers + 1 AS VARCHAR) ELSE part[4] END AS carried,
-               {moved('longitude', 2)} AS lon, {moved('latitude', 3)} AS lat
+        SELECT *, shifted + to_seconds({SECONDS}) AS new_start,
+               CASE WHEN {EXTRA} THEN CAST(passengers + 1 AS VARCHAR) ELSE part[4] END AS carried,
+               {moved('longitude', EAST)} AS lon, {moved('latitude', NORTH)} AS lat
         FROM shifted_lines WHERE shifted IS NOT NULL AND old_end IS NOT NULL""",
     "line_copies": f"""
         SELECT array_to_string([part[1], strftime(new_start, {STAMP}), strftime(new_start + (old_end - old_start), {STAMP}),
@@ -186,7 +195,7 @@ PARTS: dict[str, str] = {
               WHERE vehicle_id NOT IN (SELECT CAST(s_suppkey AS VARCHAR) FROM supplier))""",
     "requested": f"""
         SELECT CAST(c_custkey AS VARCHAR) AS vehicle_id,
-               {word("md5('0:draw:' || CAST(c_custkey AS VARCHAR))", 0)} AS h
+               {leading("md5('0:draw:' || CAST(c_custkey AS VARCHAR))", 15)} AS h
         FROM customer""",
     "resolved": """
         SELECT vehicle_id, vehicle_id AS resolved_id FROM requested
@@ -255,11 +264,11 @@ FINAL: dict[str, str] = {
         SELECT event_id, time_slot, CAST(time_slot // 8 AS INTEGER) AS part, CAST(time_slot // 8 * 8 AS INTEGER) AS first_slot,
                CAST(time_slot // 8 * 8 + 7 AS INTEGER) AS last_slot FROM cleaned_positions""",
     "amplify": f"""
-        SELECT trip_key, {moved('longitude', 2)} AS longitude, {moved('latitude', 3)} AS latitude,
+        SELECT trip_key, {moved('longitude', EAST)} AS longitude, {moved('latitude', NORTH)} AS latitude,
                strftime(new_start, {STAMP}) AS datetime, strftime(new_start + (old_end - old_start), {STAMP}) AS dropoff,
-               CAST(passengers + CASE WHEN {draw('noise', 1)} > 0.75 THEN 1 ELSE 0 END AS INTEGER) AS passengers, copy,
+               CAST(passengers + CASE WHEN {EXTRA} THEN 1 ELSE 0 END AS INTEGER) AS passengers, copy,
                CAST(year(shifted) AS INTEGER) AS period_year, CAST(month(shifted) AS INTEGER) AS period_month
-        FROM (SELECT *, shifted + to_seconds(CAST(floor({draw('noise', 0)} * CAST(500 AS DOUBLE)) - 250 AS BIGINT)) AS new_start
+        FROM (SELECT *, shifted + to_seconds({SECONDS}) AS new_start
               FROM shifted WHERE shifted IS NOT NULL)""",
     "amplify_lines": "SELECT value, copy, period_year, period_month FROM line_copies",
     "valid_trips": "SELECT trip_key, passengers, sub_x, sub_y, time_slot FROM cleaned",

@@ -2,22 +2,33 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-DRAWS_PER_DIGEST = 4
+WORDS = 4  # 32-bit words in a digest
 
 
 def digest(*parts: Column) -> Column:
     return F.md5(F.concat_ws(":", *[part.cast("string") for part in parts]))
 
 
-def uniform(hex_digest: Column, number: int = 0) -> Column:
-    """One of the four 32-bit words of a digest as a number strictly between 0 and 1."""
-    word = F.conv(F.substring(hex_digest, 8 * number + 1, 8), 16, 10).cast("double")
-    return (word + F.lit(0.5)) / F.lit(float(2**32))
+def leading(hex_digest: Column, digits: int) -> Column:
+    """The first hexadecimal digits of a digest as a whole number; 15 at most fit."""
+    return F.conv(F.substring(hex_digest, 1, digits), 16, 10).cast("bigint")
+
+
+def uniform(hex_digits: Column, word: Column) -> Column:
+    """The 32-bit word at a 0-based place of a hexadecimal text as a number strictly between 0 and 1."""
+    bits = F.conv(F.substring(hex_digits, word * 8 + 1, F.lit(8)), 16, 10).cast("double")
+    return (bits + F.lit(0.5)) / F.lit(float(2**32))
 
 
-def integer(hex_digest: Column) -> Column:
-    """The first 32-bit word of a digest."""
-    return F.conv(F.substring(hex_digest, 1, 8), 16, 10).cast("bigint")
+def deal(number: Column, sizes: Sequence[int]) -> list[Column]:
+    """Several independent draws from one large number: whole numbers in [0, size) for each size."""
+    rest, drawn = number, []
+    for size in sizes:
+        drawn.append(rest % size)
+        rest = F.call_function("div", rest, F.lit(size))
+    return drawn

@@ -1,8 +1,8 @@
 """A small weighted choice of spots for every vehicle, the same each time it is computed.
 
 Weighted sampling without replacement by exponential keys (Efraimidis and Spirakis, 2006): the k
-smallest ``-ln(u) / weight`` are the draw, in drawing order. u comes from a digest of the vehicle's
-seed and the rank of the spot. A list has at most n spots, so the draw happens inside the row: no
+smallest ``-ln(u) / weight`` are the draw, in drawing order. u comes from digests of the vehicle's seed:
+the spot of rank r takes their r-th 32-bit word. A list has at most n spots, so the draw happens inside the row: no
 exchange, no window, and it runs unchanged on a stream.
 """
 
@@ -25,21 +25,21 @@ def vehicle_seed(vehicle_id: Column) -> Column:
     return F.when(in_range, number + SEED_BASE)
 
 
-def drawable_spots(seed: Column, spots: Column, weights: Column) -> Column:
+def random_digits(seed: Column, words: Column) -> Column:
+    """At least ``words`` random 32-bit words of a seed, as one long hexadecimal text."""
+    blocks = F.sequence(F.lit(0), F.floor((words - 1) / F.lit(float(hashing.WORDS))).cast("int"))
+    return F.array_join(F.transform(blocks, lambda block: hashing.digest(seed, block)), "")
+
+
+def drawable_spots(spots: Column, weights: Column, digits: Column) -> Column:
     """The spots that can be drawn, each with its key. Weight 0 is never drawn."""
 
-    def with_key(item: Column, at: Column) -> Column:
-        u = hashing.uniform(hashing.digest(seed, at + 1))
-        return F.struct(
-            (-F.ln(u) / item["weight"]).alias("key"),
-            at.alias("at"),
-            item["spot"]["longitude"].alias("longitude"),
-            item["spot"]["latitude"].alias("latitude"),
-        )
+    def with_key(spot: Column, at: Column) -> Column:
+        weight = F.get(weights, at)
+        key = -F.ln(hashing.uniform(digits, at)) / weight
+        return F.when(weight > 0, F.struct(key.alias("key"), at.alias("at"), spot.alias("spot")))
 
-    items = F.zip_with(spots, weights, lambda spot, weight: F.struct(spot.alias("spot"), weight.alias("weight")))
-    keyed = F.transform(items, lambda item, at: F.when(item["weight"] > 0, with_key(item, at)))
-    return F.filter(keyed, lambda item: item.isNotNull())
+    return F.filter(F.transform(spots, with_key), lambda item: item.isNotNull())
 
 
 def suggest(matched: DataFrame, k: int = PICKS) -> DataFrame:
@@ -49,7 +49,8 @@ def suggest(matched: DataFrame, k: int = PICKS) -> DataFrame:
     or fewer spots than are asked for can be drawn.
     """
     seeded = compute_once(matched, {"seed": vehicle_seed(F.col("vehicle_id"))})
-    keyed = compute_once(seeded, {"drawable": drawable_spots(F.col("seed"), F.col("spots"), F.col("weights"))})
+    random = compute_once(seeded, {"digits": random_digits(F.col("seed"), F.size("spots"))})
+    keyed = compute_once(random, {"drawable": drawable_spots(F.col("spots"), F.col("weights"), F.col("digits"))})
     possible = (
         F.col("seed").isNotNull()
         & ~F.exists("weights", lambda weight: F.coalesce(weight, F.lit(-1)) < 0)
@@ -57,8 +58,9 @@ def suggest(matched: DataFrame, k: int = PICKS) -> DataFrame:
     )
     drawn = F.slice(F.sort_array("drawable"), F.lit(1), F.when(possible, F.lit(k)).otherwise(F.lit(0)))
     chosen = compute_once(keyed, {"drawn": drawn})
-    lon, lat = from_spots(F.col("drawn"))
-    return chosen.withColumns({"spot_lon": lon, "spot_lat": lat}).drop("seed", "spots", "weights", "drawable", "drawn")
+    lon, lat = from_spots(F.col("drawn.spot"))
+    answered = chosen.withColumns({"spot_lon": lon, "spot_lat": lat})
+    return answered.drop("seed", "digits", "spots", "weights", "drawable", "drawn")
 
 
 def suggestions(

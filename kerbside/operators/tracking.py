@@ -40,7 +40,7 @@ def resolve_ids(requested: DataFrame, known: DataFrame, tracked: DataFrame, seed
     total = free.agg(F.count("*").alias("total")).scalar()
 
     found = requested.join(members, "vehicle_id", "left_semi").withColumn("resolved_id", F.col("vehicle_id"))
-    drawn = hashing.integer(hashing.digest(F.lit(seed), F.lit("draw"), F.col("vehicle_id")))
+    drawn = hashing.leading(hashing.digest(F.lit(seed), F.lit("draw"), F.col("vehicle_id")), 15)
     unknown = requested.join(members, "vehicle_id", "left_anti").withColumn("place", drawn % F.nullif(total, F.lit(0)))
     replaced = unknown.join(free.withColumnRenamed("vehicle_id", "resolved_id"), "place", "left").drop("place")
     return found.unionByName(replaced)

@@ -22,7 +22,7 @@ YEARS_PER_COPY = 7
 JITTER_SECONDS = 250  # pick-up time moves by [-250, 250) seconds
 JITTER_STEPS = 10  # coordinates move by [-10, 10) steps
 STEPS_PER_DEGREE = 100000  # one step is 1e-5 degrees
-EXTRA_PASSENGER_ABOVE = 0.75  # a draw above this adds one passenger
+EXTRA_PASSENGER_ONE_IN = 4  # one copy in four gets one passenger more
 
 
 @dataclass(frozen=True)
