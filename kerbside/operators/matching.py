@@ -55,8 +55,8 @@ def match_spots(positions: DataFrame, hotspots: DataFrame, broadcast: str | None
         # Row hash and input partition are both stable under task retries; the partition number
         # also spreads exact copies of one row.
         spread = F.xxhash64("vehicle_id", "datetime") + F.spark_partition_id()
-        positions = positions.withColumn("salt", F.pmod(spread, F.lit(salt)))
-        offers = offers.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))).cast("bigint"))
+        positions = positions.withColumn("salt", F.pmod(spread, F.lit(salt)).cast("int"))
+        offers = offers.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
         keys.append("salt")
     joined = positions.join(offers, keys, "inner")
     return joined.withColumn("vehicle_pos", F.array("longitude", "latitude")).drop("salt", "longitude", "latitude")

@@ -1,0 +1,69 @@
+"""Delimited lines to records."""
+
+import pytest
+
+from kerbside.plans.hotspot_job import run
+from kerbside.sources.tables import ParquetTable, read_table
+from kerbside.sources.text import LineFormat, parse_delimited, positions_from_lines, trips_from_lines
+
+GOOD = "V1,2013-01-01 00:00:00,2013-01-01 00:05:00,3,1.5,-73.98,40.75"
+
+
+def lines(spark, *values):
+    return spark.createDataFrame([(value,) for value in values], "value string")
+
+
+def test_fields_by_position_and_type(spark):
+    line_format = LineFormat(";", {"field1": (3, "int"), "field2": (1, "str")})
+    assert [tuple(row) for row in parse_delimited(lines(spark, "a;b;c;4;e"), line_format).collect()] == [(4, "b")]
+    assert parse_delimited(lines(spark, "a;b"), line_format).count() == 0
+
+
+@pytest.mark.parametrize("delimiter", ["|", ".", "\\", "\t", "||", "^"])
+def test_delimiters_are_taken_literally(spark, delimiter):
+    line_format = LineFormat(delimiter, {"a": (0, "int"), "b": (2, "str")})
+    assert tuple(parse_delimited(lines(spark, delimiter.join(["1", "x", "y"])), line_format).first()) == (1, "y")
+
+
+@pytest.mark.parametrize(
+    ("line", "kept"),
+    [
+        (GOOD, True),
+        (GOOD + ",1,N,,x,2.5", True),
+        (GOOD.replace(",3,", ", 3 ,"), True),
+        ("vendor,pickup,dropoff,passengers,distance,longitude,latitude", False),
+        ("V1,2013-01-01 00:00:00", False),
+        (GOOD.replace(",3,", ",3.0,"), False),
+        (GOOD.replace(",3,", ",,"), False),
+        (GOOD.replace(",3,", ",x,"), False),
+        (GOOD.replace("-73.98", "3d"), False),
+        (GOOD.replace("-73.98", "nan"), True),  # a number, but without a cell
+        ("", False),
+    ],
+)
+def test_trip_lines(spark, line, kept):
+    assert trips_from_lines(lines(spark, line)).count() == int(kept)
+
+
+def test_position_lines_are_stripped(spark):
+    row = positions_from_lines(lines(spark, "40.75\t-73.98\t2014-08-01 10:00:00\tbus 7 \r")).first()
+    assert (row.latitude, row.longitude, row.datetime, row.vehicle_id) == (40.75, -73.98, "2014-08-01 10:00:00", "bus 7")
+
+
+def test_text_to_stored_hotspots(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("header\n" + GOOD + "\n")
+    (tmp_path / "in" / "b.csv").write_text(GOOD + "\n" + GOOD.replace("-73.98", "inf") + "\n")
+    target = ParquetTable(str(tmp_path / "out"))
+    run(spark, str(tmp_path / "in" / "*.csv"), target)
+    stored = read_table(spark, target)
+    assert stored.count() == 9
+    own = stored.filter("time_slot = 0").first()
+    assert own.passengers == [6]
+    assert stored.filter("time_slot = 143").count() == 8
+
+
+def test_splitting_happens_once(spark, plan):
+    """The filter must read the parts, not split the line again for every condition."""
+    text = plan(trips_from_lines(lines(spark, GOOD)))
+    assert text.count("split(") == 1
