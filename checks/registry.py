@@ -53,17 +53,6 @@ def stored_hotspots(spark: SparkSession, sf_dir: str) -> tables.ParquetTable:
     return table
 
 
-def spread_picks(answers: DataFrame) -> DataFrame:
-    picks = F.arrays_zip("spot_lon", "spot_lat")
-    kept = [name for name in answers.columns if name not in ("spot_lon", "spot_lat", "vehicle_pos")]
-    return answers.select(
-        *kept,
-        F.get("vehicle_pos", 0).alias("vehicle_lon"),
-        F.get("vehicle_pos", 1).alias("vehicle_lat"),
-        F.posexplode_outer(picks).alias("at", "pick"),
-    ).select(*kept, "vehicle_lon", "vehicle_lat", (F.col("at") + 1).alias("pick_no"), "pick.spot_lon", "pick.spot_lat")
-
-
 # Sources and sinks
 
 def parse_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -252,14 +241,14 @@ def slot_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def suggest(spark: SparkSession, sf_dir: str) -> DataFrame:
     matched = matching.match_spots(cleaned_positions(spark, sf_dir), folded(spark, sf_dir))
-    picks = spread_picks(sampling.suggest(matched))
+    picks = sampling.explode_picks(sampling.suggest(matched))
     return picks.select("event_id", "vehicle_id", "pick_no", "spot_lon", "spot_lat")
 
 
 def suggestions(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = stored_hotspots(spark, sf_dir)
     positions = fixtures.positions(spark, sf_dir)
-    return spread_picks(suggestion_job.suggest_history(spark, positions, table, keep=("event_id",)))
+    return sampling.explode_picks(suggestion_job.suggest_history(spark, positions, table, keep=("event_id",)))
 
 
 def stream_suggestions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -267,9 +256,11 @@ def stream_suggestions(spark: SparkSession, sf_dir: str) -> DataFrame:
     fixtures.position_messages(spark, sf_dir).select("value").repartition(4, "value").write.text(inbox)
     incoming = messages.read_messages(spark, "text", {"path": inbox, "maxFilesPerTrigger": "2"})
     table = stored_hotspots(spark, sf_dir)
-    state = scratch_dir(spark, "state")
-    live.run_suggestions(incoming, table, answers, state, cache=False, available_now=True).awaitTermination()
-    return spread_picks(live.read_suggestions(spark, answers))
+    query = live.run_suggestions(
+        incoming, lambda: tables.read_table(spark, table), answers, scratch_dir(spark, "state"), available_now=True
+    )
+    query.awaitTermination()
+    return sampling.explode_picks(live.read_suggestions(spark, answers))
 
 
 def track_frames(spark: SparkSession, sf_dir: str) -> DataFrame:

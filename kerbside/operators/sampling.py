@@ -74,3 +74,16 @@ def suggestions(
     """Cleaned positions to the rows of the suggestions table; ``keep`` names columns to carry along."""
     answered = suggest(match_spots(positions, hotspots, broadcast, salt), k)
     return answered.select("vehicle_id", "vehicle_pos", "spot_lon", "spot_lat", "datetime", *keep)
+
+
+def explode_picks(answers: DataFrame) -> DataFrame:
+    """Suggestions as one row per suggested spot, numbered by ``pick_no``, for sinks without arrays.
+
+    An answer without spots stays as one row with nulls.
+    """
+    kept = [name for name in answers.columns if name not in ("spot_lon", "spot_lat", "vehicle_pos")]
+    place = [F.get("vehicle_pos", at).alias(name) for at, name in enumerate(("vehicle_lon", "vehicle_lat"))]
+    picks = F.posexplode_outer(F.arrays_zip("spot_lon", "spot_lat")).alias("at", "pick")
+    return answers.select(*kept, *place, picks).select(
+        *kept, "vehicle_lon", "vehicle_lat", (F.col("at") + 1).alias("pick_no"), "pick.spot_lon", "pick.spot_lat"
+    )

@@ -7,8 +7,10 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
+from kerbside.operators.cleaning import CELL_KEYS
 from kerbside.operators.ranking import hotspots
 from kerbside.params import TOP_N
 from kerbside.session import build_session
@@ -20,8 +22,17 @@ def hotspots_from_text(spark: SparkSession, paths: str | list[str], n: int = TOP
     return hotspots(trips_from_lines(read_lines(spark, paths)), n)
 
 
-def run(spark: SparkSession, paths: str | list[str], target: Table, n: int = TOP_N, mode: str = "overwrite") -> None:
-    write_table(hotspots_from_text(spark, paths, n), target, mode, sort_by=("block_latid", "block_lonid"))
+def run(
+    spark: SparkSession, paths: str | list[str], target: Table, n: int = TOP_N, mode: str = "overwrite"
+) -> dict[str, int]:
+    """Runs the job and returns how many rows and spots were written, counted while writing."""
+    written = Observation("hotspots")
+    rows = hotspots_from_text(spark, paths, n)
+    counted = rows.observe(
+        written, F.count("*").alias("rows"), F.coalesce(F.sum(F.size("passengers")), F.lit(0)).alias("spots")
+    )
+    write_table(counted, target, mode, sort_by=CELL_KEYS)
+    return written.get
 
 
 def main() -> None:
@@ -30,7 +41,7 @@ def main() -> None:
     args.add_argument("--output", required=True)
     args.add_argument("--top", type=int, default=TOP_N)
     given = args.parse_args()
-    run(build_session("hotspots"), given.input, ParquetTable(given.output), given.top)
+    print(run(build_session("hotspots"), given.input, ParquetTable(given.output), given.top))
 
 
 if __name__ == "__main__":

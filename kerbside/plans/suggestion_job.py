@@ -17,7 +17,7 @@ from kerbside.params import PICKS
 from kerbside.session import build_session
 from kerbside.sources.messages import kafka_options, read_messages
 from kerbside.sources.tables import ParquetTable, Table, read_table
-from kerbside.streaming.suggestions import run_suggestions
+from kerbside.streaming.suggestions import load_hotspots, run_suggestions
 
 # A stored spot takes 24 bytes in its arrays, so this many take about half a gigabyte in an executor.
 # That is worth it: the positions, by far the larger side, are then not shuffled at all.
@@ -48,8 +48,8 @@ def main() -> None:
     spark = build_session("suggestions")
     options = kafka_options(given.brokers, given.topic, given.partitions, given.start_offset)
     messages = read_messages(spark, "kafka", options)
-    table = ParquetTable(given.hotspots)
-    run_suggestions(messages, table, given.output, given.checkpoint, given.picks).awaitTermination()
+    hotspots = load_hotspots(spark, ParquetTable(given.hotspots))
+    run_suggestions(messages, hotspots, given.output, given.checkpoint, given.picks).awaitTermination()
 
 
 if __name__ == "__main__":

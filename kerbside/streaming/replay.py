@@ -15,25 +15,27 @@ from kerbside.session import scratch_dir
 from kerbside.sources.messages import MESSAGE_FIELDS, encode_positions
 
 ROWS_PER_SECOND = 1000
-PARTS = 200  # range partitions of the stored replay, and a bound for the file list below
 ROWS_PER_FILE = 10_000_000
 
 
-def prepare_replay(positions: DataFrame, path: str, parts: int = PARTS) -> None:
+def prepare_replay(positions: DataFrame, path: str) -> None:
     """Stores positions with ``seq`` 0, 1, 2, ... in time order.
 
-    One range shuffle, no global sort in one task. Sorted files are written first; a row's number is
-    then the number of rows in the files before plus its place in its own file. The input partition is
-    the last sort key, so that even exact copies can be split over tasks.
+    One range shuffle, as wide as ``spark.sql.shuffle.partitions``, and no global sort in one task.
+    Sorted files are written first; a row's number is then the number of rows in the files before plus
+    its place in its own file. The input partition is the last sort key, so that even exact copies can
+    be split over tasks.
     """
     spark = positions.sparkSession
     staged = scratch_dir(spark, "replay")
     keys = ["datetime", "vehicle_id", "longitude", "latitude", "origin"]
     ordered = positions.select(*MESSAGE_FIELDS, F.spark_partition_id().alias("origin"))
-    ordered.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).drop("origin").write.parquet(staged)
+    ordered.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("origin").write.parquet(staged)
 
     stored = spark.read.parquet(staged).select(
-        *MESSAGE_FIELDS, F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("at")
+        *MESSAGE_FIELDS,
+        F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1).cast("int").alias("file"),
+        F.col("_metadata.row_index").alias("at"),
     )
     before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
@@ -41,7 +43,7 @@ def prepare_replay(positions: DataFrame, path: str, parts: int = PARTS) -> None:
         .agg(F.count("*").alias("members"))
         .select("file", F.coalesce(F.sum("members").over(before), F.lit(0)).alias("start"))
     )
-    # At most one file per range partition, so this side is bounded by ``parts``.
+    # One row per range partition at most: the setting above bounds what is broadcast.
     numbered = stored.join(F.broadcast(starts), "file").select(
         *MESSAGE_FIELDS, (F.col("start") + F.col("at")).alias("seq")
     )

@@ -27,11 +27,12 @@ INTERVAL = "1 second"
 BROADCAST_ROWS = 500_000
 
 
-def load_hotspots(spark: SparkSession, table: Table, cache: bool = True) -> DataFrame:
-    """The static side. Cached, a lost block is read again from the table. Without the cache each
-    micro-batch reads just the slots it needs and sees the newest table."""
-    hotspots = read_table(spark, table)
-    return hotspots.persist(StorageLevel.MEMORY_AND_DISK) if cache else hotspots
+def load_hotspots(spark: SparkSession, table: Table) -> DataFrame:
+    """The hotspots kept in memory, for ``run_suggestions``; a lost block is read again from the table.
+
+    The caller owns the copy: ``unpersist`` it when the query has ended or the table has been renewed.
+    """
+    return read_table(spark, table).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def answer_batch(batch: DataFrame, hotspots: DataFrame, k: int = PICKS) -> DataFrame | None:
@@ -65,22 +66,23 @@ def batch_writer(
 
 def run_suggestions(
     messages: DataFrame,
-    table: Table,
+    hotspots: DataFrame | Callable[[], DataFrame],
     path: str,
     checkpoint: str,
     k: int = PICKS,
-    cache: bool = True,
     available_now: bool = False,
     cells: Grid = GRID,
     slots: Slots = SLOTS,
 ) -> StreamingQuery:
     """Starts the query. ``messages`` has the JSON bodies in ``value`` (see ``sources.messages``).
 
-    ``available_now`` works through what is there and stops; otherwise a batch runs every second.
+    ``hotspots`` is the static side, usually from ``load_hotspots``. A function is called for every
+    micro-batch instead; one that reads the table anew sees the newest hotspots, and reads only the
+    slots it needs. ``available_now`` works through what is there and stops; otherwise a batch runs
+    every second. A checkpoint belongs to one ``path``.
     """
-    spark = messages.sparkSession
-    kept = load_hotspots(spark, table) if cache else None
-    write = batch_writer(lambda: kept if cache else read_table(spark, table), path, k, cells, slots)
+    current = hotspots if callable(hotspots) else lambda: hotspots
+    write = batch_writer(current, path, k, cells, slots)
     query = messages.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     query = query.trigger(availableNow=True) if available_now else query.trigger(processingTime=INTERVAL)
     return query.start()

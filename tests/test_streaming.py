@@ -20,7 +20,7 @@ from kerbside.streaming import replay, suggestions as live
 
 @pytest.fixture(scope="module")
 def table(spark, sf, tmp_path_factory):
-    stored = ParquetTable(str(tmp_path_factory.mktemp("live") / "hotspots"))
+    stored = ParquetTable(str(tmp_path_factory.mktemp("live") / "hotspots"), partition_by=())
     write_table(ranking.hotspots(fixtures.trips(spark, sf)), stored, "overwrite")
     return stored
 
@@ -32,11 +32,10 @@ def inbox(spark, sf, tmp_path):
     return tmp_path / "inbox"
 
 
-def start(spark, inbox, table, tmp_path, **options):
+def start(spark, inbox, table, tmp_path, hotspots=None):
     incoming = read_messages(spark, "text", {"path": str(inbox), "maxFilesPerTrigger": "1"})
-    query = live.run_suggestions(
-        incoming, table, str(tmp_path / "answers"), str(tmp_path / "state"), available_now=True, **options
-    )
+    static = read_table(spark, table) if hotspots is None else hotspots
+    query = live.run_suggestions(incoming, static, str(tmp_path / "answers"), str(tmp_path / "state"), available_now=True)
     query.awaitTermination()
     return query
 
@@ -49,13 +48,21 @@ def expected(spark, sf, table):
     return rows(suggestions(clean_positions(fixtures.positions(spark, sf)), read_table(spark, table)))
 
 
-@pytest.mark.parametrize("cache", [True, False])
-def test_stream_equals_batch(spark, sf, inbox, table, tmp_path, cache):
-    start(spark, inbox, table, tmp_path, cache=cache)
+def test_stream_equals_batch(spark, sf, inbox, table, tmp_path):
+    kept = live.load_hotspots(spark, table)
+    start(spark, inbox, table, tmp_path, kept)
+    kept.unpersist()
     assert rows(live.read_suggestions(spark, str(tmp_path / "answers"))) == expected(spark, sf, table)
     assert len(list((tmp_path / "answers").glob("batch_id=*"))) == 3
 
 
+def test_hotspots_are_read_anew_for_every_batch(spark, sf, inbox, table, tmp_path):
+    reads = []
+    start(spark, inbox, table, tmp_path, lambda: reads.append(1) or read_table(spark, table))
+    assert len(reads) == 3
+    assert rows(live.read_suggestions(spark, str(tmp_path / "answers"))) == expected(spark, sf, table)
+
+
 def test_large_batches_are_not_broadcast(spark, sf, inbox, table, tmp_path, monkeypatch):
     monkeypatch.setattr(live, "BROADCAST_ROWS", 10)
     start(spark, inbox, table, tmp_path)
@@ -92,12 +99,15 @@ def test_plain_stream_join(spark, sf, inbox, table, tmp_path):
     assert rows(spark.read.parquet(str(tmp_path / "answers"))) == expected(spark, sf, table)
 
 
-def test_answer_batch_plan(spark, sf, table, plan):
+def test_answer_batch_plan(spark, sf, tmp_path, plan):
+    table = ParquetTable(str(tmp_path / "hotspots"))
+    write_table(ranking.hotspots(fixtures.trips(spark, sf)), table, "overwrite")
     batch = clean_positions(fixtures.positions(spark, sf)).filter("time_slot < 3").persist()
     text = plan(live.answer_batch(batch, read_table(spark, table)))
     assert "BroadcastHashJoin" in text and re.search(r"PartitionFilters: \[[^\]]*time_slot#\d+ IN \(0,1,2\)", text)
     assert "Python" not in text
     assert live.answer_batch(batch.limit(0), read_table(spark, table)) is None
+    batch.unpersist()
 
 
 def test_compacted_answers_are_the_same(spark, inbox, table, tmp_path):
@@ -152,7 +162,7 @@ def test_replay_numbers_rows_in_time_order(spark, sf, tmp_path):
     # Copies of one row, more than a third of everything.
     copies = positions.limit(1).crossJoin(spark.range(700)).drop("id")
     everything = positions.unionByName(copies).repartition(6)
-    replay.prepare_replay(everything, str(tmp_path / "replay"), parts=5)
+    replay.prepare_replay(everything, str(tmp_path / "replay"))
     stored = spark.read.parquet(str(tmp_path / "replay")).orderBy("seq").collect()
     assert [row.seq for row in stored] == list(range(positions.count() + 700))
     assert [row.datetime for row in stored] == sorted(row.datetime for row in everything.collect())
@@ -167,14 +177,14 @@ def test_replay_wraps_round(spark, first, last):
 
 
 def test_replay_reads_only_what_is_due(spark, sf, tmp_path, plan):
-    replay.prepare_replay(fixtures.positions(spark, sf), str(tmp_path / "replay"), parts=2)
+    replay.prepare_replay(fixtures.positions(spark, sf), str(tmp_path / "replay"))
     table = spark.read.parquet(str(tmp_path / "replay"))
     ticks = spark.range(5, 9).withColumnRenamed("id", "value")
     assert "GreaterThanOrEqual(seq,5), LessThanOrEqual(seq,8)" in plan(replay.replay_rows(ticks, table, table.count()))
 
 
 def test_replay_runs_at_its_rate(spark, sf, tmp_path):
-    replay.prepare_replay(fixtures.positions(spark, sf), str(tmp_path / "replay"), parts=2)
+    replay.prepare_replay(fixtures.positions(spark, sf), str(tmp_path / "replay"))
     sent = []
     query = replay.replay(spark, str(tmp_path / "replay"), lambda df, _: sent.append(df.count()), str(tmp_path / "state"), rate=50)
     try:

@@ -55,7 +55,7 @@ def test_text_to_stored_hotspots(spark, tmp_path):
     (tmp_path / "in" / "a.csv").write_text("header\n" + GOOD + "\n")
     (tmp_path / "in" / "b.csv").write_text(GOOD + "\n" + GOOD.replace("-73.98", "inf") + "\n")
     target = ParquetTable(str(tmp_path / "out"))
-    run(spark, str(tmp_path / "in" / "*.csv"), target)
+    assert run(spark, str(tmp_path / "in" / "*.csv"), target) == {"rows": 9, "spots": 9}
     stored = read_table(spark, target)
     assert stored.count() == 9
     own = stored.filter("time_slot = 0").first()
