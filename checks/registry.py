@@ -171,7 +171,7 @@ def clean_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def match_spots(spark: SparkSession, sf_dir: str) -> DataFrame:
     matched = matching.match_spots(cleaned_positions(spark, sf_dir), folded(spark, sf_dir))
-    spots = F.arrays_zip("spots", "weights")
+    spots = F.arrays_zip(matching.to_spots(F.col("offer_lon"), F.col("offer_lat")).alias("spots"), "weights")
     return matched.select("event_id", "vehicle_id", "datetime", F.posexplode(spots).alias("at", "spot")).select(
         "event_id",
         "vehicle_id",

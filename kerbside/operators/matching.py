@@ -34,6 +34,8 @@ def prune_slots(hotspots: DataFrame, slots: list[int]) -> DataFrame:
 def match_spots(positions: DataFrame, hotspots: DataFrame, broadcast: str | None = None, salt: int = 1) -> DataFrame:
     """Every position with the spots of its slot and cell; a position without spots gives no row.
 
+    The spots stay the parallel arrays ``offer_lon``, ``offer_lat`` and ``weights`` they are stored as.
+
     Neither side is broadcast unless the caller has checked its size and says which (``"positions"``
     or ``"hotspots"``). Otherwise this is a plain equi join: adaptive execution turns it into a
     broadcast if a side proves small, and splits the partition of a busy cell if not. ``salt`` > 1
@@ -43,7 +45,8 @@ def match_spots(positions: DataFrame, hotspots: DataFrame, broadcast: str | None
         raise ValueError(f"broadcast must be 'positions', 'hotspots' or None, not {broadcast!r}")
     offers = hotspots.select(
         *SPOT_KEYS,
-        to_spots(F.col("longitude"), F.col("latitude")).alias("spots"),
+        F.col("longitude").alias("offer_lon"),
+        F.col("latitude").alias("offer_lat"),
         F.col("passengers").alias("weights"),
     )
     keys = list(SPOT_KEYS)

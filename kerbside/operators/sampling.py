@@ -31,15 +31,15 @@ def random_digits(seed: Column, words: Column) -> Column:
     return F.array_join(F.transform(blocks, lambda block: hashing.digest(seed, block)), "")
 
 
-def drawable_spots(spots: Column, weights: Column, digits: Column) -> Column:
+def drawable_spots(lon: Column, lat: Column, weights: Column, digits: Column) -> Column:
     """The spots that can be drawn, each with its key. Weight 0 is never drawn."""
 
-    def with_key(spot: Column, at: Column) -> Column:
-        weight = F.get(weights, at)
+    def with_key(weight: Column, at: Column) -> Column:
         key = -F.ln(hashing.uniform(digits, at)) / weight
-        return F.when(weight > 0, F.struct(key.alias("key"), at.alias("at"), spot.alias("spot")))
+        place = F.struct(F.get(lon, at).alias("longitude"), F.get(lat, at).alias("latitude"))
+        return F.when(weight > 0, F.struct(key.alias("key"), at.alias("at"), place.alias("spot")))
 
-    return F.filter(F.transform(spots, with_key), lambda item: item.isNotNull())
+    return F.filter(F.transform(weights, with_key), lambda item: item.isNotNull())
 
 
 def suggest(matched: DataFrame, k: int = PICKS) -> DataFrame:
@@ -49,8 +49,9 @@ def suggest(matched: DataFrame, k: int = PICKS) -> DataFrame:
     or fewer spots than are asked for can be drawn.
     """
     seeded = compute_once(matched, {"seed": vehicle_seed(F.col("vehicle_id"))})
-    random = compute_once(seeded, {"digits": random_digits(F.col("seed"), F.size("spots"))})
-    keyed = compute_once(random, {"drawable": drawable_spots(F.col("spots"), F.col("weights"), F.col("digits"))})
+    random = compute_once(seeded, {"digits": random_digits(F.col("seed"), F.size("weights"))})
+    columns = (F.col(name) for name in ("offer_lon", "offer_lat", "weights", "digits"))
+    keyed = compute_once(random, {"drawable": drawable_spots(*columns)})
     possible = (
         F.col("seed").isNotNull()
         & ~F.exists("weights", lambda weight: F.coalesce(weight, F.lit(-1)) < 0)
@@ -60,7 +61,7 @@ def suggest(matched: DataFrame, k: int = PICKS) -> DataFrame:
     chosen = compute_once(keyed, {"drawn": drawn})
     lon, lat = from_spots(F.col("drawn.spot"))
     answered = chosen.withColumns({"spot_lon": lon, "spot_lat": lat})
-    return answered.drop("seed", "digits", "spots", "weights", "drawable", "drawn")
+    return answered.drop("seed", "digits", "offer_lon", "offer_lat", "weights", "drawable", "drawn")
 
 
 def suggestions(

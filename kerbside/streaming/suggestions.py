@@ -49,11 +49,9 @@ def answer_batch(batch: DataFrame, hotspots: DataFrame, k: int = PICKS) -> DataF
     return suggestions(batch, offers, k, broadcast="positions" if small else None)
 
 
-def batch_writer(
-    hotspots: Callable[[], DataFrame], path: str, k: int, cells: Grid, slots: Slots
-) -> Callable[[DataFrame, int], None]:
-    def write(messages: DataFrame, batch_id: int) -> None:
-        batch = clean_positions(decode_positions(messages), cells, slots).persist(StorageLevel.MEMORY_AND_DISK)
+def batch_writer(hotspots: Callable[[], DataFrame], path: str, k: int) -> Callable[[DataFrame, int], None]:
+    def write(cleaned: DataFrame, batch_id: int) -> None:
+        batch = cleaned.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             answers = answer_batch(batch, hotspots(), k)
             if answers is not None:
@@ -82,8 +80,8 @@ def run_suggestions(
     every second. A checkpoint belongs to one ``path``.
     """
     current = hotspots if callable(hotspots) else lambda: hotspots
-    write = batch_writer(current, path, k, cells, slots)
-    query = messages.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    cleaned = clean_positions(decode_positions(messages), cells, slots)
+    query = cleaned.writeStream.foreachBatch(batch_writer(current, path, k)).option("checkpointLocation", checkpoint)
     query = query.trigger(availableNow=True) if available_now else query.trigger(processingTime=INTERVAL)
     return query.start()
 

@@ -10,12 +10,12 @@ from kerbside.operators import cleaning, matching, ranking, sampling
 from kerbside.plans import suggestion_job
 from kerbside.sources.tables import ParquetTable, write_table
 
-MATCHED = "vehicle_id string, vehicle_pos array<double>, spots array<struct<longitude: double, latitude: double>>, weights array<bigint>, datetime string"
+MATCHED = "vehicle_id string, vehicle_pos array<double>, offer_lon array<double>, offer_lat array<double>, weights array<bigint>, datetime string"
 
 
 def matched(spark, ids, weights):
-    spots = [(-74.0 + place, 40.0 + place) for place in range(len(weights))]
-    return spark.createDataFrame([(i, [0.0, 0.0], spots, weights, "2014-08-01 10:00:00") for i in ids], MATCHED)
+    lon, lat = [-74.0 + place for place in range(len(weights))], [40.0 + place for place in range(len(weights))]
+    return spark.createDataFrame([(i, [0.0, 0.0], lon, lat, weights, "2014-08-01 10:00:00") for i in ids], MATCHED)
 
 
 def picks(df, k=3):
@@ -103,7 +103,7 @@ def test_salt_spreads_copies_of_one_position(spark):
 def test_suggested_spots_belong_to_the_cell(spark, sides):
     positions, hotspots = sides
     offered = matching.match_spots(positions, hotspots).select(
-        "event_id", F.array_sort("spots.longitude").alias("offered"), "weights"
+        "event_id", F.col("offer_lon").alias("offered"), "weights"
     )
     answers = sampling.suggestions(positions, hotspots, keep=("event_id",))
     joined = answers.join(offered, "event_id")
