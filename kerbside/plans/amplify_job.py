@@ -1,6 +1,6 @@
 """Amplification job: trip text in, noisy copies out, one folder per month, all months in one job.
 
-    spark-submit -m kerbside.plans.amplify_job --input 'trips/*.csv' --output copies
+    spark-submit kerbside/plans/amplify_job.py --input 'trips/*.csv' --output copies
 """
 
 from __future__ import annotations

@@ -1,6 +1,6 @@
 """Batch job: trip text in, hotspot table out.
 
-    spark-submit -m kerbside.plans.hotspot_job --input 'trips/*.csv' --output hotspots
+    spark-submit kerbside/plans/hotspot_job.py --input 'trips/*.csv' --output hotspots
 """
 
 from __future__ import annotations

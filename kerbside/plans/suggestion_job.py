@@ -1,6 +1,6 @@
 """Suggestion jobs: a stored position history in one go, or the live stream.
 
-    spark-submit -m kerbside.plans.suggestion_job --hotspots hotspots --output answers \\
+    spark-submit kerbside/plans/suggestion_job.py --hotspots hotspots --output answers \\
         --checkpoint state --brokers host:9092 --topic positions --partitions 3
 """
 

@@ -160,7 +160,7 @@ def test_kafka_options():
 def test_replay_numbers_rows_in_time_order(spark, sf, tmp_path):
     positions = fixtures.positions(spark, sf)
     # Copies of one row, more than a third of everything.
-    copies = positions.limit(1).crossJoin(spark.range(700)).drop("id")
+    copies = positions.limit(1).withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(700)))).drop("n")
     everything = positions.unionByName(copies).repartition(6)
     replay.prepare_replay(everything, str(tmp_path / "replay"))
     stored = spark.read.parquet(str(tmp_path / "replay")).orderBy("seq").collect()

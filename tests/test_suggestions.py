@@ -74,7 +74,7 @@ def sides(spark, sf):
     hotspots = ranking.hotspots(fixtures.trips(spark, sf)).persist()
     positions = cleaning.clean_positions(fixtures.positions(spark, sf)).persist()
     # A third of all rows are copies of one position in one cell.
-    hot = positions.limit(1).crossJoin(spark.range(positions.count() // 2)).drop("id")
+    hot = positions.limit(1).withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(positions.count() // 2)))).drop("n")
     return positions.unionByName(hot), hotspots
 
 
