@@ -45,12 +45,15 @@ def previous_slot(slot: Column, slots: Slots = SLOTS) -> Column:
     return F.pmod(slot - 1, F.lit(slots.count)).cast("int")
 
 
-def minute_of_month(text: Column) -> Column:
-    """Minutes since the month began."""
-    moment = parse_datetime(text)
+def minute_of_month_at(moment: Column) -> Column:
     return minute_of_day(moment) + (F.dayofmonth(moment) - 1) * 1440
 
 
+def minute_of_month(text: Column) -> Column:
+    """Minutes since the month of a date-time text began, or null."""
+    return minute_of_month_at(parse_datetime(text))
+
+
 def clock_label(minutes: Column) -> Column:
     """Minutes of the day as ``01:05 PM``; null outside one day. Parts of a minute are cut."""
     whole = F.floor(minutes.cast("double"))

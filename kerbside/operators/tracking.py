@@ -48,7 +48,8 @@ def resolve_ids(requested: DataFrame, known: DataFrame, tracked: DataFrame, seed
 
 def with_minute(df: DataFrame) -> DataFrame:
     """Adds the minute of the month; a row without a readable time is dropped."""
-    return compute_once(df, {"minute": clock.minute_of_month(F.col("datetime"))}).filter(F.col("minute").isNotNull())
+    timed = compute_once(df, {"moment": clock.parse_datetime(F.col("datetime"))}).filter(F.col("moment").isNotNull())
+    return timed.withColumn("minute", clock.minute_of_month_at(F.col("moment"))).drop("moment")
 
 
 def record(df: DataFrame, order: Sequence[str]) -> Column:
