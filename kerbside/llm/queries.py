@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import mixing, simhash, token_files, web_archives
+from kerbside.llm import fingerprints, mixing, simhash, token_files, web_archives
 from kerbside.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -19,6 +19,10 @@ def op2_web_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.grouped(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -34,7 +38,7 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    query.__name__: query for query in (op2_web_archives, op5_simhash, op6_mixing, op7_token_files)
+    query.__name__: query for query in (op2_web_archives, op4_fingerprints, op5_simhash, op6_mixing, op7_token_files)
 }
 
 OP6_SQL = r"""
