@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import fingerprints, mixing, simhash, token_files, web_archives
+from kerbside.llm import fingerprints, mixing, nearest, simhash, token_files, web_archives
 from kerbside.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -37,8 +37,12 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_digest(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.search(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    query.__name__: query for query in (op2_web_archives, op4_fingerprints, op5_simhash, op6_mixing, op7_token_files)
+    query.__name__: query for query in (op2_web_archives, op4_fingerprints, op5_simhash, op6_mixing, op7_token_files, op10_nearest)
 }
 
 OP6_SQL = r"""
