@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import math
+import tempfile
+import zipfile
 from collections.abc import Iterable
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -31,11 +34,21 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Bounds the rows in a Python worker, as single texts may be long."""
+def ready(spark: SparkSession) -> None:
+    """Before Python runs in tasks: bounds the rows a worker holds, as single texts may be long, and sends this
+    package to the executors, which need not have it installed."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key, "10000")) > ROWS_PER_BATCH:
         spark.conf.set(key, str(ROWS_PER_BATCH))
+    context = spark.sparkContext
+    if not getattr(context, "_kerbside_sent", False):
+        package = Path(__file__).resolve().parents[1]
+        target = Path(tempfile.mkdtemp(prefix="kerbside-code-")) / "kerbside.zip"  # served by the driver
+        with zipfile.ZipFile(target, "w") as archive:
+            for file in sorted(package.rglob("*.py")):
+                archive.write(file, file.relative_to(package.parent))
+        context.addPyFile(str(target))
+        context._kerbside_sent = True
 
 
 def fold(column: str, folds: int) -> Column:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import order_key, small_batches, staged
+from kerbside.llm.common import order_key, ready, staged
 
 CURVES = 40
 AXES = 8
@@ -146,7 +146,7 @@ def search(
     Nearness is the inner product in double precision; ties go to the smaller id.
     """
     spark = embeddings.sparkSession
-    small_batches(spark)
+    ready(spark)
     entries, vectors = distinct_vectors(embeddings, k, every)
     rows = entries.count()
     if rows == 0:

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import LOWER, small_batches, staged
+from kerbside.llm.common import LOWER, ready, staged
 from kerbside.llm.components import components
 
 SHINGLE = 3
@@ -73,7 +73,7 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 def fingerprints(documents: DataFrame, shingle: int = SHINGLE, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The kept columns and ``fp`` (bigint) of every document."""
-    small_batches(documents.sparkSession)
+    ready(documents.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -3,9 +3,9 @@
 File layout, all numbers little-endian:
 
     magic
-    blocks          each: minimum u32, ids u16, width u8, spare u8, exceptions u16,
+    blocks          each: minimum u32, ids u16, width u8, bytes of a patch u8, exceptions u16,
                     the low ``width`` bits of id - minimum, packed,
-                    then the exceptions: places u8, and the bits above ``width`` as u32
+                    then the exceptions: places u8, and the bits above ``width`` as patches
     documents       doc_id i64, has_id u8, ids u32 of each document, as three columns
     block starts    u64 each
     footer          blocks u64, documents u64, ids u64, end of the blocks u64, magic
@@ -20,7 +20,6 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,26 +28,27 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kerbside.llm import files
-from kerbside.llm.common import flat_ranges, small_batches, staged
+from kerbside.llm.common import chunks, flat_ranges, ready, staged
 from kerbside.session import scratch_dir
 
 MAGIC = b"PFORTOK1"
 BLOCK = 256
 PERCENTILE = 0.9
 FOOTER = np.dtype([("blocks", "<u8"), ("documents", "<u8"), ("ids", "<u8"), ("end", "<u8")])
-HEAD = np.dtype([("minimum", "<u4"), ("ids", "<u2"), ("width", "u1"), ("spare", "u1"), ("exceptions", "<u2")])
+HEAD = np.dtype([("minimum", "<u4"), ("ids", "<u2"), ("width", "u1"), ("patch", "u1"), ("exceptions", "<u2")])
 END = 0  # the id after each document
-CACHED = 400_000  # distinct pieces of text whose ids a worker remembers
-# Two white-space characters in a row, in the widest sense: there a text is not cut at its spaces.
-RUN = re.compile(r"[\s\x1c-\x1f\x85᠎​﻿]{2}|^[\s\x1c-\x1f\x85᠎​﻿]|[\s\x1c-\x1f\x85᠎​﻿]$")
+CACHED = 600_000  # distinct pieces of text whose ids a worker remembers
+# A piece of text that can be encoded by itself: no white space in the widest sense, but for one newline before it.
+PIECE = re.compile(r"\n?[^\s\x1c-\x1f\x85\u180e\u200b\u2060\ufeff]+")
 
 
 class Encoder:
     """Ids of whole texts from a tokenizer file.
 
-    The tokenizer's own pattern never joins what stands before a space to what follows, so where no two
-    white-space characters meet, a text's ids are those of its pieces " word", and each distinct piece is
-    encoded by the library once. Any other text goes to the library whole.
+    The tokenizer's pattern never joins what stands before a single space or newline to what follows, so
+    a text without longer white space is encoded piece by piece, and each distinct piece only once: many
+    pieces, each after a newline of its own, go to the library as one text, and the newline's id cuts
+    the result. Any other text goes to the library whole.
     """
 
     def __init__(self, path: str):
@@ -57,57 +57,59 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.newline = self.library(["\n"])[0]
         self.forget()
 
     def forget(self) -> None:
-        self.places: dict[str, int] = {}
+        self.places: dict[str, int] = {"": 0}  # place 0: cannot be encoded by itself
         self.starts = np.zeros(1024, dtype=np.int64)
         self.lengths = np.zeros(1024, dtype=np.int64)
         self.flat = np.zeros(4096, dtype=np.uint32)
-        self.used = 0
+        self.used, self.next = 0, 1
 
     def library(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def learn(self, pieces: list[str]) -> None:
-        for at in range(0, len(pieces), 10_000):
-            some = pieces[at : at + 10_000]
-            found = self.library(some)
-            lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-            ids = np.fromiter(chain.from_iterable(found), dtype=np.uint32, count=int(lengths.sum()))
-            first, last = len(self.places), len(self.places) + len(some)
+        """A piece that starts with a newline has its id; any other piece stands for itself after a space."""
+        for some in chunks(pieces, 20_000):
+            good = [p for p in some if PIECE.fullmatch(p)] if len(self.newline) == 1 else []
+            self.places.update(dict.fromkeys(some, 0))
+            if not good:
+                continue
+            joined = "".join([p if p[0] == "\n" else "\n " + p for p in good])
+            ids = np.array(self.library([joined])[0], dtype=np.uint32)
+            cuts = np.flatnonzero(ids == self.newline[0])
+            if len(cuts) != len(good):
+                continue
+            starts, ends = cuts + 1, np.append(cuts[1:], len(ids))
+            starts -= np.fromiter((p[0] == "\n" for p in good), dtype=np.int64, count=len(good))
+            last = self.next + len(good)
             self.starts, self.lengths = _room(self.starts, last), _room(self.lengths, last)
             self.flat = _room(self.flat, self.used + len(ids))
-            self.starts[first:last] = self.used + np.cumsum(lengths) - lengths
-            self.lengths[first:last] = lengths
+            self.starts[self.next : last] = self.used + starts
+            self.lengths[self.next : last] = ends - starts
             self.flat[self.used : self.used + len(ids)] = ids
-            self.used += len(ids)
-            self.places.update(zip(some, range(first, last), strict=True))
+            self.places.update(zip(good, range(self.next, last), strict=True))
+            self.used, self.next = self.used + len(ids), last
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in one array, and how many each text has."""
-        cut = [None if not t or RUN.search(t) else t.split(" ") for t in texts]
-        for pieces in cut:
-            if pieces is not None:
-                # The first piece has no space before it; the others get theirs back.
-                pieces[1:] = [" " + p for p in pieces[1:]]
+        # A newline put before the first piece makes it like those after a newline; its id is left out again.
+        cut = [("\n" + t).replace("\n", " \n").split(" ")[1:] if t else [] for t in texts]
         if len(self.places) > CACHED:
             self.forget()
-        known = self.places
-        fresh = set(chain.from_iterable(p for p in cut if p is not None)).difference(known)
+        fresh = set().union(*cut).difference(self.places)
         if fresh:
             self.learn(sorted(fresh))
-        whole = iter(self.library([t for t, p in zip(texts, cut, strict=True) if p is None and t]))
-        parts, counts = [], np.zeros(len(texts), dtype=np.int64)
-        look = known.__getitem__
-        for n, (text, pieces) in enumerate(zip(texts, cut, strict=True)):
-            if pieces is None:
-                ids = np.array(next(whole) if text else [], dtype=np.uint32)
+        look, parts = self.places.__getitem__, []
+        for text, pieces in zip(texts, cut, strict=True):
+            at = np.fromiter(map(look, pieces), dtype=np.int64, count=len(pieces))
+            if at.all():
+                parts.append(self.flat[flat_ranges(self.starts[at], self.lengths[at])][1:])
             else:
-                at = np.fromiter(map(look, pieces), dtype=np.int64, count=len(pieces))
-                ids = self.flat[flat_ranges(self.starts[at], self.lengths[at])]
-            parts.append(ids)
-            counts[n] = len(ids)
+                parts.append(np.array(self.library([text])[0], dtype=np.uint32))
+        counts = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts))
         return (np.concatenate(parts) if parts else np.zeros(0, dtype=np.uint32)), counts
 
 
@@ -154,7 +156,8 @@ def _encode_rows(rows: np.ndarray) -> list[bytes]:
     heads["exceptions"] = np.count_nonzero(high, axis=1)
     row, place = np.nonzero(high)
     ends = np.concatenate(([0], np.cumsum(heads["exceptions"].astype(np.int64))))
-    places, patches = place.astype(np.uint8), high[row, place].astype("<u4")
+    heads["patch"] = np.choose((high.max(axis=1) > 0xFF).astype(int) + (high.max(axis=1) > 0xFFFF), (1, 2, 4))
+    places, patches = place.astype(np.uint8), high[row, place]
     out: list[bytes] = [b""] * len(rows)
     for width in np.unique(widths).tolist():
         chosen = np.flatnonzero(widths == width)
@@ -162,10 +165,14 @@ def _encode_rows(rows: np.ndarray) -> list[bytes]:
         packed = np.packbits(bits.astype(np.uint8).reshape(len(chosen), -1), axis=1, bitorder="little")
         for k, block in zip(chosen.tolist(), packed, strict=True):
             a, b = ends[k], ends[k + 1]
-            out[k] = heads[k].tobytes() + block.tobytes() + places[a:b].tobytes() + patches[a:b].tobytes()
+            out[k] = heads[k].tobytes() + block.tobytes() + places[a:b].tobytes() + _patches(patches[a:b], heads["patch"][k])
     return out
 
 
+def _patches(values: np.ndarray, size: int) -> bytes:
+    return values.astype(f"<u{size}").tobytes()
+
+
 def decode_block(data: bytes, at: int = 0) -> np.ndarray:
     """The ids of the block that starts at a place."""
     head = np.frombuffer(data, dtype=HEAD, count=1, offset=at)[0]
@@ -181,7 +188,8 @@ def decode_block(data: bytes, at: int = 0) -> np.ndarray:
         values = np.zeros(count, dtype=np.uint32)
     if patched:
         places = np.frombuffer(data, np.uint8, patched, at + packed)
-        values[places] |= np.frombuffer(data, "<u4", patched, at + packed + patched) << np.uint32(width)
+        high = np.frombuffer(data, f"<u{int(head['patch'])}", patched, at + packed + patched).astype(np.uint32)
+        values[places] |= high << np.uint32(width)
     return values + head["minimum"]
 
 
@@ -277,12 +285,14 @@ def decode_blocks(data: bytes, starts: np.ndarray) -> np.ndarray:
         wide = np.zeros((len(bits), 32), dtype=np.uint8)
         wide[:, :width] = bits
         values[chosen] = np.packbits(wide, axis=1, bitorder="little").view("<u4").reshape(len(chosen), BLOCK)
-    patched = np.flatnonzero((heads["exceptions"] > 0) & (counts == BLOCK))
-    if len(patched):
+    for size in (1, 2, 4):
+        patched = np.flatnonzero((heads["exceptions"] > 0) & (counts == BLOCK) & (heads["patch"] == size))
+        if not len(patched):
+            continue
         amount = heads["exceptions"][patched].astype(np.int64)
         at = starts[patched] + HEAD.itemsize + BLOCK * widths[patched] // 8
         places = raw[flat_ranges(at, amount)]
-        high = raw[flat_ranges(at + amount, 4 * amount)].view("<u4")
+        high = raw[flat_ranges(at + amount, size * amount)].view(f"<u{size}").astype(np.uint32)
         row = np.repeat(patched, amount)
         values[row, places] |= high << widths[row].astype(np.uint32)
     values += heads["minimum"][:, None]
@@ -297,7 +307,7 @@ def write_token_files(documents: DataFrame, folder: str, tokenizer: str, end: in
     Files are in ascending order of doc_id, as are the documents in each; rows without an id come last,
     and rows with equal ids lie in one file, in the order of their texts. A null text is empty.
     """
-    small_batches(documents.sparkSession)
+    ready(documents.sparkSession)
     order = [F.col("doc_id").asc_nulls_last()]
     ranged = documents.select("doc_id", "text").repartitionByRange(*order)
     ordered = ranged.sortWithinPartitions(*order, F.col("text").asc_nulls_first())
@@ -332,6 +342,7 @@ MANIFEST = pa.schema([("file", pa.int32()), ("path", pa.string()), ("documents",
 
 def read_token_files(manifest: DataFrame) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32 of every document, from the files."""
+    ready(manifest.sparkSession)
     # One row a file: a few dozen bytes for each partition of the range shuffle meet in one task.
     before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
     placed = manifest.withColumn("base", F.coalesce(F.sum("ids").over(before), F.lit(0)).cast("bigint"))

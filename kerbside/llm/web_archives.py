@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kerbside.llm import files
-from kerbside.llm.common import small_batches, staged
+from kerbside.llm.common import ready, staged
 from kerbside.session import scratch_dir
 
 # The header fields of the two ARC versions, in order.
@@ -196,7 +196,7 @@ def _opened(path: str) -> BinaryIO:
 
 def write_arcs(pages: DataFrame, folder: str, versions: tuple[int, ...] = (1, 2)) -> DataFrame:
     """Writes pages as gzipped ARC files, the versions in turn. Returns the archives: path, records."""
-    small_batches(pages.sparkSession)
+    ready(pages.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, made, rows = TaskContext.get().partitionId(), 0, _pages(batches)
@@ -236,6 +236,7 @@ def _spread(archives: DataFrame) -> DataFrame:
 
 def scan_arcs(archives: DataFrame) -> DataFrame:
     """path, nth (place in its archive), page_id, digest and bytes (of the payload) of every ARC record."""
+    ready(archives.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -300,6 +301,7 @@ PAGES = pa.schema([
 
 def read_warcs(archives: DataFrame) -> DataFrame:
     """What WARC files hold, by record. A response's digest is computed from its block and must match."""
+    ready(archives.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
