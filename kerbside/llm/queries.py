@@ -8,12 +8,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import fingerprints, mixing, nearest, simhash, token_files, web_archives
-from kerbside.llm.common import table
+from kerbside.llm import fingerprints, mixing, nearest, simhash, token_files, toxicity, web_archives
+from kerbside.llm.common import fold, table
 
 TOKENIZER = "byte_bpe_50k.json"
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    fitted = toxicity.fit(documents, table(spark, sf_dir, "labels"))
+    return toxicity.score(documents, fitted).select(
+        "doc_id",
+        (fold("doc_id", toxicity.FOLDS) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op2_web_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = web_archives.pages_through_archives(table(spark, sf_dir, "pages"))
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -42,7 +53,7 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    query.__name__: query for query in (op2_web_archives, op4_fingerprints, op5_simhash, op6_mixing, op7_token_files, op10_nearest)
+    query.__name__: query for query in (op1_toxicity, op2_web_archives, op4_fingerprints, op5_simhash, op6_mixing, op7_token_files, op10_nearest)
 }
 
 OP6_SQL = r"""
