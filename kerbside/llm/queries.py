@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import fingerprints, mixing, nearest, simhash, token_files, toxicity, web_archives
+from kerbside.llm import fingerprints, mixing, nearest, quality, simhash, token_files, toxicity, web_archives
 from kerbside.llm.common import fold, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -30,6 +30,28 @@ def op2_web_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+# Grades from the two labels: 0 junk, 1 readable but toxic, 2 good.
+GRADES = 3
+
+
+def grade() -> Column:
+    return F.greatest(F.lit(0), 2 * F.col("quality") - F.coalesce("toxic", F.lit(0)))
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    rated = quality.rated_documents(documents, table(spark, sf_dir, "labels"), grade())
+    model = quality.fit_ordinal(rated.filter(fold("doc_id", toxicity.FOLDS) != 0), GRADES)
+    return quality.grade_texts(documents, model).select(
+        "doc_id",
+        (fold("doc_id", toxicity.FOLDS) == 0).alias("held_out"),
+        "expected_grade",
+        "tail_1",
+        "tail_2",
+        (F.col("tail_1") >= 0.5).alias("selected"),
+    )
+
+
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_edits(table(spark, sf_dir, "documents"))
 
@@ -53,7 +75,7 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    query.__name__: query for query in (op1_toxicity, op2_web_archives, op4_fingerprints, op5_simhash, op6_mixing, op7_token_files, op10_nearest)
+    query.__name__: query for query in (op1_toxicity, op2_web_archives, op3_quality, op4_fingerprints, op5_simhash, op6_mixing, op7_token_files, op10_nearest)
 }
 
 OP6_SQL = r"""
