@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import fingerprints, mixing, nearest, quality, simhash, token_files, toxicity, web_archives
+from kerbside.llm import fingerprints, mixing, nearest, pieces, quality, simhash, token_files, toxicity, web_archives
 from kerbside.llm.common import fold, table
 
 TOKENIZER = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,12 +71,17 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_digest(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pieces.encode_texts(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
+    return found.select("doc_id", F.size("pieces").alias("n_pieces"), "pieces", "scores", "decodes")
+
+
 def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.search(table(spark, sf_dir, "embeddings"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    query.__name__: query for query in (op1_toxicity, op2_web_archives, op3_quality, op4_fingerprints, op5_simhash, op6_mixing, op7_token_files, op10_nearest)
+    query.__name__: query for query in (op1_toxicity, op2_web_archives, op3_quality, op4_fingerprints, op5_simhash, op6_mixing, op7_token_files, op9_pieces, op10_nearest)
 }
 
 OP6_SQL = r"""
