@@ -138,4 +138,4 @@ def score_texts(
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], *columns], names=[*keep, *names])
 
     kinds = [f"`{c}` {documents.schema[c].dataType.simpleString()}" for c in keep] + [f"`{n}` double" for n in names]
-    return documents.select(F.col("text").alias("_text"), *keep).mapInArrow(run, ", ".join(kinds))
+    return documents.select(F.col("text").alias("_text"), *[F.col(f"`{c}`") for c in keep]).mapInArrow(run, ", ".join(kinds))

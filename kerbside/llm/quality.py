@@ -132,9 +132,11 @@ class Grader:
         return (sum(tails), *tails)
 
 
-def grade_texts(documents: DataFrame, model: Ordinal, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The kept columns, ``expected_grade`` and ``tail_1``, ``tail_2``, ... of every document."""
-    names = ["expected_grade", *[f"tail_{k + 1}" for k in range(len(model.thresholds))]]
+def grade_texts(
+    documents: DataFrame, model: Ordinal, keep: tuple[str, ...] = ("doc_id",), prefix: str = ""
+) -> DataFrame:
+    """The kept columns, ``expected_grade`` and ``tail_1``, ``tail_2``, ... of every document, under a prefix."""
+    names = [f"{prefix}expected_grade", *[f"{prefix}tail_{k + 1}" for k in range(len(model.thresholds))]]
     return score_texts(documents, keep, Grader(model), names)
 
 

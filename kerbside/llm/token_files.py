@@ -18,11 +18,13 @@ from __future__ import annotations
 
 import os
 import re
+import string
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,7 +39,7 @@ PERCENTILE = 0.9
 FOOTER = np.dtype([("blocks", "<u8"), ("documents", "<u8"), ("ids", "<u8"), ("end", "<u8")])
 HEAD = np.dtype([("minimum", "<u4"), ("ids", "<u2"), ("width", "u1"), ("patch", "u1"), ("exceptions", "<u2")])
 END = 0  # the id after each document
-CACHED = 600_000  # distinct pieces of text whose ids a worker remembers
+CACHED = 900_000  # distinct pieces of text whose ids a worker remembers
 # A piece of text that can be encoded by itself: no white space in the widest sense, but for one newline before it.
 PIECE = re.compile(r"\n?[^\s\x1c-\x1f\x85\u180e\u200b\u2060\ufeff]+")
 
@@ -64,53 +66,112 @@ class Encoder:
         self.places: dict[str, int] = {"": 0}  # place 0: cannot be encoded by itself
         self.starts = np.zeros(1024, dtype=np.int64)
         self.lengths = np.zeros(1024, dtype=np.int64)
+        self.hits = np.zeros(1024, dtype=np.int64)
         self.flat = np.zeros(4096, dtype=np.uint32)
         self.used, self.next = 0, 1
 
+    def forget_rare(self) -> None:
+        """Keeps the pieces that occurred more than once, or nothing if they are too many themselves."""
+        kept = [(piece, place) for piece, place in self.places.items() if self.hits[place] > 1 and place]
+        old_starts, old_lengths, old_flat = self.starts, self.lengths, self.flat
+        self.forget()
+        if kept and len(kept) <= CACHED // 2:
+            at = np.array([place for _, place in kept])
+            lengths, last = old_lengths[at], len(kept) + 1
+            self.flat = old_flat[flat_ranges(old_starts[at], lengths)]
+            self.starts = np.append(0, np.cumsum(lengths) - lengths)
+            self.lengths, self.hits = np.append(0, lengths), np.zeros(last, dtype=np.int64)
+            self.places.update((piece, n) for n, (piece, _) in enumerate(kept, 1))
+            self.used, self.next = len(self.flat), last
+
     def library(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def learn(self, pieces: list[str]) -> None:
-        """A piece that starts with a newline has its id; any other piece stands for itself after a space."""
-        for some in chunks(pieces, 20_000):
-            good = [p for p in some if PIECE.fullmatch(p)] if len(self.newline) == 1 else []
-            self.places.update(dict.fromkeys(some, 0))
-            if not good:
+        """A piece that starts with a newline has its id; any other piece stands for itself after a space.
+
+        Letters followed by punctuation are two pieces to the tokenizer as well, so they are put together
+        from the letters' ids and those of the punctuation, which is kept under two newlines.
+        """
+        self.places.update(dict.fromkeys(pieces, 0))
+        single, joined, words, tails = [], [], [], []
+        for piece in pieces:
+            if len(self.newline) != 1 or not PIECE.fullmatch(piece):
                 continue
-            joined = "".join([p if p[0] == "\n" else "\n " + p for p in good])
-            ids = np.array(self.library([joined])[0], dtype=np.uint32)
+            word = piece.rstrip(string.punctuation)
+            if word.isalpha() and len(word) < len(piece):
+                joined.append(piece)
+                words.append(word)
+                tails.append("\n\n" + piece[len(word) :])
+            else:
+                single.append(piece)
+        new_words = list(set(words).difference(self.places, single))
+        self.places.update(dict.fromkeys(new_words, 0))
+        for some in chunks(single + new_words, 20_000):
+            text = "".join([p if p[0] == "\n" else "\n " + p for p in some])
+            ids = np.array(self.library([text])[0], dtype=np.uint32)
             cuts = np.flatnonzero(ids == self.newline[0])
-            if len(cuts) != len(good):
-                continue
-            starts, ends = cuts + 1, np.append(cuts[1:], len(ids))
-            starts -= np.fromiter((p[0] == "\n" for p in good), dtype=np.int64, count=len(good))
-            last = self.next + len(good)
-            self.starts, self.lengths = _room(self.starts, last), _room(self.lengths, last)
-            self.flat = _room(self.flat, self.used + len(ids))
-            self.starts[self.next : last] = self.used + starts
-            self.lengths[self.next : last] = ends - starts
-            self.flat[self.used : self.used + len(ids)] = ids
-            self.places.update(zip(good, range(self.next, last), strict=True))
-            self.used, self.next = self.used + len(ids), last
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids in one array, and how many each text has."""
-        # A newline put before the first piece makes it like those after a newline; its id is left out again.
-        cut = [("\n" + t).replace("\n", " \n").split(" ")[1:] if t else [] for t in texts]
+            if len(cuts) == len(some):
+                starts, ends = cuts + 1, np.append(cuts[1:], len(ids))
+                starts -= np.fromiter((p[0] == "\n" for p in some), dtype=np.int64, count=len(some))
+                self._add(some, ids, starts, ends - starts)
+        new_tails = list(set(tails).difference(self.places))
+        for tail, ids in zip(new_tails, self.library([t[2:] for t in new_tails]), strict=True):
+            self._add([tail], np.array(ids, dtype=np.uint32), np.zeros(1, dtype=np.int64), np.array([len(ids)]))
+        if joined:
+            parts = np.array([list(map(self.places.__getitem__, words)), list(map(self.places.__getitem__, tails))]).T
+            lengths = self.lengths[parts]
+            ids = self.flat[flat_ranges(self.starts[parts].reshape(-1), lengths.reshape(-1))]
+            both = lengths.sum(axis=1)
+            self._add(joined, ids, np.cumsum(both) - both, both)
+            for nth in np.flatnonzero(parts[:, 0] == 0).tolist():
+                self.places[joined[nth]] = 0
+
+    def _add(self, pieces: list[str], ids: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> None:
+        last = self.next + len(pieces)
+        self.starts, self.lengths = _room(self.starts, last), _room(self.lengths, last)
+        self.hits, self.flat = _room(self.hits, last), _room(self.flat, self.used + len(ids))
+        self.starts[self.next : last] = self.used + starts
+        self.lengths[self.next : last] = lengths
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.places.update(zip(pieces, range(self.next, last), strict=True))
+        self.used, self.next = self.used + len(ids), last
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of a column of texts in one array, and how many each text has. A null text is empty."""
         if len(self.places) > CACHED:
-            self.forget()
-        fresh = set().union(*cut).difference(self.places)
+            self.forget_rare()
+        # A newline put before the first piece makes it like those after a newline; its id is left out again.
+        marked = pc.replace_substring(pc.binary_join_element_wise("\n", pc.fill_null(texts, ""), ""), "\n", " \n")
+        lists = pc.split_pattern(marked, " ")
+        # What stands before the first space is nothing, so each list is read from its second piece on.
+        firsts = np.asarray(lists.offsets)[:-1] + 1
+        ends = np.asarray(lists.offsets)[1:]
+        pieces = lists.values.dictionary_encode()
+        distinct = pieces.dictionary.to_pylist()
+        fresh = [p for p in distinct if p not in self.places]
         if fresh:
-            self.learn(sorted(fresh))
-        look, parts = self.places.__getitem__, []
-        for text, pieces in zip(texts, cut, strict=True):
-            at = np.fromiter(map(look, pieces), dtype=np.int64, count=len(pieces))
-            if at.all():
-                parts.append(self.flat[flat_ranges(self.starts[at], self.lengths[at])][1:])
-            else:
-                parts.append(np.array(self.library([text])[0], dtype=np.uint32))
-        counts = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts))
-        return (np.concatenate(parts) if parts else np.zeros(0, dtype=np.uint32)), counts
+            self.learn(fresh)
+        places = np.fromiter(map(self.places.__getitem__, distinct), dtype=np.int64, count=len(distinct))
+        index = np.asarray(pieces.indices)
+        at = places[index]
+        at[firsts - 1] = 0
+        self.hits[: self.next] += np.bincount(at, minlength=self.next)
+        starts, lengths = self.starts[at], self.lengths[at]
+        starts[firsts] += 1
+        lengths[firsts] -= 1
+        odd = np.concatenate(([0], np.cumsum(at == 0)))
+        whole = odd[ends] > odd[firsts]  # texts with a piece that cannot be encoded by itself
+        lengths[np.repeat(whole, ends - firsts + 1)] = 0
+        sums = np.concatenate(([0], np.cumsum(lengths)))
+        counts = sums[ends] - sums[firsts]
+        ids = self.flat[flat_ranges(starts, lengths)]
+        if not whole.any():
+            return ids, counts
+        parts = np.split(ids, np.cumsum(counts)[:-1])
+        for nth in np.flatnonzero(whole).tolist():
+            parts[nth] = np.array(self.library([texts[nth].as_py() or ""])[0], dtype=np.uint32)
+        return np.concatenate(parts), np.fromiter(map(len, parts), dtype=np.int64, count=len(parts))
 
 
 def _room(values: np.ndarray, needed: int) -> np.ndarray:
@@ -161,8 +222,10 @@ def _encode_rows(rows: np.ndarray) -> list[bytes]:
     out: list[bytes] = [b""] * len(rows)
     for width in np.unique(widths).tolist():
         chosen = np.flatnonzero(widths == width)
-        bits = (apart[chosen][:, :, None] >> np.arange(width, dtype=np.uint32)) & np.uint32(1)
-        packed = np.packbits(bits.astype(np.uint8).reshape(len(chosen), -1), axis=1, bitorder="little")
+        size = 2 if width <= 16 else 4
+        raw = apart[chosen].astype(f"<u{size}").view(np.uint8).reshape(-1, size)
+        bits = np.unpackbits(raw, axis=1, bitorder="little")[:, :width]
+        packed = np.packbits(bits.reshape(len(chosen), -1), axis=1, bitorder="little")
         for k, block in zip(chosen.tolist(), packed, strict=True):
             a, b = ends[k], ends[k + 1]
             out[k] = heads[k].tobytes() + block.tobytes() + places[a:b].tobytes() + _patches(patches[a:b], heads["patch"][k])
@@ -282,9 +345,10 @@ def decode_blocks(data: bytes, starts: np.ndarray) -> np.ndarray:
             flat_ranges(starts[chosen] + HEAD.itemsize, np.full(len(chosen), BLOCK * width // 8))
         ].reshape(len(chosen), -1)
         bits = np.unpackbits(packed, axis=1, bitorder="little").reshape(-1, width)
-        wide = np.zeros((len(bits), 32), dtype=np.uint8)
+        size = 2 if width <= 16 else 4
+        wide = np.zeros((len(bits), 8 * size), dtype=np.uint8)
         wide[:, :width] = bits
-        values[chosen] = np.packbits(wide, axis=1, bitorder="little").view("<u4").reshape(len(chosen), BLOCK)
+        values[chosen] = np.packbits(wide, axis=1, bitorder="little").view(f"<u{size}").reshape(len(chosen), BLOCK)
     for size in (1, 2, 4):
         patched = np.flatnonzero((heads["exceptions"] > 0) & (counts == BLOCK) & (heads["patch"] == size))
         if not len(patched):
@@ -321,7 +385,7 @@ def write_token_files(documents: DataFrame, folder: str, tokenizer: str, end: in
                     opened = files.new_file(folder, ".tok")
                     path, stream = opened.__enter__()
                     writer = Writer(stream)
-                ids, counts = encode([t or "" for t in batch.column(1).to_pylist()])
+                ids, counts = encode(batch.column(1))
                 ends = np.cumsum(counts)
                 closed = np.insert(ids, ends, np.uint32(end))
                 writer.add(batch.column(0), closed, counts + 1)

@@ -288,6 +288,8 @@ def fit(documents: DataFrame, labels: DataFrame) -> Fitted:
     return Fitted(terms, model, Scorer(weights, constant))
 
 
-def score(documents: DataFrame, fitted: Fitted, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The kept columns and ``score`` of every document."""
-    return score_texts(documents, keep, fitted.scorer.score, ["score"])
+def score(
+    documents: DataFrame, fitted: Fitted, keep: tuple[str, ...] = ("doc_id",), name: str = "score"
+) -> DataFrame:
+    """The kept columns and the score, under a given name, of every document."""
+    return score_texts(documents, keep, fitted.scorer.score, [name])
