@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import fingerprints, mixing, nearest, pieces, quality, simhash, token_files, toxicity, web_archives
+from kerbside.llm import fingerprints, maxent, mixing, nearest, pieces, quality, simhash, token_files, toxicity, web_archives
 from kerbside.llm.common import fold, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -71,6 +71,10 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_digest(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op8_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent.score(table(spark, sf_dir, "documents"))
+
+
 def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pieces.encode_texts(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
     return found.select("doc_id", F.size("pieces").alias("n_pieces"), "pieces", "scores", "decodes")
@@ -81,7 +85,7 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    query.__name__: query for query in (op1_toxicity, op2_web_archives, op3_quality, op4_fingerprints, op5_simhash, op6_mixing, op7_token_files, op9_pieces, op10_nearest)
+    query.__name__: query for query in (op1_toxicity, op2_web_archives, op3_quality, op4_fingerprints, op5_simhash, op6_mixing, op7_token_files, op8_maxent, op9_pieces, op10_nearest)
 }
 
 OP6_SQL = r"""
