@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import os
 import re
-import string
 import zlib
 from collections.abc import Iterator
 
@@ -39,18 +38,21 @@ PERCENTILE = 0.9
 FOOTER = np.dtype([("blocks", "<u8"), ("documents", "<u8"), ("ids", "<u8"), ("end", "<u8")])
 HEAD = np.dtype([("minimum", "<u4"), ("ids", "<u2"), ("width", "u1"), ("patch", "u1"), ("exceptions", "<u2")])
 END = 0  # the id after each document
-CACHED = 900_000  # distinct pieces of text whose ids a worker remembers
+CACHED = 500_000  # distinct pieces of text whose ids a worker remembers
+# Letters and the punctuation after them are always different pieces to the tokenizer.
+LETTER_MARK = r"([A-Za-zÀ-ÖØ-öø-ɏ])([!-/:-@\[-`{-~])"
+JOINED = "\x01"  # stands before a piece that has no space before it; texts that hold it are encoded whole
 # A piece of text that can be encoded by itself: no white space in the widest sense, but for one newline before it.
-PIECE = re.compile(r"\n?[^\s\x1c-\x1f\x85\u180e\u200b\u2060\ufeff]+")
+PIECE = re.compile(r"[\n\x01]?[^\s\x01\x1c-\x1f\x85\u180e\u200b\u2060\ufeff]+")
 
 
 class Encoder:
     """Ids of whole texts from a tokenizer file.
 
-    The tokenizer's pattern never joins what stands before a single space or newline to what follows, so
-    a text without longer white space is encoded piece by piece, and each distinct piece only once: many
-    pieces, each after a newline of its own, go to the library as one text, and the newline's id cuts
-    the result. Any other text goes to the library whole.
+    The tokenizer's pattern never joins what stands before a single space or newline to what follows, nor a
+    letter to punctuation. So a text without longer white space is encoded piece by piece, and each
+    distinct piece only once: many pieces, each after a newline of its own, go to the library as one text,
+    and the newline's id cuts the result. Any other text goes to the library whole.
     """
 
     def __init__(self, path: str):
@@ -88,44 +90,17 @@ class Encoder:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def learn(self, pieces: list[str]) -> None:
-        """A piece that starts with a newline has its id; any other piece stands for itself after a space.
-
-        Letters followed by punctuation are two pieces to the tokenizer as well, so they are put together
-        from the letters' ids and those of the punctuation, which is kept under two newlines.
-        """
+        """A piece after a newline has the newline's id, a piece after JOINED none; any other follows a space."""
         self.places.update(dict.fromkeys(pieces, 0))
-        single, joined, words, tails = [], [], [], []
-        for piece in pieces:
-            if len(self.newline) != 1 or not PIECE.fullmatch(piece):
-                continue
-            word = piece.rstrip(string.punctuation)
-            if word.isalpha() and len(word) < len(piece):
-                joined.append(piece)
-                words.append(word)
-                tails.append("\n\n" + piece[len(word) :])
-            else:
-                single.append(piece)
-        new_words = list(set(words).difference(self.places, single))
-        self.places.update(dict.fromkeys(new_words, 0))
-        for some in chunks(single + new_words, 20_000):
-            text = "".join([p if p[0] == "\n" else "\n " + p for p in some])
+        good = list(filter(PIECE.fullmatch, pieces)) if len(self.newline) == 1 else []
+        for some in chunks(good, 20_000):
+            text = "".join([p if p[0] == "\n" else "\n" + p[1:] if p[0] == JOINED else "\n " + p for p in some])
             ids = np.array(self.library([text])[0], dtype=np.uint32)
             cuts = np.flatnonzero(ids == self.newline[0])
             if len(cuts) == len(some):
                 starts, ends = cuts + 1, np.append(cuts[1:], len(ids))
                 starts -= np.fromiter((p[0] == "\n" for p in some), dtype=np.int64, count=len(some))
                 self._add(some, ids, starts, ends - starts)
-        new_tails = list(set(tails).difference(self.places))
-        for tail, ids in zip(new_tails, self.library([t[2:] for t in new_tails]), strict=True):
-            self._add([tail], np.array(ids, dtype=np.uint32), np.zeros(1, dtype=np.int64), np.array([len(ids)]))
-        if joined:
-            parts = np.array([list(map(self.places.__getitem__, words)), list(map(self.places.__getitem__, tails))]).T
-            lengths = self.lengths[parts]
-            ids = self.flat[flat_ranges(self.starts[parts].reshape(-1), lengths.reshape(-1))]
-            both = lengths.sum(axis=1)
-            self._add(joined, ids, np.cumsum(both) - both, both)
-            for nth in np.flatnonzero(parts[:, 0] == 0).tolist():
-                self.places[joined[nth]] = 0
 
     def _add(self, pieces: list[str], ids: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> None:
         last = self.next + len(pieces)
@@ -142,7 +117,9 @@ class Encoder:
         if len(self.places) > CACHED:
             self.forget_rare()
         # A newline put before the first piece makes it like those after a newline; its id is left out again.
-        marked = pc.replace_substring(pc.binary_join_element_wise("\n", pc.fill_null(texts, ""), ""), "\n", " \n")
+        texts = pc.fill_null(texts, "")
+        marked = pc.replace_substring(pc.binary_join_element_wise("\n", texts, ""), "\n", " \n")
+        marked = pc.replace_substring_regex(marked, LETTER_MARK, rf"\1 {JOINED}\2")
         lists = pc.split_pattern(marked, " ")
         # What stands before the first space is nothing, so each list is read from its second piece on.
         firsts = np.asarray(lists.offsets)[:-1] + 1
@@ -162,6 +139,7 @@ class Encoder:
         lengths[firsts] -= 1
         odd = np.concatenate(([0], np.cumsum(at == 0)))
         whole = odd[ends] > odd[firsts]  # texts with a piece that cannot be encoded by itself
+        whole |= np.asarray(pc.match_substring(texts, JOINED))
         lengths[np.repeat(whole, ends - firsts + 1)] = 0
         sums = np.concatenate(([0], np.cumsum(lengths)))
         counts = sums[ends] - sums[firsts]
@@ -170,7 +148,7 @@ class Encoder:
             return ids, counts
         parts = np.split(ids, np.cumsum(counts)[:-1])
         for nth in np.flatnonzero(whole).tolist():
-            parts[nth] = np.array(self.library([texts[nth].as_py() or ""])[0], dtype=np.uint32)
+            parts[nth] = np.array(self.library([texts[nth].as_py()])[0], dtype=np.uint32)
         return np.concatenate(parts), np.fromiter(map(len, parts), dtype=np.int64, count=len(parts))
 
 
