@@ -1,0 +1,99 @@
+"""SimHash against plain Python."""
+
+import random
+from collections import Counter
+
+import pytest
+import xxhash
+from conftest import *  # noqa: F403
+
+from kerbside.llm import simhash
+from kerbside.llm.common import words_of
+from kerbside.llm.components import components
+
+
+def plain_fingerprint(text):
+    words = words_of(text)
+    if not words:
+        return 0
+    shingles = [b" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))]
+    hashes = [xxhash.xxh64_intdigest(s, 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def plain_components(fps):
+    """fp -> smallest fp reachable over links of two bits."""
+    label = {fp: fp for fp in fps}
+    changed = True
+    while changed:
+        changed = False
+        for a in label:
+            for b in label:
+                if (a ^ b).bit_count() <= 2 and label[b] < label[a]:
+                    label[a], changed = label[b], True
+    return label
+
+
+def signed(value):
+    return value - (1 << 64) if value >> 63 else value
+
+
+@pytest.mark.parametrize("text", [None, "", " \n", "One", "one TWO", " a  b\tc\nd ", "É é X", "a b c " * 100])
+def test_fingerprint(text):
+    assert simhash.fingerprint(text) == plain_fingerprint(text)
+
+
+def test_long_text_in_blocks(monkeypatch):
+    text = " ".join(random.Random(1).choices("abcdefgh", k=2_000))
+    whole = simhash.fingerprint(text)
+    monkeypatch.setattr(simhash, "BLOCK", 300)
+    assert simhash.fingerprint(text) == whole == plain_fingerprint(text)
+
+
+@pytest.mark.parametrize("limit", [2, 64])
+def test_links_against_all_pairs(spark, monkeypatch, limit):
+    """Small and large postings: no pair within two bits is left unconnected, no other is joined."""
+    monkeypatch.setattr(simhash, "POSTING", limit)
+    draw = random.Random(limit)
+    fps = set()
+    for _ in range(12):
+        centre = draw.getrandbits(64)
+        fps |= {centre, *(centre ^ (1 << draw.randrange(64)) ^ (1 << draw.randrange(64)) for _ in range(12))}
+    fps |= {draw.getrandbits(64) for _ in range(40)}
+    fps |= {0, 3, 1 << 63}
+    expected = plain_components(fps)
+    distinct = spark.createDataFrame([(signed(f),) for f in fps], "fp bigint")
+    edges = simhash.links(distinct)
+    for a, b in edges.collect():
+        assert ((a ^ b) & (2**64 - 1)).bit_count() <= 2
+    root = {r["node"]: r["root"] for r in components(edges).collect()}
+    groups = Counter()
+    for fp in fps:
+        groups[expected[fp], root.get(signed(fp), signed(fp))] += 1
+    # One to one between the plain labels and ours.
+    assert len({a for a, _ in groups}) == len({b for _, b in groups}) == len(groups)
+
+
+def test_components_of_a_long_chain(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (7, 7)], "a bigint, b bigint")
+    root = {r["node"]: r["root"] for r in components(edges).collect()}
+    assert all(root[i] == 0 for i in range(61)) and root[101] == root[100] == 100
+
+
+def test_odd_rows(odd, empty):
+    rows = simhash.grouped(odd).collect()
+    assert len(rows) == odd.count()
+    assert {r["fp"] for r in rows if r["doc_id"] in (2, 3, 4)} == {0}
+    assert {r["component_id"] for r in rows if r["doc_id"] in (2, 3, 4)} == {2}
+    assert {r["component_id"] for r in rows if r["doc_id"] in (1, 7)} == {1}
+    assert simhash.grouped(empty).collect() == []
+
+
+def test_one_of_each_group_stays(odd, empty):
+    kept = simhash.deduplicated(odd)
+    assert kept.columns == odd.columns
+    rows = kept.collect()
+    ids = sorted(r["doc_id"] for r in rows if r["doc_id"] is not None)
+    assert ids == [1, 2, 5, 6, 8, 9, 10]
+    assert sum(r["doc_id"] is None for r in rows) == 1  # the two equal rows without id; blank ones lie with id 2
+    assert simhash.deduplicated(empty).collect() == []
