@@ -19,11 +19,14 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+import string
+from collections.abc import Iterator, Sequence
 from heapq import heappop, heappush
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from kerbside.llm.common import chunks, flat_ranges, ready
@@ -32,6 +35,8 @@ MARK = "▁"  # stands for a space in the model file
 CACHED = 900_000  # distinct parts of text that a worker remembers
 BEST = 3
 RUN = re.compile(r" +[^ ]*")
+LETTER = re.compile("[A-Za-zÀ-ÖØ-öø-ɏ]")
+JOINED = "\x01"  # stands before a part that has no space before it; texts that hold it are cut at spaces only
 MISSING = object()
 
 
@@ -64,6 +69,10 @@ class Model:
                 self.table.setdefault(piece[:end], None)
         self.table.update(found)
         self.pairs = {piece[k : k + 2] for piece in found for k in range(len(piece) - 1)}
+        # Punctuation that follows a letter in no piece; texts are cut before it.
+        after = {pair[1] for pair in self.pairs if LETTER.fullmatch(pair[0])}
+        closing = "".join(re.escape(c) for c in string.punctuation if c not in after)
+        self.closing = f"({LETTER.pattern})([{closing}])" if closing else None
         self.byte_scores = [scores[i] if i >= 0 else -math.inf for i in self.byte_ids]
 
     def lattice(self, part: str) -> tuple[list[list[tuple[int, int | tuple[int, ...], float]]], list[float]]:
@@ -127,7 +136,7 @@ class Model:
 class Segmenter:
     """Remembers the best ids, the score and the distance to the second best of distinct parts of texts.
 
-    A part is written without the one space before it.
+    A part is written without the one space before it; a part without such a space has JOINED before it.
     """
 
     def __init__(self, model: Model):
@@ -164,14 +173,17 @@ class Segmenter:
         out.append(part[begin:])
         return out
 
+    def spelled(self, part: str) -> str:
+        return part[1:] if part.startswith(JOINED) else " " + part
+
     def learn(self, parts: list[str]) -> None:
-        """Segments new parts. Their cuts are kept under two newlines (with a space: as parts themselves)."""
+        """Segments new parts. Where they fall apart further, the pieces of text are parts themselves."""
         for some in chunks(parts, 20_000):
-            cuts = [[c[1:] if c[0] == " " and len(c) > 1 else "\n\n" + c for c in self.cut(" " + p)] for p in some]
+            cuts = [[c[1:] if c[0] == " " and len(c) > 1 else JOINED + c for c in self.cut(self.spelled(p))] for p in some]
             new = list(dict.fromkeys(c for own in cuts for c in own if c not in self.places))
             ids, scores, gaps = [], [], []
             for key in new:
-                two = self.model.best(key[2:] if key.startswith("\n\n") else " " + key, 2)
+                two = self.model.best(self.spelled(key), 2)
                 scores.append(two[0][0])
                 gaps.append(two[0][0] - two[1][0] if len(two) > 1 else math.inf)
                 ids.append(two[0][1])
@@ -204,27 +216,41 @@ class Segmenter:
         self.places.update(zip(keys, range(first, last), strict=True))
 
     def parts(self, text: str) -> list[str]:
-        if not text:
-            return []
-        found = text.split(" ")
-        # Where spaces meet, they stay with what follows.
-        return found if all(found) else [run[1:] for run in RUN.findall(" " + text)]
+        """The parts of a text of any kind: where spaces meet, they stay with what follows."""
+        return [JOINED + run for run in RUN.findall(" " + text)] if text else []
 
-    def segment(self, texts: list[str], most: int) -> Iterator[tuple[np.ndarray, list[float]]]:
+    def segment(self, texts: pa.Array, most: int) -> Iterator[tuple[np.ndarray, list[float]]]:
         """For each text the ids of the best segmentation and the scores of the ``most`` best."""
         if len(self.places) > CACHED:
             self.forget_rare()
-        cut = [self.parts(t) for t in texts]
-        fresh = set().union(*cut).difference(self.places)
+        texts = pc.fill_null(texts, "")
+        odd = np.asarray(pc.match_substring(texts, JOINED))
+        if self.model.closing:
+            marked = pc.replace_substring_regex(texts, self.model.closing, rf"\1 {JOINED}\2")
+        lists = pc.split_pattern(marked if self.model.closing else texts, " ")
+        bounds = np.asarray(lists.offsets)
+        pieces = lists.values.dictionary_encode()
+        distinct, index = pieces.dictionary.to_pylist(), np.asarray(pieces.indices)
+        empty = np.array([not p for p in distinct], dtype=bool)
+        # Texts where spaces meet or stand at an end are cut in another way.
+        odd = odd | (np.add.reduceat(empty[index].astype(np.int64), bounds[:-1]) > 0) if len(texts) else odd
+        special = {n: self.parts(texts[n].as_py()) for n in np.flatnonzero(odd).tolist()}
+        fresh = [p for p in dict.fromkeys([*distinct, *chain.from_iterable(special.values())]) if p and p not in self.places]
         if fresh:
-            self.learn(sorted(fresh))
-        for parts in cut:
-            at = np.fromiter(map(self.places.__getitem__, parts), dtype=np.int64, count=len(parts))
+            self.learn(fresh)
+        places = np.fromiter((self.places.get(p, 0) for p in distinct), dtype=np.int64, count=len(distinct))
+        for nth in range(len(texts)):
+            if nth in special:
+                parts = special[nth]
+                at = np.array([self.places[p] for p in parts], dtype=np.int64)
+            else:
+                own = index[bounds[nth] : bounds[nth + 1]]
+                parts, at = _Named(distinct, own), places[own]
             self.hits[at] += 1
             ids = self.flat[flat_ranges(self.starts[at], self.lengths[at])] if len(at) else np.zeros(0, dtype=np.int32)
             yield ids, [score for score, _ in self._best(parts, at, most)]
 
-    def _best(self, parts: list[str], at: np.ndarray, most: int) -> list[tuple[float, dict[int, tuple[int, ...]]]]:
+    def _best(self, parts: Sequence[str], at: np.ndarray, most: int) -> list[tuple[float, dict[int, tuple[int, ...]]]]:
         """The best combinations, as score and the parts that differ from the best segmentation.
 
         Only the ``most`` - 1 parts whose second best is nearest can differ: a change anywhere else is
@@ -252,7 +278,7 @@ class Segmenter:
 
     def _options(self, part: str, most: int) -> list[tuple[float, tuple[int, ...]]]:
         found: list[tuple[float, tuple[int, ...]]] = [(0.0, ())]
-        for own in self.cut(" " + part):
+        for own in self.cut(self.spelled(part)):
             joined = [(a + b, x + y) for a, x in found for b, y in self.model.best(own, most)]
             found = sorted(joined, key=lambda x: -x[0])[:most]
         return found
@@ -272,6 +298,16 @@ class Segmenter:
         return out
 
 
+class _Named:
+    """The parts of a text by their places in a list of distinct ones, spelled out only where asked for."""
+
+    def __init__(self, distinct: list[str], index: np.ndarray):
+        self.distinct, self.index = distinct, index
+
+    def __getitem__(self, nth: int) -> str:
+        return self.distinct[self.index[nth]]
+
+
 _SEGMENTERS: dict[str, Segmenter] = {}
 
 
@@ -290,12 +326,12 @@ def encode_texts(documents: DataFrame, model: str, most: int = BEST, keep: tuple
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = segmenter(model)
         for batch in batches:
-            texts = [t or "" for t in batch.column(0).to_pylist()]
+            texts = batch.column(0).cast(pa.binary())
             ids, scores, same = [], [], []
-            for text, (pieces, best) in zip(texts, own.segment(texts, most), strict=True):
+            for text, (pieces, best) in zip(texts, own.segment(batch.column(0), most), strict=True):
                 ids.append(pieces)
                 scores.append(best)
-                same.append(own.model.decode(pieces.tolist()) == text.encode("utf-8", "surrogatepass"))
+                same.append(own.model.decode(pieces.tolist()) == (text.as_py() or b""))
             made = [pa.array(ids, pa.list_(pa.int32())), pa.array(scores, pa.list_(pa.float64())), pa.array(same, pa.bool_())]
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], *made], names=[*keep, "pieces", "scores", "decodes"])
 
