@@ -12,14 +12,14 @@ from pyspark.sql import functions as F
 
 from kerbside.params import GRID, KEY_FACTOR, KEY_MODULUS, TILE_DEGREES, Grid
 
-# Beyond this the division by the cell width is no longer exact in a double. No place on earth
-# comes near it; NaN and the infinities fail the same comparison.
-EXACT_LIMIT = float(2**49)
+# Fixed value: doubles from here on have no bigint. Below it every floored number of steps has one, exactly.
+BIGINT_LIMIT = float(2**63)
 
 
 def sub_cell(degrees: Column, origin: float, grid: Grid = GRID) -> Column:
+    """Number of steps from the origin; null for NaN, the infinities and what no bigint can hold."""
     steps = (degrees - F.lit(origin)) / F.lit(grid.sub_size)
-    return F.when(F.abs(steps) < F.lit(EXACT_LIMIT), F.floor(steps))
+    return F.when((steps >= F.lit(-BIGINT_LIMIT)) & (steps < F.lit(BIGINT_LIMIT)), F.floor(steps))
 
 
 def sub_cell_x(lon: Column, grid: Grid = GRID) -> Column:
@@ -31,8 +31,14 @@ def sub_cell_y(lat: Column, grid: Grid = GRID) -> Column:
 
 
 def cell_of(sub: Column, grid: Grid = GRID) -> Column:
-    """Cell that holds a sub-cell; floors, so ids west or south of the origin stay right."""
-    return F.floor(sub / F.lit(float(grid.subs_per_cell)))
+    """Cell that holds a sub-cell; floors, so ids west or south of the origin stay right.
+
+    Whole-number arithmetic, exact over the whole type.
+    """
+    size = F.lit(grid.subs_per_cell).cast("bigint")
+    inside = F.pmod(sub, size)
+    # The remainder of the smallest numbers would pass below the type if it were taken off first.
+    return F.call_function("div", sub, size) - ((sub < 0) & (inside != 0)).cast("bigint")
 
 
 def sub_cell_centre(x: Column, y: Column, grid: Grid = GRID) -> tuple[Column, Column]:
@@ -53,7 +59,9 @@ def neighbours(x: Column, y: Column) -> Column:
 
 def message_key(cell_x: Column, cell_y: Column) -> Column:
     """Key that keeps the messages of one cell in one topic partition; null without a cell."""
-    return F.pmod(cell_y * KEY_FACTOR + cell_x, F.lit(KEY_MODULUS)).cast("string")
+    # Reduced before they are multiplied, so that no cell id is too large.
+    modulus = F.lit(KEY_MODULUS)
+    return F.pmod(F.pmod(cell_y, modulus) * KEY_FACTOR + F.pmod(cell_x, modulus), modulus).cast("string")
 
 
 def viewport_corner(degrees: Column) -> Column:

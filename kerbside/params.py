@@ -37,10 +37,14 @@ class Grid:
 
 @dataclass(frozen=True)
 class Slots:
-    """Equal slots of the day."""
+    """Equal slots of the day. Their length must divide the day, or the last one would be another."""
 
     minutes: int = 10
 
+    def __post_init__(self) -> None:
+        if self.minutes < 1 or 24 * 60 % self.minutes:
+            raise ValueError(f"slots of {self.minutes} minutes do not divide a day")
+
     @property
     def count(self) -> int:
         return 24 * 60 // self.minutes
