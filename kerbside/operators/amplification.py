@@ -98,7 +98,7 @@ def amplify(trips: DataFrame, key: Sequence[str], copies: Sequence[int] = COPIES
         {
             "datetime": F.col("pickup_at").cast("string"),
             "dropoff": F.col("dropoff_at").cast("string"),
-            "passengers": F.when(F.col("extra"), passengers + 1).otherwise(passengers),
+            "passengers": F.when(F.col("extra"), F.coalesce(F.try_add(passengers, F.lit(1)), passengers)).otherwise(passengers),
             "longitude": move_coordinate(F.col("longitude"), F.col("east")),
             "latitude": move_coordinate(F.col("latitude"), F.col("north")),
         }
@@ -128,7 +128,7 @@ def amplify_lines(lines: DataFrame, copies: Sequence[int] = COPIES, seed: int =
     )
     usable = drop_invalid(read, "pickup_at", "dropoff_at", "longitude", "latitude")
     shifted = shift_trip(copies_of(usable, [F.col("line")], copies, seed))
-    raised = (F.col("passengers") + 1).cast("string")
+    raised = (F.col("passengers").cast("decimal(20,0)") + 1).cast("string")  # may pass the largest bigint
     noisy = compute_once(
         shifted, {"carried": F.when(F.col("extra"), raised).otherwise(field[PASSENGERS])}
     )

@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from kerbside.operators.cleaning import SPOT_KEYS
 
 
+HEAVY_ROWS = 100_000  # positions of one slot and cell that one task takes
+MOST_HEAVY = 10_000  # keys that may be cut into shares
+
+
 def to_spots(lon: Column, lat: Column) -> Column:
     """Parallel coordinate arrays as one array of pairs."""
     return F.transform(
@@ -31,7 +35,35 @@ def prune_slots(hotspots: DataFrame, slots: list[int]) -> DataFrame:
     return hotspots.filter(F.col("time_slot").isin(slots)) if slots else hotspots.limit(0)
 
 
-def match_spots(positions: DataFrame, hotspots: DataFrame, broadcast: str | None = None, salt: int = 1) -> DataFrame:
+def heavy_keys(positions: DataFrame, rows: int) -> DataFrame:
+    """Keys with more than ``rows`` positions, and the number of ``shares`` to cut them into.
+
+    Counted with a map-side part. The limit rises with the table, so that at most ``MOST_HEAVY`` keys pass
+    it and the result may be broadcast at any size.
+    """
+    counts = positions.groupBy(*SPOT_KEYS).count()
+    total = positions.count()
+    limit = max(rows, -(-total // MOST_HEAVY))
+    shares = F.ceil(F.col("count") / F.lit(float(limit))).cast("int")
+    return counts.filter(F.col("count") > limit).select(*SPOT_KEYS, shares.alias("shares"))
+
+
+def split_heavy(positions: DataFrame, offers: DataFrame, rows: int = HEAVY_ROWS) -> tuple[DataFrame, DataFrame]:
+    """Adds a ``share`` to both sides: rows of a heavy key are dealt over its shares, and only its offers repeated."""
+    heavy = F.broadcast(heavy_keys(positions, rows))
+    keys = list(SPOT_KEYS)
+    shares = F.coalesce("shares", F.lit(1))
+    # Row hash and input partition are both stable under task retries; the partition number
+    # also spreads exact copies of one row.
+    spread = F.xxhash64("vehicle_id", "datetime") + F.spark_partition_id()
+    dealt = positions.join(heavy, keys, "left").withColumn("share", F.pmod(spread, shares).cast("int")).drop("shares")
+    repeated = offers.join(heavy, keys, "left").withColumn("share", F.explode(F.sequence(F.lit(0), shares - 1)))
+    return dealt, repeated.drop("shares")
+
+
+def match_spots(
+    positions: DataFrame, hotspots: DataFrame, broadcast: str | None = None, salt: int = 1, heavy: int | None = None
+) -> DataFrame:
     """Every position with the spots of its slot and cell; a position without spots gives no row.
 
     The spots stay the parallel arrays ``offer_lon``, ``offer_lat`` and ``weights`` they are stored as.
@@ -39,7 +71,8 @@ def match_spots(positions: DataFrame, hotspots: DataFrame, broadcast: str | None
     Neither side is broadcast unless the caller has checked its size and says which (``"positions"``
     or ``"hotspots"``). Otherwise this is a plain equi join: adaptive execution turns it into a
     broadcast if a side proves small, and splits the partition of a busy cell if not. ``salt`` > 1
-    spreads every key over that many tasks beforehand, repeating the (small) hotspot rows.
+    spreads every key over that many tasks beforehand, repeating the (small) hotspot rows; it works on
+    streams too. ``heavy`` counts the positions first and spreads just the keys with more rows than that.
     """
     if broadcast not in (None, "positions", "hotspots"):
         raise ValueError(f"broadcast must be 'positions', 'hotspots' or None, not {broadcast!r}")
@@ -54,15 +87,16 @@ def match_spots(positions: DataFrame, hotspots: DataFrame, broadcast: str | None
         positions = F.broadcast(positions)
     elif broadcast == "hotspots":
         offers = F.broadcast(offers)
+    elif heavy is not None:
+        positions, offers = split_heavy(positions, offers, heavy)
+        keys.append("share")
     elif salt > 1:
-        # Row hash and input partition are both stable under task retries; the partition number
-        # also spreads exact copies of one row.
         spread = F.xxhash64("vehicle_id", "datetime") + F.spark_partition_id()
         positions = positions.withColumn("salt", F.pmod(spread, F.lit(salt)).cast("int"))
         offers = offers.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
         keys.append("salt")
     joined = positions.join(offers, keys, "inner")
-    return joined.withColumn("vehicle_pos", F.array("longitude", "latitude")).drop("salt", "longitude", "latitude")
+    return joined.withColumn("vehicle_pos", F.array("longitude", "latitude")).drop("salt", "share", "longitude", "latitude")
 
 
 def arrivals(positions: DataFrame) -> DataFrame:

@@ -15,12 +15,17 @@ from kerbside.functions import clock, grid
 from kerbside.operators.cleaning import CELL_KEYS, clean_trips
 from kerbside.params import GRID, SLOTS, TOP_N, Grid, Slots
 
+LARGEST = 2**63 - 1  # the largest bigint
 GROUP = ("cell_x", "cell_y", "time_slot")
 
 
 def count_pickups(cleaned: DataFrame, cells: Grid = GRID) -> DataFrame:
-    """Passengers per sub-cell and slot. The cell follows from the sub-cell, so it is no key."""
-    sums = cleaned.groupBy("sub_x", "sub_y", "time_slot").agg(F.sum("passengers").cast("bigint").alias("passengers"))
+    """Passengers per sub-cell and slot. The cell follows from the sub-cell, so it is no key.
+
+    One damaged line may claim any number of passengers: a sum that passes the largest bigint stays there.
+    """
+    total = F.coalesce(F.try_sum(F.col("passengers").cast("bigint")), F.lit(LARGEST))
+    sums = cleaned.groupBy("sub_x", "sub_y", "time_slot").agg(total.alias("passengers"))
     return sums.select(
         grid.cell_of(F.col("sub_x"), cells).alias("cell_x"),
         grid.cell_of(F.col("sub_y"), cells).alias("cell_y"),

@@ -71,9 +71,10 @@ def suggestions(
     keep: tuple[str, ...] = (),
     broadcast: str | None = None,
     salt: int = 1,
+    heavy: int | None = None,
 ) -> DataFrame:
     """Cleaned positions to the rows of the suggestions table; ``keep`` names columns to carry along."""
-    answered = suggest(match_spots(positions, hotspots, broadcast, salt), k)
+    answered = suggest(match_spots(positions, hotspots, broadcast, salt, heavy), k)
     return answered.select("vehicle_id", "vehicle_pos", "spot_lon", "spot_lat", "datetime", *keep)
 
 

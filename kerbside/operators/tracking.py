@@ -1,11 +1,12 @@
 """Questions about stored positions or suggestions: who is known, where was everyone, and when.
 
-The clock counts minutes of the month (``functions.clock.minute_of_month``), so a table is expected to
-hold one month. All times are ordered as text ``yyyy-MM-dd HH:mm:ss``.
+The clock counts minutes of the month (``functions.clock.minute_of_month``), so every question about the clock
+is answered for one month, or for each month by itself. All times are ordered as text ``yyyy-MM-dd HH:mm:ss``.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -15,6 +16,7 @@ from kerbside.functions import clock, grid, hashing
 from kerbside.operators.indexing import hash_index
 from kerbside.operators.staging import compute_once
 from kerbside.params import PLAYBACK_END, PLAYBACK_START, TILE_DEGREES
+from kerbside.session import scratch_dir
 
 
 def known_vehicles(df: DataFrame) -> DataFrame:
@@ -34,7 +36,11 @@ def resolve_ids(requested: DataFrame, known: DataFrame, tracked: DataFrame, seed
     A known id stands for itself. An unknown one gets a random known id that is not tracked yet, drawn
     by the digest of the id; null if all are tracked. Draws are independent, so two may coincide.
     """
-    members = known.select("vehicle_id").distinct()
+    # Stored, so that the positions are read once for the three uses below.
+    spark = known.sparkSession
+    path = scratch_dir(spark, "known-vehicles")
+    known.select("vehicle_id").distinct().write.parquet(path)
+    members = spark.read.schema("vehicle_id string").parquet(path)
     taken = tracked.select("vehicle_id").distinct()
     free = hash_index(members.join(taken, "vehicle_id", "left_anti"), "vehicle_id", seed)
     total = free.agg(F.count("*").alias("total")).scalar()
@@ -46,27 +52,53 @@ def resolve_ids(requested: DataFrame, known: DataFrame, tracked: DataFrame, seed
     return found.unionByName(replaced)
 
 
+def of_month(df: DataFrame, month: str | None) -> DataFrame:
+    """Rows of a month ``yyyy-MM``. The range on the text reaches the scan, and prunes tables laid out by day."""
+    if month is None:
+        return df
+    if not re.fullmatch(r"\d{4}-(0[1-9]|1[0-2])", month):
+        raise ValueError(f"a month is yyyy-MM, not {month!r}")
+    text = F.col("datetime")
+    # Single digits are allowed in a month's number (2008-5-3), and follow the two-digit months as text.
+    year, number = month.split("-")
+    wanted = text.between(f"{year}-{number}-", f"{year}-{number}-~")
+    if number < "10":
+        wanted = wanted | text.between(f"{year}-{number[1]}-", f"{year}-{number[1]}-~")
+    return df.filter(wanted)
+
+
 def with_minute(df: DataFrame) -> DataFrame:
-    """Adds the minute of the month; a row without a readable time is dropped."""
+    """Adds the month and its minute; a row without a readable time is dropped."""
     timed = compute_once(df, {"moment": clock.parse_datetime(F.col("datetime"))}).filter(F.col("moment").isNotNull())
-    return timed.withColumn("minute", clock.minute_of_month_at(F.col("moment"))).drop("moment")
+    month = F.date_format("moment", "yyyy-MM")
+    return timed.withColumns({"minute": clock.minute_of_month_at(F.col("moment")), "month": month}).drop("moment")
 
 
 def record(df: DataFrame, order: Sequence[str]) -> Column:
     """All columns but the vehicle as one struct that sorts by ``order``, then by the rest."""
-    rest = [name for name in df.columns if name not in order and name != "vehicle_id"]
+    rest = [name for name in df.columns if name not in (*order, "vehicle_id", "month")]
     return F.struct(*order, *rest)
 
 
-def fleet_at(df: DataFrame, minute: float, order: Sequence[str] = ("datetime",)) -> DataFrame:
+def fleet_at(
+    df: DataFrame, minute: float, order: Sequence[str] = ("datetime",), month: str | None = None
+) -> DataFrame:
     """Where every vehicle is at a clock time: its first row at or after it, else its last row.
 
+    With ``month`` (yyyy-MM) for that month alone, else for each month of the table, named in ``month``.
     One aggregation with a map-side part, so a vehicle with very many rows costs one row per task.
     """
-    timed = with_minute(df)
+    timed = with_minute(of_month(df, month))
     here = record(timed, order)
     shown = F.coalesce(F.min(F.when(F.col("minute") >= minute, here)), F.max(here))
-    return timed.groupBy("vehicle_id").agg(shown.alias("shown")).select("vehicle_id", "shown.*")
+    return timed.groupBy("vehicle_id", "month").agg(shown.alias("shown")).select("vehicle_id", "month", "shown.*")
+
+
+def keep_vehicles(reduced: DataFrame, ids: DataFrame) -> DataFrame:
+    """Reduced rows of the given vehicles. An inner join with distinct ids: as a semi join the optimizer would
+    move it below the aggregation, and the raw rows of all vehicles would be shuffled by vehicle."""
+    wanted = ids.select(F.col("vehicle_id").alias("wanted_id")).distinct()
+    return reduced.join(wanted, F.col("vehicle_id") == F.col("wanted_id")).drop("wanted_id")
 
 
 def playback(
@@ -76,28 +108,34 @@ def playback(
     ticks_per_minute: int = 2,
     ids: DataFrame | None = None,
     order: Sequence[str] = ("datetime",),
+    month: str | None = None,
 ) -> DataFrame:
     """``fleet_at`` for every tick from ``start`` to ``end``; ``tick`` counts parts of a minute.
 
     The opening tick shows the first row of each vehicle, as nothing has been advanced yet. A row is
     then shown from the tick after the previous minute's up to its own, and the last row to the end.
-    Rows are first reduced, partly before the shuffle, to the earliest and latest of every vehicle and
+    Rows are first reduced, partly before the shuffle, to the earliest and latest of every vehicle, month and
     minute, with all minutes before or after the range as one each. That leaves at most
-    ``end - start + 3`` rows per vehicle, which the window then links up; no join with the ticks.
+    ``end - start + 3`` rows per vehicle and month; only these are matched with ``ids`` and linked up by
+    the window. There is no join with the ticks.
     """
-    chosen = df if ids is None else df.join(ids.select("vehicle_id").distinct(), "vehicle_id", "left_semi")
-    timed = with_minute(chosen)
+    timed = with_minute(of_month(df, month))
     here = record(timed, order)
     clamped = F.greatest(F.least(F.col("minute"), F.lit(end + 1)), F.lit(start - 1))
     reduced = (
-        timed.withColumn("at", clamped).groupBy("vehicle_id", "at").agg(F.min(here).alias("early"), F.max(here).alias("late"))
+        timed.withColumn("at", clamped)
+        .groupBy("vehicle_id", "month", "at")
+        .agg(F.min(here).alias("early"), F.max(here).alias("late"))
     )
+    if ids is not None:
+        reduced = keep_vehicles(reduced, ids)
 
-    by_time = Window.partitionBy("vehicle_id").orderBy("at")
+    by_time = Window.partitionBy("vehicle_id", "month").orderBy("at")
     before, after = F.lag("at").over(by_time), F.lead("at").over(by_time)
     opening, first, last = (F.lit(tick * ticks_per_minute) for tick in (start, start, end))
     spans = reduced.select(
         "vehicle_id",
+        "month",
         "early",
         "late",
         before.isNull().alias("is_first"),
@@ -117,26 +155,31 @@ def playback(
         F.struct(ticks(F.col("from_tick"), F.col("to_tick"), F.lit(True)).alias("ticks"), F.col("early").alias("row")),
         F.struct(ticks(F.col("tail_tick"), F.col("last"), F.col("is_last")).alias("ticks"), F.col("late").alias("row")),
     )
-    parts = spans.select("vehicle_id", F.explode(shown).alias("part"))
-    return parts.select("vehicle_id", F.explode("part.ticks").alias("tick"), F.col("part.row").alias("row")).select(
-        "vehicle_id", "tick", "row.*"
+    parts = spans.select("vehicle_id", "month", F.explode(shown).alias("part"))
+    return parts.select("vehicle_id", "month", F.explode("part.ticks").alias("tick"), F.col("part.row").alias("row")).select(
+        "vehicle_id", "month", "tick", "row.*"
     )
 
 
 def viewport_tiles(df: DataFrame, lon: str = "longitude", lat: str = "latitude") -> DataFrame:
-    """The 3 x 3 map tiles around each position: ``tile`` 0..8 with north, south, east and west."""
-    tile = F.col("tile")
-    column = tile % 3
-    row = ((tile - column) / 3).cast("int")
-    north, east = F.col("corner_lat"), F.col("corner_lon")
+    """The 3 x 3 map tiles around each position: ``tile`` 0..8, row by row, with north, south, east and west."""
+    around = [(north, east) for north in range(3) for east in range(3)]
+    tiles = F.array(
+        *[
+            F.struct(F.lit(nth).alias("tile"), F.lit(up).alias("up"), F.lit(right).alias("right"))
+            for nth, (up, right) in enumerate(around)
+        ]
+    )
     corners = df.withColumns(
         {"corner_lon": grid.viewport_corner(F.col(lon)), "corner_lat": grid.viewport_corner(F.col(lat))}
     )
-    return corners.withColumn("tile", F.explode(F.sequence(F.lit(0), F.lit(8)))).withColumns(
+    placed = corners.select("*", F.inline(tiles))
+    north, east, size = F.col("corner_lat"), F.col("corner_lon"), F.lit(TILE_DEGREES)
+    return placed.withColumns(
         {
-            "north": north + row * F.lit(TILE_DEGREES),
-            "south": north + (row - 1) * F.lit(TILE_DEGREES),
-            "east": east + column * F.lit(TILE_DEGREES),
-            "west": east + (column - 1) * F.lit(TILE_DEGREES),
+            "north": north + F.col("up") * size,
+            "south": north + (F.col("up") - 1) * size,
+            "east": east + F.col("right") * size,
+            "west": east + (F.col("right") - 1) * size,
         }
-    )
+    ).drop("up", "right")

@@ -25,9 +25,10 @@ def frames(
     end: int = PLAYBACK_END,
     ticks_per_minute: int = 2,
     order: Sequence[str] = ("datetime",),
+    month: str | None = None,
 ) -> DataFrame:
-    """Position, spots and clock label of each vehicle at each tick."""
-    shown = playback(suggestions, start, end, ticks_per_minute, ids, order)
+    """Position, spots and clock label of each vehicle at each tick, of one month or of each."""
+    shown = playback(suggestions, start, end, ticks_per_minute, ids, order, month)
     minutes = F.col("tick") / F.lit(float(ticks_per_minute))
     return shown.withColumns(
         {"label": clock.clock_label(minutes), "longitude": F.get("vehicle_pos", 0), "latitude": F.get("vehicle_pos", 1)}
