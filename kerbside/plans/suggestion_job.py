@@ -12,29 +12,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbside.operators.cleaning import clean_positions
+from kerbside.operators.matching import HEAVY_ROWS
 from kerbside.operators.sampling import suggestions
 from kerbside.params import PICKS
 from kerbside.session import build_session
-from kerbside.sources.messages import kafka_options, read_messages
+from kerbside.sources.messages import MAX_OFFSETS_PER_TRIGGER, kafka_options, read_messages
 from kerbside.sources.tables import ParquetTable, Table, read_table
 from kerbside.streaming.suggestions import load_hotspots, run_suggestions
 
-# A stored spot takes 24 bytes in its arrays, so this many take about half a gigabyte in an executor.
-# That is worth it: the positions, by far the larger side, are then not shuffled at all.
-BROADCAST_SPOTS = 20_000_000
-# Beyond it both sides are shuffled and every key is spread over this many tasks.
-SALT = 32
+# Size of the broadcast hotspots that a driver and executor with default memory can hold. A row takes 173
+# bytes and a spot 24.6 in it, as measured. The positions, by far the larger side, are then not shuffled.
+BROADCAST_BYTES = 256 << 20
+ROW_BYTES, SPOT_BYTES = 173, 24.6
 
 
-def suggest_history(spark: SparkSession, positions: DataFrame, table: Table, k: int = PICKS, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Suggestions for stored positions. The spots in the hotspot table are counted, which reads one of
-    its columns, to choose between broadcasting it and a salted shuffle join."""
+def suggest_history(spark: SparkSession, positions: DataFrame, table: Table, k: int = PICKS, keep: tuple[str, ...] = (), broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Suggestions for stored positions. Rows and spots of the hotspot table are counted, which reads one of its
+    columns, to choose between broadcasting it and a shuffle join in which heavy keys are split."""
     hotspots = read_table(spark, table)
     cleaned = clean_positions(positions)
-    spots = hotspots.agg(F.coalesce(F.sum(F.size("passengers")), F.lit(0))).first()[0]
-    if spots <= BROADCAST_SPOTS:
+    rows, spots = hotspots.agg(F.count("*"), F.coalesce(F.sum(F.size("passengers")), F.lit(0))).first()
+    if rows * ROW_BYTES + spots * SPOT_BYTES <= broadcast_bytes:
         return suggestions(cleaned, hotspots, k, keep, broadcast="hotspots")
-    return suggestions(cleaned, hotspots, k, keep, salt=SALT)
+    return suggestions(cleaned, hotspots, k, keep, heavy=HEAVY_ROWS)
 
 
 def main() -> None:
@@ -44,9 +44,10 @@ def main() -> None:
     args.add_argument("--partitions", type=int, required=True)
     args.add_argument("--start-offset", type=int, default=0)
     args.add_argument("--picks", type=int, default=PICKS)
+    args.add_argument("--max-offsets", type=int, default=MAX_OFFSETS_PER_TRIGGER, help="messages of one micro-batch")
     given = args.parse_args()
     spark = build_session("suggestions")
-    options = kafka_options(given.brokers, given.topic, given.partitions, given.start_offset)
+    options = kafka_options(given.brokers, given.topic, given.partitions, given.start_offset, given.max_offsets)
     messages = read_messages(spark, "kafka", options)
     hotspots = load_hotspots(spark, ParquetTable(given.hotspots))
     run_suggestions(messages, hotspots, given.output, given.checkpoint, given.picks).awaitTermination()

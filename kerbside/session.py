@@ -31,6 +31,12 @@ def build_session(app: str, master: str | None = None, conf: dict[str, str] | No
     return builder.getOrCreate()
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a scratch folder that this code has made itself, in whatever store it lies."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new folder path under the folder the session names in ``spark.checkpoint.dir``.
 

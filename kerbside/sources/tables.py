@@ -8,7 +8,10 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kerbside.functions.clock import part_ranges
+
 SLOT = "time_slot"
+PARTS = 18  # connections that read a whole table from a database
 
 
 @dataclass(frozen=True)
@@ -50,10 +53,11 @@ def write_table(df: DataFrame, target: Table, mode: str, sort_by: Sequence[str]
         df.write.jdbc(target.url, target.table, mode=mode, properties=dict(target.properties))
 
 
-def read_table(spark: SparkSession, target: Table) -> DataFrame:
+def read_table(spark: SparkSession, target: Table, parts: int = PARTS) -> DataFrame:
+    """The whole table. From a database one task reads each of ``parts`` ranges of slots."""
     if isinstance(target, ParquetTable):
         return spark.read.parquet(target.path)
-    return spark.read.jdbc(target.url, target.table, properties=dict(target.properties))
+    return read_slots(spark, target, part_ranges(parts))
 
 
 def slot_predicates(ranges: Sequence[tuple[int, int]]) -> list[str]:

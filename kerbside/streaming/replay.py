@@ -11,14 +11,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from kerbside.session import scratch_dir
+from kerbside.session import remove, scratch_dir
 from kerbside.sources.messages import MESSAGE_FIELDS, encode_positions
 
 ROWS_PER_SECOND = 1000
-ROWS_PER_FILE = 10_000_000
+CHUNK_ROWS = 1_000_000  # consecutive numbers in one folder
 
 
-def prepare_replay(positions: DataFrame, path: str) -> None:
+def prepare_replay(positions: DataFrame, path: str, chunk_rows: int = CHUNK_ROWS) -> None:
     """Stores positions with ``seq`` 0, 1, 2, ... in time order.
 
     One range shuffle, as wide as ``spark.sql.shuffle.partitions``, and no global sort in one task.
@@ -30,7 +30,9 @@ def prepare_replay(positions: DataFrame, path: str) -> None:
     staged = scratch_dir(spark, "replay")
     keys = ["datetime", "vehicle_id", "longitude", "latitude", "origin"]
     ordered = positions.select(*MESSAGE_FIELDS, F.spark_partition_id().alias("origin"))
-    ordered.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("origin").write.parquet(staged)
+    spread = ordered.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("origin")
+    # One file a task, whatever the session's settings: the part number orders the files.
+    spread.write.option("maxRecordsPerFile", 0).parquet(staged)
 
     stored = spark.read.parquet(staged).select(
         *MESSAGE_FIELDS,
@@ -47,22 +49,27 @@ def prepare_replay(positions: DataFrame, path: str) -> None:
     numbered = stored.join(F.broadcast(starts), "file").select(
         *MESSAGE_FIELDS, (F.col("start") + F.col("at")).alias("seq")
     )
-    numbered.sortWithinPartitions("seq").write.mode("overwrite").option("maxRecordsPerFile", ROWS_PER_FILE).parquet(path)
+    # Whole chunks of numbers in a folder each: a batch opens the folders that are due, no others.
+    chunks = numbered.withColumn("chunk", F.expr(f"seq div {chunk_rows}"))
+    laid_out = chunks.sortWithinPartitions("chunk", "seq").write.mode("overwrite").partitionBy("chunk")
+    laid_out.option("maxRecordsPerFile", 0).parquet(path)
+    remove(spark, staged)
 
 
-def replay_rows(ticks: DataFrame, table: DataFrame, total: int) -> DataFrame:
+def replay_rows(ticks: DataFrame, table: DataFrame, total: int, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """The stored rows for a batch of ticks (column ``value``), wrapping round after ``total`` rows."""
     low, high = ticks.agg(F.min("value"), F.max("value")).first()
     if low is None or total == 0:
         return table.limit(0)
-    first, last, seq = low % total, high % total, F.col("seq")
+    first, last, seq, chunk = low % total, high % total, F.col("seq"), F.col("chunk")
     if high - low + 1 >= total:
         wanted = table
     elif first <= last:
-        wanted = table.filter(seq.between(first, last))
+        wanted = table.filter(chunk.between(first // chunk_rows, last // chunk_rows) & seq.between(first, last))
     else:
-        wanted = table.filter((seq >= first) | (seq <= last))
-    return ticks.select("value", (F.col("value") % total).alias("seq")).join(wanted, "seq")
+        folders = (chunk >= first // chunk_rows) | (chunk <= last // chunk_rows)
+        wanted = table.filter(folders & ((seq >= first) | (seq <= last)))
+    return ticks.select("value", (F.col("value") % total).alias("seq")).join(wanted.drop("chunk"), "seq")
 
 
 def replay(
@@ -71,6 +78,7 @@ def replay(
     sink,
     checkpoint: str,
     rate: int = ROWS_PER_SECOND,
+    chunk_rows: int = CHUNK_ROWS,
 ) -> StreamingQuery:
     """Starts an endless replay. ``sink(messages, batch_id)`` gets each micro-batch of keyed messages,
     for example to hand them to ``sources.messages.write_messages``."""
@@ -78,7 +86,7 @@ def replay(
     total = table.count()  # answered from the file footers
 
     def send(ticks: DataFrame, batch_id: int) -> None:
-        sink(encode_positions(replay_rows(ticks, table, total)), batch_id)
+        sink(encode_positions(replay_rows(ticks, table, total, chunk_rows)), batch_id)
 
     ticks = spark.readStream.format("rate").option("rowsPerSecond", rate).load()
     return ticks.writeStream.foreachBatch(send).option("checkpointLocation", checkpoint).trigger(processingTime="1 second").start()
