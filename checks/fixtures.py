@@ -60,6 +60,7 @@ def trip_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("fault") == 9, line(datetime=F.lit("2008-5-3 5:6:7")))
         .when(F.col("fault") == 10, line(datetime=F.lit("2008-05-13 15:62:35")))
         .when(F.col("fault") == 11, line(passengers=F.lit("x")))
+        .when(F.col("fault") == 12, line(passengers=F.lit(str(2**63 - 1))))
         .otherwise(good)
     )
     return texts.select(damaged.alias("value"))
@@ -76,6 +77,39 @@ def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def two_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The positions, and each second event again a month later and some minutes earlier."""
+    moment = F.col("datetime").cast("timestamp_ntz") + F.make_interval(months=F.lit(1), mins=-(F.col("event_id") % 50).cast("int"))
+    later = positions(spark, sf_dir).filter("event_id % 2 = 0").withColumns(
+        {"datetime": moment.cast("string"), "event_id": F.col("event_id") + 10_000_000}
+    )
+    return positions(spark, sf_dir).unionByName(later)
+
+
+def odd_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The positions, some of them off the area, without a cell, of an odd vehicle or at no real time."""
+    fault = F.conv(F.substring(F.md5(F.col("event_id").cast("string")), 1, 2), 16, 10).cast("int")
+    lon, text = F.col("longitude"), F.col("datetime")
+    return positions(spark, sf_dir).withColumns(
+        {
+            "longitude": F.when(fault < 20, lon + 1).when(fault < 30, F.lit(float("nan"))).when(fault < 40, F.lit(1e12)).otherwise(lon),
+            "vehicle_id": F.when(fault.between(40, 59), F.concat(F.lit("abc"), "vehicle_id")).otherwise(F.col("vehicle_id")),
+            "datetime": F.when(fault.between(60, 79), F.concat(F.substring(text, 1, 14), F.lit("62:00"))).otherwise(text),
+        }
+    )
+
+
+def position_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The positions as tab text, some lines damaged."""
+    fault = F.conv(F.substring(F.md5(F.col("event_id").cast("string")), 1, 2), 16, 10).cast("int")
+    lon = F.when(fault == 1, F.lit("3d")).otherwise(F.col("longitude").cast("string"))
+    whole = F.concat_ws("\t", F.col("latitude").cast("string"), lon, "datetime", "vehicle_id")
+    short = F.concat_ws("\t", F.col("latitude").cast("string"), "datetime")
+    line = F.when(fault == 0, F.lit("latitude\tlongitude\tdatetime\tvehicle_id")).when(fault == 2, short)
+    line = line.when(fault == 3, F.concat(F.lit("  "), whole, F.lit("\textra "))).otherwise(whole)
+    return positions(spark, sf_dir).select(line.alias("value"))
+
+
 def position_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The positions as JSON messages, some of them cut off in the middle."""
     fault = F.conv(F.substring(F.md5("value"), 1, 2), 16, 10).cast("int")

@@ -89,6 +89,7 @@ PARTS: dict[str, str] = {
                  WHEN 9 THEN concat_ws(',', 'V1', '2008-5-3 5:6:7', dropoff, p, '1.5', lon, lat)
                  WHEN 10 THEN concat_ws(',', 'V1', '2008-05-13 15:62:35', dropoff, p, '1.5', lon, lat)
                  WHEN 11 THEN concat_ws(',', 'V1', datetime, dropoff, 'x', '1.5', lon, lat)
+                 WHEN 12 THEN concat_ws(',', 'V1', datetime, dropoff, '9223372036854775807', '1.5', lon, lat)
                  ELSE concat_ws(',', 'V1', datetime, dropoff, p, '1.5', lon, lat)
                END AS value
         FROM faults""",
@@ -112,7 +113,7 @@ PARTS: dict[str, str] = {
     "cleaned": "SELECT * FROM placed WHERE passengers >= 1",
     "counts": f"""
         SELECT {cell('sub_x')} AS cell_x, {cell('sub_y')} AS cell_y, time_slot, sub_x, sub_y,
-               CAST(sum(passengers) AS BIGINT) AS passengers
+               CAST(least(sum(CAST(passengers AS HUGEINT)), CAST(9223372036854775807 AS HUGEINT)) AS BIGINT) AS passengers
         FROM cleaned GROUP BY ALL""",
     "own": """
         SELECT * FROM (
@@ -178,7 +179,7 @@ PARTS: dict[str, str] = {
         FROM copied_lines""",
     "noisy_lines": f"""
         SELECT *, shifted + to_seconds({SECONDS}) AS new_start,
-               CASE WHEN {EXTRA} THEN CAST(passengers + 1 AS VARCHAR) ELSE part[4] END AS carried,
+               CASE WHEN {EXTRA} THEN CAST(CAST(passengers AS HUGEINT) + 1 AS VARCHAR) ELSE part[4] END AS carried,
                {moved('longitude', EAST)} AS lon, {moved('latitude', NORTH)} AS lat
         FROM shifted_lines WHERE shifted IS NOT NULL AND old_end IS NOT NULL""",
     "line_copies": f"""
@@ -217,6 +218,62 @@ PARTS: dict[str, str] = {
         SELECT u.vehicle_id, u.tick,
                CASE WHEN u.tick = 1180 THEN f.event_id ELSE coalesce(u.event_id, l.event_id) END AS event_id
         FROM upcoming u JOIN first_row f USING (vehicle_id) JOIN last_row l USING (vehicle_id)""",
+    "read_positions": """
+        SELECT latitude, longitude, datetime, vehicle_id FROM positions
+        WHERE substr(md5(CAST(event_id AS VARCHAR)), 1, 2) NOT IN ('00', '01', '02')""",
+    "odd_positions": """
+        SELECT event_id, latitude, CASE WHEN fault < 20 THEN longitude + 1 WHEN fault < 30 THEN CAST('nan' AS DOUBLE)
+                      WHEN fault < 40 THEN CAST(1e12 AS DOUBLE) ELSE longitude END AS longitude,
+               CASE WHEN fault BETWEEN 40 AND 59 THEN 'abc' || vehicle_id ELSE vehicle_id END AS vehicle_id,
+               CASE WHEN fault BETWEEN 60 AND 79 THEN substr(datetime, 1, 14) || '62:00' ELSE datetime END AS datetime
+        FROM (SELECT *, CAST('0x' || substr(md5(CAST(event_id AS VARCHAR)), 1, 2) AS INTEGER) AS fault FROM positions)""",
+    "usable_odd": f"SELECT * FROM odd_positions WHERE NOT isnan(longitude) AND {moment('datetime')} IS NOT NULL",
+    "cleaned_odd": f"""
+        SELECT event_id, vehicle_id, {slot('datetime')} AS time_slot,
+               {cell(sub('longitude', '74.25'))} AS block_latid, {cell(sub('latitude', '-40.5'))} AS block_lonid
+        FROM usable_odd""",
+    "odd_matched": """
+        SELECT p.event_id, p.vehicle_id, s.rn, s.longitude, s.latitude, s.passengers
+        FROM cleaned_odd p JOIN spots s USING (time_slot, block_latid, block_lonid)""",
+    "odd_picks": f"""
+        SELECT event_id, vehicle_id, CAST(pick_no AS INTEGER) AS pick_no, longitude AS spot_lon, latitude AS spot_lat
+        FROM (
+          SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY draw_key, rn) AS pick_no
+          FROM (
+            SELECT *, -ln({draw('4040 + TRY_CAST(vehicle_id AS BIGINT)', 'rn')}) / passengers AS draw_key
+            FROM odd_matched WHERE regexp_full_match(vehicle_id, '[0-9]+'))) WHERE pick_no <= 3""",
+    "later_positions": f"""
+        SELECT vehicle_id, longitude, latitude,
+               strftime({moment('datetime')} + INTERVAL 1 MONTH - to_minutes(CAST(event_id % 50 AS BIGINT)), {STAMP}) AS datetime,
+               event_id + 10000000 AS event_id
+        FROM positions WHERE event_id % 2 = 0""",
+    "all_positions": """
+        SELECT vehicle_id, longitude, latitude, datetime, event_id FROM positions
+        UNION ALL SELECT vehicle_id, longitude, latitude, datetime, event_id FROM later_positions""",
+    "timed_months": f"SELECT *, {minute('datetime')} AS minute, substr(datetime, 1, 7) AS month FROM all_positions",
+    "month_ticks": """
+        SELECT vehicle_id, month, CAST(range AS INTEGER) AS tick
+        FROM (SELECT DISTINCT vehicle_id, month FROM timed_months), range(1180, 2641)""",
+    "month_earliest": """
+        SELECT * FROM timed_months
+        QUALIFY row_number() OVER (PARTITION BY vehicle_id, month, minute ORDER BY datetime, event_id) = 1""",
+    "month_first": """
+        SELECT * FROM timed_months
+        QUALIFY row_number() OVER (PARTITION BY vehicle_id, month ORDER BY datetime, event_id) = 1""",
+    "month_last": """
+        SELECT * FROM timed_months
+        QUALIFY row_number() OVER (PARTITION BY vehicle_id, month ORDER BY datetime DESC, event_id DESC) = 1""",
+    "month_upcoming": """
+        SELECT t.vehicle_id, t.month, t.tick, e.event_id
+        FROM month_ticks t ASOF LEFT JOIN month_earliest e
+          ON t.vehicle_id = e.vehicle_id AND t.month = e.month AND t.tick <= e.minute * 2""",
+    "month_ids": """
+        SELECT u.vehicle_id, u.month, u.tick,
+               CASE WHEN u.tick = 1180 THEN f.event_id ELSE coalesce(u.event_id, l.event_id) END AS event_id
+        FROM month_upcoming u JOIN month_first f USING (vehicle_id, month) JOIN month_last l USING (vehicle_id, month)""",
+    "shown_months": """
+        SELECT s.vehicle_id, s.month, s.tick, t.datetime, t.event_id, t.longitude, t.latitude, t.minute
+        FROM month_ids s JOIN timed_months t USING (event_id)""",
     "shown": """
         SELECT s.vehicle_id, s.tick, t.datetime, s.event_id, t.longitude, t.latitude, t.minute
         FROM shown_ids s JOIN timed t USING (event_id)""",
@@ -231,7 +288,11 @@ FINAL: dict[str, str] = {
         SELECT datetime, passengers, longitude, latitude,
                {sub('longitude', '74.25')} AS sub_x, {sub('latitude', '-40.5')} AS sub_y FROM readable""",
     "hotspots_from_text": "SELECT * FROM spots",
-    "read_slots": "SELECT * FROM spots",
+    "read_slots": "SELECT * FROM spots WHERE time_slot // 8 % 3 = 0",
+    "parse_positions": "SELECT latitude, longitude, datetime, vehicle_id FROM read_positions",
+    "replay_from_text": """
+        SELECT latitude, longitude, datetime, vehicle_id,
+               row_number() OVER (ORDER BY datetime, vehicle_id, longitude, latitude) - 1 AS seq FROM read_positions""",
     "message_key_value": "SELECT key, value FROM messages",
     "decode_positions": "SELECT latitude, longitude, datetime, vehicle_id FROM whole_messages",
     "replay_sequence": """
@@ -275,7 +336,7 @@ FINAL: dict[str, str] = {
     "clean_positions": "SELECT * FROM cleaned_positions",
     "match_spots": "SELECT event_id, vehicle_id, datetime, rn, longitude, latitude, passengers FROM matched",
     "expand_neighbours": "SELECT * FROM offers",
-    "prune_slots": "SELECT * FROM spots WHERE time_slot IN (SELECT time_slot FROM cleaned_positions)",
+    "prune_slots": "SELECT * FROM spots WHERE time_slot // 6 BETWEEN 6 AND 8 AND time_slot IN (SELECT time_slot FROM cleaned_positions)",
     "resolve_ids": "SELECT * FROM resolved",
     "fleet_at": f"""
         SELECT vehicle_id, datetime, event_id, longitude, latitude, minute FROM timed
@@ -284,8 +345,25 @@ FINAL: dict[str, str] = {
           ORDER BY minute >= {CLOCK} DESC,
                    CASE WHEN minute >= {CLOCK} THEN datetime END, CASE WHEN minute >= {CLOCK} THEN event_id END,
                    datetime DESC, event_id DESC) = 1""",
+    "fleet_at_months": f"""
+        SELECT vehicle_id, month, datetime, event_id, longitude, latitude, minute FROM timed_months
+        QUALIFY row_number() OVER (
+          PARTITION BY vehicle_id, month
+          ORDER BY minute >= {CLOCK} DESC,
+                   CASE WHEN minute >= {CLOCK} THEN datetime END, CASE WHEN minute >= {CLOCK} THEN event_id END,
+                   datetime DESC, event_id DESC) = 1""",
     "playback": "SELECT * FROM shown",
-    "vehicle_history": "SELECT * FROM timed",
+    "playback_ids": """
+        SELECT vehicle_id, month, tick, datetime, event_id, longitude, latitude, minute
+        FROM shown_months WHERE vehicle_id IN (SELECT CAST(s_suppkey AS VARCHAR) FROM supplier)""",
+    "vehicle_history": "SELECT * FROM timed WHERE vehicle_id = '7'",
+    "vehicle_histories": "SELECT * FROM timed",
+    "clean_odd_positions": "SELECT event_id, vehicle_id, time_slot, block_latid, block_lonid FROM cleaned_odd",
+    "suggest_odd": """
+        SELECT event_id, vehicle_id, pick_no, spot_lon, spot_lat FROM odd_picks
+        UNION ALL
+        SELECT DISTINCT event_id, vehicle_id, 0, CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE)
+        FROM odd_matched WHERE NOT regexp_full_match(vehicle_id, '[0-9]+')""",
     "count_pickups": "SELECT * FROM counts",
     "top_spots": "SELECT * FROM own",
     "hotspots": "SELECT * FROM spots",

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from checks import fixtures
 from kerbside.functions import clock, grid
 from kerbside.operators import amplification, cleaning, matching, ranking, sampling, tracking
-from kerbside.plans import hotspot_job, suggestion_job, tracking_plan
+from kerbside.plans import hotspot_job, replay_job, suggestion_job, tracking_plan
 from kerbside.session import scratch_dir
 from kerbside.sources import messages, periods, tables, text
 from kerbside.streaming import replay
@@ -22,6 +22,8 @@ from kerbside.streaming import suggestions as live
 Query = Callable[[SparkSession, str], DataFrame]
 
 SLOT_PARTS = 18
+VEHICLE = "7"
+HEAVY = 20  # low, so that keys are split
 CLOCK = 42000  # a minute late in the month: some vehicles still move, others have stopped
 
 
@@ -70,8 +72,15 @@ def hotspots_from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def read_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third part of the day, so ranges with gaps between them."""
     stored = stored_hotspots(spark, sf_dir)
-    return ranking.explode_spots(tables.read_slots(spark, stored, clock.part_ranges(SLOT_PARTS)))
+    return ranking.explode_spots(tables.read_slots(spark, stored, clock.part_ranges(SLOT_PARTS)[::3]))
+
+
+def parse_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_dir(spark, "position-lines")
+    fixtures.position_lines(spark, sf_dir).write.text(path)
+    return text.positions_from_lines(text.read_lines(spark, path))
 
 
 def message_key_value(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,7 +94,14 @@ def decode_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def replay_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "replayed")
     replay.prepare_replay(fixtures.positions(spark, sf_dir), path)
-    return spark.read.parquet(path)
+    return spark.read.parquet(path).drop("chunk")
+
+
+def replay_from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines, path = scratch_dir(spark, "position-lines"), scratch_dir(spark, "replayed")
+    fixtures.position_lines(spark, sf_dir).write.text(lines)
+    replay_job.prepare(spark, lines, path)
+    return spark.read.parquet(path).drop("chunk")
 
 
 def csv_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -169,6 +185,20 @@ def clean_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned_positions(spark, sf_dir)
 
 
+def clean_odd_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows without a cell or a time go."""
+    cleaned = cleaning.clean_positions(fixtures.odd_positions(spark, sf_dir))
+    return cleaned.select("event_id", "vehicle_id", "time_slot", "block_latid", "block_lonid")
+
+
+def suggest_odd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positions without hotspots give no row, vehicles without a seed a row without spots."""
+    cleaned = cleaning.clean_positions(fixtures.odd_positions(spark, sf_dir))
+    matched = matching.match_spots(cleaned, folded(spark, sf_dir), heavy=HEAVY)
+    picks = sampling.explode_picks(sampling.suggest(matched)).fillna(0, ["pick_no"])
+    return picks.select("event_id", "vehicle_id", "pick_no", "spot_lon", "spot_lat")
+
+
 def match_spots(spark: SparkSession, sf_dir: str) -> DataFrame:
     matched = matching.match_spots(cleaned_positions(spark, sf_dir), folded(spark, sf_dir))
     spots = F.arrays_zip(matching.to_spots(F.col("offer_lon"), F.col("offer_lat")).alias("spots"), "weights")
@@ -188,7 +218,9 @@ def expand_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def prune_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    slots = matching.slots_present(cleaned_positions(spark, sf_dir))
+    """For a batch of the morning hours."""
+    morning = cleaned_positions(spark, sf_dir).filter(F.substring("datetime", 12, 2).between("06", "08"))
+    slots = matching.slots_present(morning)
     hotspots = tables.read_table(spark, stored_hotspots(spark, sf_dir))
     return ranking.explode_spots(matching.prune_slots(hotspots, slots))
 
@@ -200,14 +232,30 @@ def resolve_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fleet_at(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tracking.fleet_at(fixtures.positions(spark, sf_dir), CLOCK, order=("datetime", "event_id"))
+    shown = tracking.fleet_at(fixtures.two_months(spark, sf_dir), CLOCK, order=("datetime", "event_id"), month="2024-01")
+    return shown.drop("month")
+
+
+def fleet_at_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tracking.fleet_at(fixtures.two_months(spark, sf_dir), CLOCK, order=("datetime", "event_id"))
 
 
 def playback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tracking.playback(fixtures.positions(spark, sf_dir), order=("datetime", "event_id"))
+    return tracking.playback(fixtures.positions(spark, sf_dir), order=("datetime", "event_id")).drop("month")
+
+
+def playback_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both months, for the vehicles that bear a supplier's number."""
+    ids = fixtures.table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("string").alias("vehicle_id"))
+    positions = fixtures.two_months(spark, sf_dir)
+    return tracking.playback(positions, ids=ids, order=("datetime", "event_id"))
 
 
 def vehicle_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tracking.vehicle_history(fixtures.positions(spark, sf_dir), VEHICLE, order=("datetime", "event_id"))
+
+
+def vehicle_histories(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tracking.vehicle_history(fixtures.positions(spark, sf_dir), order=("datetime", "event_id"))
 
 
@@ -283,6 +331,8 @@ QUERIES: dict[str, Query] = {
         decode_positions,
         replay_sequence,
         csv_periods,
+        parse_positions,
+        replay_from_text,
         time_slot,
         cell_ids,
         neighbours,
@@ -296,13 +346,18 @@ QUERIES: dict[str, Query] = {
         amplify_lines,
         valid_trips,
         clean_positions,
+        clean_odd_positions,
+        suggest_odd,
         match_spots,
         expand_neighbours,
         prune_slots,
         resolve_ids,
         fleet_at,
+        fleet_at_months,
         playback,
+        playback_ids,
         vehicle_history,
+        vehicle_histories,
         count_pickups,
         top_spots,
         hotspots,

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from checks import fixtures
 from kerbside.operators import ranking
 from kerbside.operators.cleaning import clean_positions
-from kerbside.operators.sampling import suggestions
+from kerbside.operators.sampling import explode_picks, suggestions
+from kerbside.plans import replay_job
 from kerbside.session import scratch_dir
 from kerbside.sources.messages import decode_positions, encode_positions, kafka_options, read_messages, write_messages
 from kerbside.sources.tables import ParquetTable, read_table, write_table
@@ -53,7 +54,49 @@ def test_stream_equals_batch(spark, sf, inbox, table, tmp_path):
     start(spark, inbox, table, tmp_path, kept)
     kept.unpersist()
     assert rows(live.read_suggestions(spark, str(tmp_path / "answers"))) == expected(spark, sf, table)
-    assert len(list((tmp_path / "answers").glob("batch_id=*"))) == 3
+    assert len(list((tmp_path / "answers").glob("run=*/batch_id=*"))) == 3
+
+
+def test_a_second_checkpoint_loses_nothing(spark, sf, inbox, table, tmp_path):
+    bodies = sorted(inbox.glob("part-*"))
+    halves = []
+    for nth, some in enumerate((bodies[:1], bodies[1:])):
+        box = tmp_path / f"half{nth}"
+        box.mkdir()
+        for body in some:
+            (box / body.name).write_bytes(body.read_bytes())
+        (tmp_path / f"run{nth}").mkdir()
+        incoming = read_messages(spark, "text", {"path": str(box), "maxFilesPerTrigger": "1"})
+        state = str(tmp_path / f"run{nth}" / "state")
+        query = live.run_suggestions(incoming, read_table(spark, table), str(tmp_path / "answers"), state, available_now=True)
+        query.awaitTermination()
+        halves.append(query.id)
+    assert len(set(halves)) == 2
+    assert rows(live.read_suggestions(spark, str(tmp_path / "answers"))) == expected(spark, sf, table)
+
+
+def test_answers_go_to_any_target(spark, sf, inbox, table, tmp_path):
+    target = ParquetTable(str(tmp_path / "picks"), partition_by=("run",))
+    incoming = read_messages(spark, "text", {"path": str(inbox), "maxFilesPerTrigger": "1"})
+    query = live.run_suggestions(
+        incoming, read_table(spark, table), live.table_sink(target), str(tmp_path / "state"), available_now=True
+    )
+    query.awaitTermination()
+    answers = suggestions(clean_positions(fixtures.positions(spark, sf)), read_table(spark, table))
+    stored = spark.read.parquet(target.path).drop("run", "batch_id")
+    assert rows(stored.select(*sorted(stored.columns))) == rows(explode_picks(answers).select(*sorted(stored.columns)))
+
+
+def test_a_batch_touches_only_its_slots(spark, sf, tmp_path):
+    table = ParquetTable(str(tmp_path / "hotspots"))
+    write_table(ranking.hotspots(fixtures.trips(spark, sf)), table, "overwrite")
+    kept = live.load_hotspots(spark, table)
+    batch = clean_positions(fixtures.positions(spark, sf)).filter("time_slot in (3, 4, 50)").persist()
+    found = rows(live.answer_batch(batch, kept))
+    assert sorted(kept.loaded) == [(0, 7), (48, 55)]
+    assert found == rows(live.answer_batch(batch, read_table(spark, table)))
+    kept.unpersist()
+    batch.unpersist()
 
 
 def test_hotspots_are_read_anew_for_every_batch(spark, sf, inbox, table, tmp_path):
@@ -63,8 +106,11 @@ def test_hotspots_are_read_anew_for_every_batch(spark, sf, inbox, table, tmp_pat
     assert rows(live.read_suggestions(spark, str(tmp_path / "answers"))) == expected(spark, sf, table)
 
 
-def test_large_batches_are_not_broadcast(spark, sf, inbox, table, tmp_path, monkeypatch):
+def test_large_batches_split_their_hot_cell(spark, sf, inbox, table, tmp_path, monkeypatch, plan):
     monkeypatch.setattr(live, "BROADCAST_ROWS", 10)
+    monkeypatch.setattr(live, "HEAVY_ROWS", 5)
+    cleaned = clean_positions(fixtures.positions(spark, sf))
+    assert "share" in plan(live.answer_batch(cleaned, read_table(spark, table)))
     start(spark, inbox, table, tmp_path)
     assert rows(live.read_suggestions(spark, str(tmp_path / "answers"))) == expected(spark, sf, table)
 
@@ -86,9 +132,10 @@ def test_a_repeated_batch_replaces_itself(spark, sf, inbox, table, tmp_path):
     assert rows(live.read_suggestions(spark, str(tmp_path / "answers"))) == expected(spark, sf, table)
 
 
-def test_plain_stream_join(spark, sf, inbox, table, tmp_path):
+@pytest.mark.parametrize("salt", [1, 4])
+def test_plain_stream_join(spark, sf, inbox, table, tmp_path, salt):
     incoming = read_messages(spark, "text", {"path": str(inbox)})
-    answers = live.stream_join(incoming, read_table(spark, table))
+    answers = live.stream_join(incoming, read_table(spark, table), salt=salt)
     query = (
         answers.writeStream.format("parquet")
         .option("checkpointLocation", str(tmp_path / "state"))
@@ -170,17 +217,43 @@ def test_replay_numbers_rows_in_time_order(spark, sf, tmp_path):
 
 @pytest.mark.parametrize(("first", "last"), [(0, 2), (8, 12), (19, 20), (5, 40), (7, 7)])
 def test_replay_wraps_round(spark, first, last):
-    stored = spark.range(10).select(F.col("id").alias("seq"), F.concat(F.lit("row"), "id").alias("name"))
+    stored = spark.range(10).selectExpr("id AS seq", "concat('row', id) AS name", "id div 3 AS chunk")
     ticks = spark.range(first, last + 1).withColumnRenamed("id", "value")
-    found = replay.replay_rows(ticks, stored, 10)
+    found = replay.replay_rows(ticks, stored, 10, 3)
     assert sorted((row.value, row.name) for row in found.collect()) == [(n, f"row{n % 10}") for n in range(first, last + 1)]
 
 
 def test_replay_reads_only_what_is_due(spark, sf, tmp_path, plan):
-    replay.prepare_replay(fixtures.positions(spark, sf), str(tmp_path / "replay"))
+    replay.prepare_replay(fixtures.positions(spark, sf), str(tmp_path / "replay"), 100)
     table = spark.read.parquet(str(tmp_path / "replay"))
-    ticks = spark.range(5, 9).withColumnRenamed("id", "value")
-    assert "GreaterThanOrEqual(seq,5), LessThanOrEqual(seq,8)" in plan(replay.replay_rows(ticks, table, table.count()))
+    assert len(list((tmp_path / "replay").glob("chunk=*"))) == -(-table.count() // 100)
+    ticks = spark.range(205, 209).withColumnRenamed("id", "value")
+    text = plan(replay.replay_rows(ticks, table, table.count(), 100))
+    assert "GreaterThanOrEqual(seq,205), LessThanOrEqual(seq,208)" in text
+    assert re.search(r"PartitionFilters: \[[^\]]*chunk#\d+ >= 2[^\]]*chunk#\d+ <= 2", text)
+
+
+def test_replay_numbers_do_not_depend_on_the_session(spark, sf, tmp_path):
+    key = "spark.sql.files.maxRecordsPerFile"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "100")
+    try:
+        replay.prepare_replay(fixtures.positions(spark, sf), str(tmp_path / "replay"))
+    finally:
+        spark.conf.set(key, before)
+    stored = spark.read.parquet(str(tmp_path / "replay"))
+    assert sorted(row.seq for row in stored.collect()) == list(range(stored.count()))
+    # The copy that was staged on the way is gone.
+    assert not list(Path(spark.conf.get("spark.checkpoint.dir")).glob("replay-*"))
+
+
+def test_replay_from_text(spark, sf, tmp_path):
+    fixtures.position_lines(spark, sf).write.text(str(tmp_path / "lines"))
+    replay_job.prepare(spark, str(tmp_path / "lines"), str(tmp_path / "replay"))
+    stored = spark.read.parquet(str(tmp_path / "replay"))
+    assert 0 < stored.count() < fixtures.positions(spark, sf).count()
+    sent = replay.replay_rows(spark.range(3).withColumnRenamed("id", "value"), stored, stored.count())
+    assert encode_positions(sent).count() == 3
 
 
 def test_replay_runs_at_its_rate(spark, sf, tmp_path):

@@ -87,12 +87,38 @@ def test_every_way_to_join_gives_the_same_rows(spark, sides):
     plain = as_rows(matching.match_spots(positions, hotspots))
     assert sum(plain.values()) > 0
     assert as_rows(matching.match_spots(positions, hotspots, salt=8)) == plain
+    assert as_rows(matching.match_spots(positions, hotspots, heavy=10)) == plain
     assert as_rows(matching.match_spots(positions, hotspots, broadcast="positions")) == plain
     assert as_rows(matching.match_spots(positions, hotspots, broadcast="hotspots")) == plain
     with pytest.raises(ValueError):
         matching.match_spots(positions, hotspots, broadcast="both")
 
 
+def test_only_heavy_keys_are_split(spark, sides):
+    positions, hotspots = sides
+    offers = hotspots.select(*cleaning.SPOT_KEYS)
+    dealt, repeated = matching.split_heavy(positions, offers, 50)
+    counts = {tuple(r)[:3]: r["count"] for r in positions.groupBy(*cleaning.SPOT_KEYS).count().collect()}
+    shares = Counter(tuple(r)[:3] for r in repeated.collect())
+    assert all(shares[key] == (-(-count // 50) if count > 50 else 1) for key, count in counts.items() if key in shares)
+    assert max(shares.values()) > 1 and dealt.count() == positions.count()
+
+
+def test_limit_for_broadcast_counts_rows_and_spots(spark, sides, plan, tmp_path, sf):
+    """A table of one-spot rows is mostly rows: the estimate must say so."""
+    _, hotspots = sides
+    single = hotspots.withColumns({c: F.slice(c, 1, 1) for c in ("longitude", "latitude", "passengers")})
+    table = ParquetTable(str(tmp_path / "single"))
+    write_table(single, table, "overwrite")
+    rows = single.count()
+    from checks import fixtures
+
+    positions = fixtures.positions(spark, sf)
+    limit = int(rows * (suggestion_job.ROW_BYTES + suggestion_job.SPOT_BYTES))
+    assert "share" in plan(suggestion_job.suggest_history(spark, positions, table, broadcast_bytes=limit - 1))
+    assert "share" not in plan(suggestion_job.suggest_history(spark, positions, table, broadcast_bytes=limit + 1))
+
+
 def test_salt_spreads_copies_of_one_position(spark):
     row = ("7", "2013-01-01 00:05:00", -73.9, 40.7)
     copies = spark.createDataFrame([row] * 64, "vehicle_id string, datetime string, longitude double, latitude double").repartition(8)
@@ -112,7 +138,7 @@ def test_suggested_spots_belong_to_the_cell(spark, sides):
     assert joined.filter(wrong).count() == 0
 
 
-def test_history_join_is_chosen_by_size(spark, plan, sides, tmp_path, monkeypatch, sf):
+def test_history_join_is_chosen_by_size(spark, plan, sides, tmp_path, sf):
     from checks import fixtures
 
     _, hotspots = sides
@@ -120,10 +146,9 @@ def test_history_join_is_chosen_by_size(spark, plan, sides, tmp_path, monkeypatc
     write_table(hotspots, table, "overwrite")
     positions = fixtures.positions(spark, sf)
     small = suggestion_job.suggest_history(spark, positions, table)
-    monkeypatch.setattr(suggestion_job, "BROADCAST_SPOTS", 10)
-    large = suggestion_job.suggest_history(spark, positions, table)
+    large = suggestion_job.suggest_history(spark, positions, table, broadcast_bytes=1000)
     assert "BroadcastHashJoin" in plan(small) and "Exchange hashpartitioning" not in plan(small)
-    assert "salt" in plan(large)
+    assert "share" in plan(large)
     assert as_rows(small) == as_rows(large)
 
 

@@ -75,6 +75,48 @@ def test_aggregation_before_the_shuffle(spark, moves, plan):
     assert "partial_min" in text and "Join" not in text
 
 
+MONTHS = [
+    ("a", "2014-08-01 10:00:00", 1), ("a", "2014-08-01 20:00:00", 2), ("a", "2014-09-01 10:00:00", 3), ("a", "2014-09-01 12:00:00", 4),
+    ("b", "2014-8-1 10:00:00", 5), ("b", "2014-09-01 09:00:00", 6),
+]
+
+
+def test_months_are_kept_apart(spark):
+    df = spark.createDataFrame(MONTHS, SCHEMA)
+    found = {(r.vehicle_id, r.month): r.row for r in tracking.fleet_at(df, 700).collect()}
+    assert found == {("a", "2014-08"): 2, ("a", "2014-09"): 4, ("b", "2014-08"): 5, ("b", "2014-09"): 6}
+    one = {(r.vehicle_id, r.month): r.row for r in tracking.fleet_at(df, 700, month="2014-08").collect()}
+    assert one == {key: row for key, row in found.items() if key[1] == "2014-08"}
+    shown = {(r.vehicle_id, r.month, r.tick): r.row for r in tracking.playback(df).collect()}
+    assert shown["a", "2014-08", 1201] == shown["a", "2014-08", 1440] == shown["a", "2014-08", 2640] == 2
+    assert shown["a", "2014-09", 1201] == 4
+    with pytest.raises(ValueError):
+        tracking.fleet_at(df, 700, month="2014-8")
+
+
+def test_a_month_prunes_the_folders_by_day(spark, plan, tmp_path):
+    df = spark.createDataFrame(MONTHS, SCHEMA)
+    df.write.parquet(str(tmp_path / "moves"))
+    text = plan(tracking.fleet_at(spark.read.parquet(str(tmp_path / "moves")), 700, month="2014-10"))
+    assert "GreaterThanOrEqual(datetime,2014-10-)" in text
+
+
+def test_chosen_vehicles_are_joined_after_the_first_aggregation(spark, moves, plan, tmp_path):
+    spark.createDataFrame(moves, SCHEMA).write.parquet(str(tmp_path / "moves"))
+    chosen = ids(spark, "early", "late")
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        text = plan(tracking.playback(spark.read.parquet(str(tmp_path / "moves")), ids=chosen))
+    finally:
+        spark.conf.set(key, before)
+    lines = text.split("\n")
+    at = {name: next(n for n, line in enumerate(lines) if name in line) for name in ("Join", "partial_min")}
+    exchanges = [n for n, line in enumerate(lines) if "Exchange" in line]
+    assert at["Join"] < at["partial_min"] and any(at["Join"] < n < at["partial_min"] for n in exchanges)
+
+
 def test_history_of_one_vehicle(spark, moves, plan, tmp_path):
     spark.createDataFrame(moves, SCHEMA).write.parquet(str(tmp_path / "moves"))
     stored = spark.read.parquet(str(tmp_path / "moves"))
