@@ -224,7 +224,7 @@ class Segmenter:
         if len(self.places) > CACHED:
             self.forget_rare()
         texts = pc.fill_null(texts, "")
-        odd = np.asarray(pc.match_substring(texts, JOINED))
+        odd = np.asarray(pc.match_substring(texts, JOINED)).astype(bool)
         if self.model.closing:
             marked = pc.replace_substring_regex(texts, self.model.closing, rf"\1 {JOINED}\2")
         lists = pc.split_pattern(marked if self.model.closing else texts, " ")
@@ -235,7 +235,9 @@ class Segmenter:
         # Texts where spaces meet or stand at an end are cut in another way.
         odd = odd | (np.add.reduceat(empty[index].astype(np.int64), bounds[:-1]) > 0) if len(texts) else odd
         special = {n: self.parts(texts[n].as_py()) for n in np.flatnonzero(odd).tolist()}
-        fresh = [p for p in dict.fromkeys([*distinct, *chain.from_iterable(special.values())]) if p and p not in self.places]
+        # Only what other texts are made of: an odd text's raw pieces may hold JOINED themselves.
+        used = [distinct[n] for n in np.unique(index[~np.repeat(odd, np.diff(bounds))]).tolist()]
+        fresh = [p for p in dict.fromkeys([*used, *chain.from_iterable(special.values())]) if p not in self.places]
         if fresh:
             self.learn(fresh)
         places = np.fromiter((self.places.get(p, 0) for p in distinct), dtype=np.int64, count=len(distinct))
