@@ -18,31 +18,43 @@ are 0 and the model is uniform.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import fold, ready, staged, words_of
+from kerbside.llm.common import fold, ready, staged
 
 FOLDS, HELD_OUT = 7, 2
 VOCABULARY = 1 << 18  # words with places of their own, in every task's memory
 LONGEST = 64  # bytes of such a word
-OWN_CLASS = 20  # most frequent words that are classes of their own
-CLASSES = 64
+OWN_CLASS = 10  # most frequent words that are classes of their own
+CLASSES = 32
 WORD_ROWS, OWN_ROWS = 4096, 3072  # of the table, for a single word; the most frequent ones have their own row
 PAIR_ROWS = 8192
 ROWS = 1 + 2 * WORD_ROWS + PAIR_ROWS
 ROUNDS = 2
-BATCH = 4096  # tokens of one gradient step
+BATCH = 8192  # tokens of one gradient step; fewer in a small corpus, so that there are as many steps
+LEAST_BATCH, STEPS = 256, 2000
 RATE = 0.1
 END = " "  # the end token; no word holds a space
-FLUSH = 200_000  # distinct words that a task counts before it passes them on
+FLUSH = 3_000_000  # words that a task gathers before it counts them
+
+
+def token_lists(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of a column of texts, A-Z lower-cased, in one array, and how many each text has."""
+    plain = pc.ascii_trim_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    lists = pc.ascii_split_whitespace(plain)
+    lengths = np.asarray(lists.value_lengths()).astype(np.int64)
+    blank = np.asarray(pc.equal(plain, "")).astype(bool)  # is split into one empty word
+    if not blank.any():
+        return lists.values, lengths
+    kept = ~np.repeat(blank, lengths)
+    return lists.values.filter(pa.array(kept)), np.where(blank, 0, lengths)
 
 
 # Counts
@@ -51,21 +63,21 @@ def count_words(training: DataFrame) -> DataFrame:
     """word and n of all training tokens, the end token included."""
     ready(training.sparkSession)
 
-    def rows(counter: Counter) -> pa.RecordBatch:
-        words = pa.array([w.decode("utf-8", "surrogatepass") for w in counter], pa.string())
-        return pa.RecordBatch.from_arrays([words, pa.array(list(counter.values()), pa.int64())], names=["word", "n"])
+    def rows(lists: list[pa.Array], texts: int) -> pa.RecordBatch:
+        counts = pa.concat_arrays([*lists, pa.array([], pa.string())]).value_counts()
+        words = pa.concat_arrays([counts.field(0), pa.array([END])])
+        return pa.RecordBatch.from_arrays([words, pa.concat_arrays([counts.field(1), pa.array([texts])])], names=["word", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter: Counter = Counter()
+        lists, texts = [], 0
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                counter.update(words_of(text))
-            counter[END.encode()] += batch.num_rows
-            if len(counter) > FLUSH:
-                yield rows(counter)
-                counter = Counter()
-        if counter:
-            yield rows(counter)
+            lists.append(token_lists(batch.column(0))[0])
+            texts += batch.num_rows
+            if sum(map(len, lists)) > FLUSH:
+                yield rows(lists, texts)
+                lists, texts = [], 0
+        if texts:
+            yield rows(lists, texts)
 
     parts = training.select("text").mapInArrow(run, "word string, n bigint")
     return staged(parts.groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
@@ -78,24 +90,25 @@ class Vocabulary:
     """
 
     def __init__(self, words: list[str], counts: list[int], tokens: int, distinct: int):
-        self.words = {w.encode("utf-8", "surrogatepass"): place for place, w in enumerate(words)}
-        self.size, self.tokens, self.distinct = len(words), tokens, distinct
+        self.spelled, self.size, self.tokens, self.distinct = words, len(words), tokens, distinct
         self.counts = np.array(counts, dtype=np.int64)
-        self.end = self.words[END.encode()]
+        self.end = words.index(END)
         self.classes = np.zeros(self.size + 1, dtype=np.int64)
         hashed = CLASSES - OWN_CLASS - 2
-        for word, place in self.words.items():
-            ending = word.decode("utf-8", "surrogatepass").strip(".,!?;:|#$%&*")[-2:]
-            own = place if place < OWN_CLASS else OWN_CLASS + zlib.crc32(ending.encode("utf-8", "surrogatepass")) % hashed
+        for place, word in enumerate(words):
+            ending = word.strip(".,!?;:|#$%&*")[-2:]
+            own = place if place < OWN_CLASS else OWN_CLASS + zlib.crc32(ending.encode()) % hashed
             self.classes[place] = own
         self.classes[self.end], self.classes[self.size] = CLASSES - 2, CLASSES - 1
         inside = np.bincount(self.classes[:-1], weights=self.counts, minlength=CLASSES)
         self.other_tokens = tokens - int(self.counts.sum())
-        self.other_words = distinct - self.size
+        self.other_words = max(0, distinct - self.size)
         self.class_tokens = inside.copy()
         self.class_tokens[-1] = self.other_tokens
         # log10 of a word's share of its class; the words without a place are added where their counts are known.
-        self.shares = np.append(np.log10(self.counts / inside[self.classes[:-1]]), 0.0)
+        # The end token alone may have no count, if there are no training texts; it is then all of its class.
+        self.shares = np.append(np.log10(np.maximum(self.counts, 1) / np.maximum(inside[self.classes[:-1]], 1)), 0.0)
+        self.known = np.append(self.counts > 0, False)
         self.base = np.append(np.log10((self.counts + 1) / (tokens + distinct + 1)), 0.0)
 
 
@@ -106,38 +119,34 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     best = short.orderBy(F.desc("n"), "word").limit(VOCABULARY - 1).toArrow()
     end = counts.filter(F.col("word") == END).first()
     words, numbers = best["word"].to_pylist(), best["n"].to_pylist()
-    # Without training texts the end token has count 0, and shares are those of one imagined token.
-    return Vocabulary([*words, END], [*numbers, end["n"] if end else 0], tokens, max(distinct, 1) if end else 1)
+    return Vocabulary([*words, END], [*numbers, end["n"] if end else 0], tokens, distinct)
 
 
 # Encoded texts
 
-class _Places(dict):
-    """Places of words; any unknown one has the place after the last."""
-
-    def __missing__(self, word: bytes) -> int:
-        return self.other
-
-
 def encode(documents: DataFrame, known) -> DataFrame:
     """key (unique), doc_id, held_out, places of the tokens (with the end), others (words without a place)."""
     ready(documents.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = known.value
-        places = _Places(vocab.words)
-        places.other = vocab.size
-        look, key = places.__getitem__, TaskContext.get().partitionId() << 33
+        listed = pa.array(vocab.spelled, pa.string())
+        key = TaskContext.get().partitionId() << 33
         for batch in batches:
-            found, others = [], []
-            for text in batch.column(0).to_pylist():
-                words = words_of(text)
-                at = np.fromiter(map(look, words), dtype=np.int32, count=len(words))
-                others.append([words[n].decode("utf-8", "surrogatepass") for n in np.flatnonzero(at == vocab.size).tolist()])
-                found.append(np.append(at, np.int32(vocab.end)))
+            words, lengths = token_lists(batch.column(0))
+            coded = words.dictionary_encode()
+            at = pc.fill_null(pc.index_in(coded.dictionary, value_set=listed), vocab.size)
+            at = np.asarray(at).astype(np.int32)[np.asarray(coded.indices)]
+            rare = np.flatnonzero(at == vocab.size)
+            ends = np.cumsum(lengths)
+            # Offsets of the lists: of the places, with one end token more a text, and of the words without a place.
+            offsets = np.append(0, ends + np.arange(1, len(ends) + 1)).astype(np.int32)
+            places = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.insert(at, ends, np.int32(vocab.end))))
+            bounds = pa.array(np.searchsorted(rare, np.append(0, ends)).astype(np.int32))
+            others = pa.ListArray.from_arrays(bounds, words.take(pa.array(rare)))
             keys = pa.array(np.arange(key, key + batch.num_rows), pa.int64())
             key += batch.num_rows
-            made = [keys, *batch.columns[1:], pa.array(found, pa.list_(pa.int32())), pa.array(others, pa.list_(pa.string()))]
+            made = [keys, *batch.columns[1:], places, others]
             yield pa.RecordBatch.from_arrays(made, names=["key", "doc_id", "held_out", "places", "others"])
 
     kind = documents.schema["doc_id"].dataType.simpleString()
@@ -167,12 +176,18 @@ def histories(lists: pa.Array, before: int) -> tuple[np.ndarray, np.ndarray]:
 
 def class_scores(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """log P(class) for the histories with these rows."""
-    line = weights[rows[:, 0]]
-    line += weights[rows[:, 1]]
-    line += weights[rows[:, 2]]
+    line = raw_scores(weights, rows)
+    line -= np.log(np.exp(line).sum(axis=1, keepdims=True))
+    return line
+
+
+def raw_scores(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Sums of the rows' weights, less the largest of each history."""
+    line = weights.take(rows[:, 0], axis=0)
+    line += weights.take(rows[:, 1], axis=0)
+    line += weights.take(rows[:, 2], axis=0)
     line += weights[0]
     line -= line.max(axis=1, keepdims=True)
-    line -= np.log(np.exp(line).sum(axis=1, keepdims=True))
     return line
 
 
@@ -185,14 +200,16 @@ class Descent:
         self.met = np.zeros(len(weights), dtype=np.int64)
 
     def step(self, rows: np.ndarray, classes: np.ndarray) -> None:
-        error = np.exp(class_scores(self.weights, rows))
+        error = raw_scores(self.weights, rows)
+        np.exp(error, out=error)
+        error /= error.sum(axis=1, keepdims=True)
         error[np.arange(len(classes)), classes] -= 1
         flat = rows.reshape(-1)
         order = np.argsort(flat, kind="stable")
         ranked = flat[order]
         first = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1]))
         touched = np.append(0, ranked[first])
-        slope = np.concatenate((error.sum(axis=0)[None, :], np.add.reduceat(error[order // 3], first, axis=0)))
+        slope = np.concatenate((error.sum(axis=0)[None, :], np.add.reduceat(error.take(order // 3, axis=0), first, axis=0)))
         self.met[touched] += np.append(len(rows), np.diff(np.append(first, len(flat))))
         squares = self.squares[touched] + slope * slope
         self.squares[touched] = squares
@@ -205,6 +222,7 @@ def train(encoded: DataFrame, vocab: Vocabulary, known) -> np.ndarray:
     weights = np.zeros((ROWS, CLASSES), dtype=np.float32)
     share = (vocab.class_tokens + 0.5) / (vocab.tokens + 0.5 * CLASSES)
     weights[0] = np.log(share)
+    size = int(np.clip(vocab.tokens // STEPS, LEAST_BATCH, BATCH))
     names = ["row", "n", *[f"w{c}" for c in range(CLASSES)]]
     schema = "row int, n bigint, " + ", ".join(f"w{c} double" for c in range(CLASSES))
     for turn in range(ROUNDS):
@@ -215,8 +233,8 @@ def train(encoded: DataFrame, vocab: Vocabulary, known) -> np.ndarray:
             for batch in batches:
                 flat, rows = histories(batch.column(0), vocab.size + 1)
                 classes = vocab.classes[flat]
-                for at in range(0, len(flat), BATCH):
-                    descent.step(rows[at : at + BATCH], classes[at : at + BATCH])
+                for at in range(0, len(flat), size):
+                    descent.step(rows[at : at + size], classes[at : at + size])
             met = np.flatnonzero(descent.met)
             if len(met):
                 moved = descent.weights[met] * descent.met[met][:, None].astype(np.float64)
@@ -257,7 +275,7 @@ def score(documents: DataFrame) -> DataFrame:
             lengths = np.asarray(lists.value_lengths()).astype(np.int64)
             starts = lengths.cumsum() - lengths
             sums = [np.add.reduceat(x, starts) for x in (chosen / np.log(10) + vocab.shares[flat], vocab.base[flat])]
-            placed = np.add.reduceat((flat < vocab.size).astype(np.int64), starts)
+            placed = np.add.reduceat(vocab.known[flat].astype(np.int64), starts)
             made = [*batch.columns[:3], *map(pa.array, (lengths, placed, *sums))]
             yield pa.RecordBatch.from_arrays(made, names=["key", "doc_id", "held_out", "n_tokens", "placed", "model", "base"])
 
@@ -265,16 +283,15 @@ def score(documents: DataFrame) -> DataFrame:
     schema = f"key bigint, doc_id {kind}, held_out boolean, n_tokens bigint, placed bigint, model double, base double"
     placed = encoded.select("key", "doc_id", "held_out", "places").mapInArrow(run, schema)
     # The other words: each is rarer than every word with a place, or longer than LONGEST bytes.
-    others = encoded.select("key", F.explode("others").alias("word")).groupBy("key", "word").agg(F.count("*").alias("times"))
-    met = others.join(counts, "word", "left")
+    met = encoded.select("key", F.explode("others").alias("word")).join(counts, "word", "left")
     rest = met.groupBy("key").agg(
-        F.sum(F.log10(F.coalesce("n", F.lit(0)) + F.lit(1.0)) * F.col("times")).alias("logs"),
-        F.sum("times").alias("times"),
-        F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("known"),
+        F.sum(F.log10(F.coalesce("n", F.lit(0)) + F.lit(1.0))).alias("logs"),
+        F.count("*").alias("times"),
+        F.sum((F.coalesce("n", F.lit(0)) > 0).cast("bigint")).alias("known"),
     ).withColumnRenamed("key", "of")
     none = F.lit(0)
     logs, times = F.coalesce("logs", F.lit(0.0)), F.coalesce("times", none)
-    everywhere = float(np.log10(vocab.tokens + vocab.distinct + 1)) if vocab.tokens else 0.0
+    everywhere = float(np.log10(vocab.tokens + vocab.distinct + 1))
     inside = float(np.log10(vocab.other_tokens + vocab.other_words + 1))
     return placed.join(rest, F.col("key") == F.col("of"), "left").select(
         "doc_id",
