@@ -15,6 +15,7 @@ from kerbside.llm.common import order_key, ready, staged
 LINE = 2**60  # order_key is below
 FEATURES = 4096  # kept by the selection
 LEAST_ROWS = 5  # that a kept feature occurs in
+LEAST_APART = 4.0  # standard errors; features nearer to the mean only add noise, most of all in long texts
 
 # The hashed features of a text, each once, and their values.
 Featurizer = Callable[[str], tuple[np.ndarray, np.ndarray]]
@@ -31,34 +32,40 @@ def sample_rows(df: DataFrame, rows: int, key: str = "doc_id") -> DataFrame:
 def select_features(rows: DataFrame, featurize: Featurizer, keep: int = FEATURES) -> dict[int, int]:
     """The hashed features that tell most about ``target`` (0 to 1), and their places 0, 1, ...
 
-    Sums of presence and target are combined in each task and added up by feature; the ``keep`` features
-    whose mean target lies furthest from the overall mean, in standard errors, reach the driver.
+    Sums of values and of values times target are combined in each task and added up by feature; of the
+    features whose sum lies furthest from what the overall mean gives, in standard errors, ``keep`` reach the driver.
     """
     ready(rows.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             targets = np.asarray(batch.column(1))
-            found = [featurize(text or "")[0] for text in batch.column(0).to_pylist()]
-            # The feature -1 counts the rows.
-            all_ids = np.concatenate([np.full(len(found), -1), *found])
-            weights = np.concatenate((targets, np.repeat(targets, np.fromiter(map(len, found), int, len(found)))))
+            found = [featurize(text or "") for text in batch.column(0).to_pylist()]
+            sizes = np.fromiter((len(ids) for ids, _ in found), int, len(found))
+            # The feature -1 has the value 1 in every row.
+            all_ids = np.concatenate([np.full(len(found), -1), *[ids for ids, _ in found]])
+            values = np.concatenate([np.ones(len(found)), *[v for _, v in found]])
+            goals = np.concatenate((targets, np.repeat(targets, sizes)))
             ids, at, counts = np.unique(all_ids, return_inverse=True, return_counts=True)
-            sums = np.bincount(at, weights=weights, minlength=len(ids))
-            columns = [pa.array(ids, pa.int64()), pa.array(counts, pa.int64()), pa.array(sums, pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, names=["feature", "n", "t"])
+            sums = [np.bincount(at, weights=w, minlength=len(ids)) for w in (values, values * goals, values * values)]
+            columns = [pa.array(ids, pa.int64()), pa.array(counts, pa.int64()), *[pa.array(s) for s in sums]]
+            yield pa.RecordBatch.from_arrays(columns, names=["feature", "n", "x", "xt", "xx"])
 
-    parts = rows.select("text", F.col("target").cast("double")).mapInArrow(run, "feature bigint, n bigint, t double")
+    schema = "feature bigint, n bigint, x double, xt double, xx double"
+    parts = rows.select("text", F.col("target").cast("double")).mapInArrow(run, schema)
     # Rounded, so that the order in which partial sums meet cannot change a choice.
-    summed = parts.groupBy("feature").agg(F.sum("n").alias("n"), F.round(F.sum("t"), 6).alias("t"))
+    sums = [F.round(F.sum(c), 6).alias(c) for c in ("x", "xt", "xx")]
+    summed = parts.groupBy("feature").agg(F.sum("n").alias("n"), *sums)
     summed = staged(summed.filter((F.col("n") >= LEAST_ROWS) | (F.col("feature") == -1)), "features")
     everything = summed.filter("feature = -1").first()
     if everything is None:
         return {}
-    mean = everything["t"] / everything["n"]
-    apart = F.abs(F.col("t") - F.col("n") * mean) / F.sqrt(F.col("n") * max(mean * (1 - mean), 1e-6))
-    best = summed.filter("feature >= 0").select("feature", apart.alias("apart")).orderBy(F.desc("apart"), "feature")
-    return {row["feature"]: place for place, row in enumerate(best.limit(keep).collect())}
+    mean = everything["xt"] / everything["n"]
+    spread = F.sqrt(F.greatest(F.col("xx"), F.lit(1e-6)) * max(mean * (1 - mean), 1e-6))
+    apart = F.abs(F.col("xt") - F.col("x") * mean) / spread
+    best = summed.filter("feature >= 0").select("feature", apart.alias("apart")).filter(F.col("apart") >= LEAST_APART)
+    best = best.orderBy(F.desc("apart"), "feature").limit(keep)
+    return {row["feature"]: place for place, row in enumerate(best.collect())}
 
 
 def sparse_rows(rows: DataFrame, featurize: Featurizer, places: dict[int, int]) -> tuple[SparseRows, np.ndarray]:
@@ -135,7 +142,9 @@ def score_texts(
         for batch in batches:
             found = np.array([score(t or "") for t in batch.column(0).to_pylist()], dtype=np.float64)
             columns = [pa.array(c) for c in found.reshape(-1, len(names)).T]
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], *columns], names=[*keep, *names])
+            # A tuple of columns under one name, so that no column's own name can clash.
+            yield pa.RecordBatch.from_arrays([*batch.column(1).flatten(), *columns], names=[*keep, *names])
 
     kinds = [f"`{c}` {documents.schema[c].dataType.simpleString()}" for c in keep] + [f"`{n}` double" for n in names]
-    return documents.select(F.col("text").alias("_text"), *[F.col(f"`{c}`") for c in keep]).mapInArrow(run, ", ".join(kinds))
+    kept = F.struct(*[F.col(f"`{c}`") for c in keep])
+    return documents.select("text", kept.alias("kept")).mapInArrow(run, ", ".join(kinds))

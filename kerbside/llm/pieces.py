@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from kerbside.llm.common import chunks, flat_ranges, ready
 
@@ -335,8 +336,9 @@ def encode_texts(documents: DataFrame, model: str, most: int = BEST, keep: tuple
                 scores.append(best)
                 same.append(own.model.decode(pieces.tolist()) == (text.as_py() or b""))
             made = [pa.array(ids, pa.list_(pa.int32())), pa.array(scores, pa.list_(pa.float64())), pa.array(same, pa.bool_())]
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], *made], names=[*keep, "pieces", "scores", "decodes"])
+            yield pa.RecordBatch.from_arrays([*batch.column(1).flatten(), *made], names=[*keep, "pieces", "scores", "decodes"])
 
     kinds = "".join(f"`{c}` {documents.schema[c].dataType.simpleString()}, " for c in keep)
     schema = f"{kinds}pieces array<int>, scores array<double>, decodes boolean"
-    return documents.select(documents["text"].alias("_text"), *keep).mapInArrow(run, schema)
+    kept = F.struct(*[F.col(f"`{c}`") for c in keep])
+    return documents.select("text", kept.alias("kept")).mapInArrow(run, schema)
