@@ -3,6 +3,9 @@
 BENCH_SF_DIR is the data folder, BENCH_CPUS the number of local cores. Every query is run whole, into a
 sink that discards the rows, so nothing is saved by not producing them. A first unmeasured run loads
 and compiles the classes, then the best of BENCH_RUNS runs counts.
+
+Each given table is a single row group, so a scan with all text work on it is one task. A second set of figures
+is taken over the same rows in BENCH_FILES files, written outside the measured part.
 """
 
 from __future__ import annotations
@@ -17,7 +20,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from checks import fixtures  # noqa: E402
 from checks.registry import QUERIES  # noqa: E402
-from kerbside.session import build_session  # noqa: E402
+from kerbside.session import build_session, remove, scratch_dir  # noqa: E402
 
 HEADLINE = [
     "hotspots",
@@ -35,6 +38,18 @@ HEADLINE = [
 ]
 
 
+SPREAD = ["hotspots", "match_spots", "suggestions", "amplify"]
+TABLES = ["lineitem", "events"]
+
+
+def in_files(spark, sf_dir: str, files: int) -> str:
+    """A copy of the tables that the queries above read, each in several files."""
+    target = scratch_dir(spark, "bench")
+    for name in TABLES:
+        fixtures.table(spark, sf_dir, name).repartition(files).write.parquet(f"{target}/{name}.parquet")
+    return target
+
+
 def timed(spark, name: str, sf_dir: str) -> float:
     began = time.perf_counter()
     QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
@@ -59,6 +74,14 @@ def main() -> None:
         timed(spark, name, sf_dir)
         seconds[name] = round(min(timed(spark, name, sf_dir) for _ in range(runs)), 3)
         print(name, seconds[name], file=sys.stderr, flush=True)
+    spread = {}
+    if files := int(os.environ.get("BENCH_FILES", "8")):
+        copy = in_files(spark, sf_dir, files)
+        for name in [name for name in SPREAD if name in names]:
+            timed(spark, name, copy)
+            spread[name] = round(min(timed(spark, name, copy) for _ in range(runs)), 3)
+            print(name, f"in {files} files", spread[name], file=sys.stderr, flush=True)
+        remove(spark, copy)
     trips = fixtures.table(spark, sf_dir, "lineitem").count()
     positions = fixtures.table(spark, sf_dir, "events").count()
     rows = {"hotspots": trips, "hotspots_from_text": trips, "suggestions": positions, "stream_suggestions": positions}
@@ -68,6 +91,7 @@ def main() -> None:
         "value": round(sum(seconds.values()), 3),
         "unit": "sec",
         "queries": seconds,
+        "in_files": spread,
         "rows_per_second": {name: round(rows[name] / seconds[name]) for name in rows if name in seconds},
         "sf": Path(sf_dir).name.removeprefix("sf"),
         "cpus": cpus,
