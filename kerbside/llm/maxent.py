@@ -42,7 +42,7 @@ BATCH = 8192  # tokens of one gradient step; fewer in a small corpus, so that th
 LEAST_BATCH, STEPS = 256, 2000
 RATE = 0.1
 END = " "  # the end token; no word holds a space
-FLUSH = 3_000_000  # words that a task gathers before it counts them
+FLUSH = 1_000_000  # words that a task gathers before it counts them
 
 
 def token_lists(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -224,7 +224,7 @@ def train(encoded: DataFrame, vocab: Vocabulary, known) -> np.ndarray:
     weights[0] = np.log(share)
     size = int(np.clip(vocab.tokens // STEPS, LEAST_BATCH, BATCH))
     names = ["row", "n", *[f"w{c}" for c in range(CLASSES)]]
-    schema = "row int, n bigint, " + ", ".join(f"w{c} double" for c in range(CLASSES))
+    schema = "row int, n bigint, " + ", ".join(f"w{c} float" for c in range(CLASSES))
     for turn in range(ROUNDS):
         shared = spark.sparkContext.broadcast(weights)  # its size is fixed by the constants above
 
@@ -237,7 +237,7 @@ def train(encoded: DataFrame, vocab: Vocabulary, known) -> np.ndarray:
                     descent.step(rows[at : at + size], classes[at : at + size])
             met = np.flatnonzero(descent.met)
             if len(met):
-                moved = descent.weights[met] * descent.met[met][:, None].astype(np.float64)
+                moved = descent.weights[met] * descent.met[met][:, None].astype(np.float32)
                 columns = [pa.array(met, pa.int32()), pa.array(descent.met[met], pa.int64()), *map(pa.array, moved.T.copy())]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
