@@ -1,5 +1,6 @@
 """Suggestion jobs: a stored position history in one go, or the live stream.
 
+    spark-submit kerbside/plans/suggestion_job.py --hotspots hotspots --output answers --positions 'positions/*.txt'
     spark-submit kerbside/plans/suggestion_job.py --hotspots hotspots --output answers \\
         --checkpoint state --brokers host:9092 --topic positions --partitions 3
 """
@@ -18,6 +19,7 @@ from kerbside.params import PICKS
 from kerbside.session import build_session
 from kerbside.sources.messages import MAX_OFFSETS_PER_TRIGGER, kafka_options, read_messages
 from kerbside.sources.tables import ParquetTable, Table, read_table
+from kerbside.sources.text import positions_from_lines, read_lines
 from kerbside.streaming.suggestions import load_hotspots, run_suggestions
 
 # Size of the broadcast hotspots that a driver and executor with default memory can hold. A row takes 173
@@ -39,14 +41,25 @@ def suggest_history(spark: SparkSession, positions: DataFrame, table: Table, k:
 
 def main() -> None:
     args = argparse.ArgumentParser(description=__doc__)
-    for name in ("hotspots", "output", "checkpoint", "brokers", "topic"):
-        args.add_argument(f"--{name}", required=True)
-    args.add_argument("--partitions", type=int, required=True)
+    args.add_argument("--hotspots", required=True)
+    args.add_argument("--output", required=True)
+    args.add_argument("--positions", help="stored position text; without it the stream is answered")
+    for name in ("checkpoint", "brokers", "topic"):
+        args.add_argument(f"--{name}")
+    args.add_argument("--partitions", type=int)
     args.add_argument("--start-offset", type=int, default=0)
     args.add_argument("--picks", type=int, default=PICKS)
     args.add_argument("--max-offsets", type=int, default=MAX_OFFSETS_PER_TRIGGER, help="messages of one micro-batch")
     given = args.parse_args()
     spark = build_session("suggestions")
+    if given.positions:
+        positions = positions_from_lines(read_lines(spark, given.positions))
+        answers = suggest_history(spark, positions, ParquetTable(given.hotspots), given.picks)
+        answers.write.mode("overwrite").parquet(given.output)
+        return
+    missing = [name for name in ("checkpoint", "brokers", "topic", "partitions") if getattr(given, name) is None]
+    if missing:
+        args.error(f"the stream also needs {', '.join(missing)}")
     options = kafka_options(given.brokers, given.topic, given.partitions, given.start_offset, given.max_offsets)
     messages = read_messages(spark, "kafka", options)
     hotspots = load_hotspots(spark, ParquetTable(given.hotspots))
