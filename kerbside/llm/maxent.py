@@ -18,6 +18,7 @@ are 0 and the model is uniform.
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +34,7 @@ FOLDS, HELD_OUT = 7, 2
 VOCABULARY = 1 << 18  # words with places of their own, in every task's memory
 LONGEST = 64  # bytes of such a word
 OWN_CLASS = 10  # most frequent words that are classes of their own
+OWN_ENDINGS = 16  # most frequent word endings that are classes
 CLASSES = 32
 WORD_ROWS, OWN_ROWS = 4096, 3072  # of the table, for a single word; the most frequent ones have their own row
 PAIR_ROWS = 8192
@@ -94,11 +96,16 @@ class Vocabulary:
         self.counts = np.array(counts, dtype=np.int64)
         self.end = words.index(END)
         self.classes = np.zeros(self.size + 1, dtype=np.int64)
-        hashed = CLASSES - OWN_CLASS - 2
-        for place, word in enumerate(words):
-            ending = word.strip(".,!?;:|#$%&*")[-2:]
-            own = place if place < OWN_CLASS else OWN_CLASS + zlib.crc32(ending.encode()) % hashed
-            self.classes[place] = own
+        # The endings that most tokens have are classes of their own, the others share some by their hash.
+        endings = [word.strip(".,!?;:|#$%&*")[-2:] for word in words]
+        tokens_of: Counter = Counter()
+        for ending, n in zip(endings[OWN_CLASS:], counts[OWN_CLASS:], strict=True):
+            tokens_of[ending] += n
+        shared = CLASSES - OWN_CLASS - OWN_ENDINGS - 2
+        own = {ending: OWN_CLASS + nth for nth, (ending, _) in enumerate(tokens_of.most_common(OWN_ENDINGS))}
+        for place, ending in enumerate(endings):
+            other = CLASSES - 2 - shared + zlib.crc32(ending.encode()) % shared
+            self.classes[place] = place if place < OWN_CLASS else own.get(ending, other)
         self.classes[self.end], self.classes[self.size] = CLASSES - 2, CLASSES - 1
         inside = np.bincount(self.classes[:-1], weights=self.counts, minlength=CLASSES)
         self.other_tokens = tokens - int(self.counts.sum())
