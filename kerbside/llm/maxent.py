@@ -33,14 +33,14 @@ from kerbside.llm.common import fold, ready, staged
 FOLDS, HELD_OUT = 7, 2
 VOCABULARY = 1 << 18  # words with places of their own, in every task's memory
 LONGEST = 64  # bytes of such a word
-OWN_CLASS = 10  # most frequent words that are classes of their own
+OWN_CLASS = 20  # most frequent words that are classes of their own
 OWN_ENDINGS = 16  # most frequent word endings that are classes
-CLASSES = 32
+CLASSES = 64
 WORD_ROWS, OWN_ROWS = 4096, 3072  # of the table, for a single word; the most frequent ones have their own row
 PAIR_ROWS = 8192
 ROWS = 1 + 2 * WORD_ROWS + PAIR_ROWS
 ROUNDS = 2
-BATCH = 8192  # tokens of one gradient step; fewer in a small corpus, so that there are as many steps
+BATCH = 4096  # tokens of one gradient step; fewer in a small corpus, so that there are as many steps
 LEAST_BATCH, STEPS = 256, 2000
 RATE = 0.1
 END = " "  # the end token; no word holds a space

@@ -93,3 +93,12 @@ def test_a_step_goes_down_the_gradient():
     for _ in range(20):
         descent.step(rows, classes)
     assert loss() < before / 2 and descent.met[0] == 20 * 500
+
+
+def test_the_size_of_the_model():
+    """64 classes, 20 words of their own, a step at least every 4096 tokens, however large the corpus."""
+    counts = [10**9 - n for n in range(300)]
+    spelled = [f"w{n}{'abcdefghijklmnop'[n % 16]}{n % 7}" for n in range(299)]
+    vocab = maxent.Vocabulary([*spelled, maxent.END], counts, sum(counts), 300)
+    assert maxent.CLASSES == 64 and maxent.BATCH == 4096
+    assert all((vocab.classes == place).sum() == 1 for place in range(20))
