@@ -2,9 +2,12 @@
 
 P(word | history) = P(class | history) * P(word | class). The class is scored by log-linear features of the history,
 hashed to rows of one weight table: the word before, the pair before, and the word before the last (skipping
-one). Within its class a word's weight is its own share of the class's tokens. The most frequent words
-have places of their own in the vocabulary that all tasks hold; all other words, unseen ones included, share a
-class, in which a word of count c has (c + 1) / (tokens + words + 1) of the class.
+one). The word is then chosen inside its class by the same features, in a second table: members are dealt by
+falling count to the leaves of a tree with up to ``FAN`` branches a node, and every node has its own softmax over
+its branches, log(share of the node's tokens) + features of history and node. A class of up to ``FAN`` words is one
+softmax over its members; the product over a larger class's tree adds up to one over all members too. The most
+frequent words have places of their own in the vocabulary that all tasks hold; all other words, unseen ones
+included, share a class, in which a word of count c has (c + 1) / (tokens + words + 1) of the class.
 
 Counts cover all training tokens. Training makes one pass over all training tokens in rounds: in a round every
 task starts from the same weights and follows its own gradient in small batches; the new weights are averaged
@@ -39,6 +42,10 @@ CLASSES = 64
 WORD_ROWS, OWN_ROWS = 4096, 3072  # of the table, for a single word; the most frequent ones have their own row
 PAIR_ROWS = 8192
 ROWS = 1 + 2 * WORD_ROWS + PAIR_ROWS
+FAN = CLASSES  # branches of a node inside a class; the two tables are equally wide
+INNER_FEATURE = 1 << 14  # rows of the table inside the classes, for each of the three features
+INNER_ROWS = 3 * INNER_FEATURE
+INNER_SQUARES = 1.0  # a first step there is small: most of these rows are met seldom
 ROUNDS = 2
 BATCH = 4096  # tokens of one gradient step; fewer in a small corpus, so that there are as many steps
 LEAST_BATCH, STEPS = 256, 2000
@@ -117,6 +124,44 @@ class Vocabulary:
         self.shares = np.append(np.log10(np.maximum(self.counts, 1) / np.maximum(inside[self.classes[:-1]], 1)), 0.0)
         self.known = np.append(self.counts > 0, False)
         self.base = np.append(np.log10((self.counts + 1) / (tokens + distinct + 1)), 0.0)
+        self._grow()
+
+    def _grow(self) -> None:
+        """The trees of the classes: on each level a word's node (-1: none) and branch, and each node's log shares.
+
+        Nodes near the leaves come first; a word in a class of its own, or without a place, has no node.
+        """
+        order = np.argsort(self.classes[:-1], kind="stable")  # places are by falling count already
+        sizes = np.bincount(self.classes[:-1], minlength=CLASSES)
+        rank = np.empty(self.size, dtype=np.int64)
+        rank[order] = np.arange(self.size) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        known = np.maximum(self.counts, 1).astype(np.float64)
+        self.levels, tables, first = [], [], 0
+        width = sizes[self.classes[:-1]]  # nodes or words of the class on the level
+        while (width > 1).any():
+            inner = np.flatnonzero(width > 1)
+            # Parent by class and rank; the numbers of the nodes are dense.
+            parents = self.classes[:-1][inner] * (self.size + 1) + rank[inner] // FAN
+            distinct, number = np.unique(parents, return_inverse=True)
+            node, branch = np.full(self.size + 1, -1), np.zeros(self.size + 1, dtype=np.int64)
+            node[inner], branch[inner] = first + number, rank[inner] % FAN
+            sums = np.bincount(number * FAN + branch[inner], weights=known[inner], minlength=len(distinct) * FAN).reshape(-1, FAN)
+            with np.errstate(divide="ignore"):
+                tables.append(np.log(sums / sums.sum(axis=1, keepdims=True)).astype(np.float32))
+            self.levels.append((node, branch))
+            first += len(distinct)
+            width, rank = -(-width // FAN), rank // FAN
+        self.nodes = np.concatenate(tables) if tables else np.zeros((0, FAN), dtype=np.float32)
+
+    def choices(self, flat: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of tokens: which of them have a choice inside their class (as often as their trees are high), node, branch."""
+        made = []
+        for node, branch in self.levels:
+            at = np.flatnonzero(node[flat] >= 0)
+            made.append((at, node[flat[at]], branch[flat[at]]))
+        if not made:
+            made = [(np.zeros(0, dtype=np.int64),) * 3]
+        return tuple(np.concatenate(x) for x in zip(*made, strict=True))
 
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
@@ -181,19 +226,38 @@ def histories(lists: pa.Array, before: int) -> tuple[np.ndarray, np.ndarray]:
     return flat, rows
 
 
-def class_scores(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """log P(class) for the histories with these rows."""
-    line = raw_scores(weights, rows)
+def inner_rows(lists: pa.Array, before: int, at: np.ndarray, nodes: np.ndarray) -> np.ndarray:
+    """The three rows of the table inside the classes, for the histories of some tokens at some nodes."""
+    flat = np.asarray(lists.flatten()).astype(np.int64)
+    starts = np.asarray(lists.value_lengths()).cumsum() - np.asarray(lists.value_lengths())
+    last = np.empty_like(flat)
+    last[1:], last[starts] = flat[:-1], before
+    other = np.empty_like(last)
+    other[1:], other[starts] = last[:-1], before
+    return hashed_rows(last[at], other[at], nodes)
+
+
+def hashed_rows(last: np.ndarray, other: np.ndarray, nodes: np.ndarray) -> np.ndarray:
+    def row(nth: int, key: np.ndarray) -> np.ndarray:
+        mixed = (key * 1_000_003 + nodes) * 0x9E3779B97F4A7C1 + nth
+        return nth * INNER_FEATURE + ((mixed ^ (mixed >> 29)) >> 13) % INNER_FEATURE
+
+    return np.stack((row(0, last), row(1, other), row(2, last * 8_191 + other)), axis=1)
+
+
+def class_scores(weights: np.ndarray, rows: np.ndarray, base: np.ndarray | None = None) -> np.ndarray:
+    """log P(class) for the histories with these rows; with ``base`` (of the nodes) log P(branch)."""
+    line = raw_scores(weights, rows, base)
     line -= np.log(np.exp(line).sum(axis=1, keepdims=True))
     return line
 
 
-def raw_scores(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
+def raw_scores(weights: np.ndarray, rows: np.ndarray, base: np.ndarray | None = None) -> np.ndarray:
     """Sums of the rows' weights, less the largest of each history."""
     line = weights.take(rows[:, 0], axis=0)
     line += weights.take(rows[:, 1], axis=0)
     line += weights.take(rows[:, 2], axis=0)
-    line += weights[0]
+    line += weights[0] if base is None else base
     line -= line.max(axis=1, keepdims=True)
     return line
 
@@ -201,13 +265,13 @@ def raw_scores(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
 class Descent:
     """Gradient steps from given weights, with a step width of its own for each weight."""
 
-    def __init__(self, weights: np.ndarray):
+    def __init__(self, weights: np.ndarray, squares: float = 1e-2):
         self.weights = weights.copy()
-        self.squares = np.full_like(self.weights, 1e-2)
+        self.squares = np.full_like(self.weights, squares)
         self.met = np.zeros(len(weights), dtype=np.int64)
 
-    def step(self, rows: np.ndarray, classes: np.ndarray) -> None:
-        error = raw_scores(self.weights, rows)
+    def step(self, rows: np.ndarray, classes: np.ndarray, base: np.ndarray | None = None) -> None:
+        error = raw_scores(self.weights, rows, base)
         np.exp(error, out=error)
         error /= error.sum(axis=1, keepdims=True)
         error[np.arange(len(classes)), classes] -= 1
@@ -215,18 +279,24 @@ class Descent:
         order = np.argsort(flat, kind="stable")
         ranked = flat[order]
         first = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1]))
-        touched = np.append(0, ranked[first])
-        slope = np.concatenate((error.sum(axis=0)[None, :], np.add.reduceat(error.take(order // 3, axis=0), first, axis=0)))
-        self.met[touched] += np.append(len(rows), np.diff(np.append(first, len(flat))))
+        touched, slope = ranked[first], np.add.reduceat(error.take(order // 3, axis=0), first, axis=0)
+        times = np.diff(np.append(first, len(flat)))
+        if base is None:  # row 0 is every history's
+            touched, times = np.append(0, touched), np.append(len(rows), times)
+            slope = np.concatenate((error.sum(axis=0)[None, :], slope))
+        self.met[touched] += times
         squares = self.squares[touched] + slope * slope
         self.squares[touched] = squares
         self.weights[touched] -= np.float32(RATE) * slope / np.sqrt(squares)
 
 
 def train(encoded: DataFrame, vocab: Vocabulary, known) -> np.ndarray:
-    """The weight table. ``encoded`` holds the training texts."""
+    """The weight table: ``ROWS`` for the classes, then ``INNER_ROWS`` for the words inside them.
+
+    ``encoded`` holds the training texts.
+    """
     spark = encoded.sparkSession
-    weights = np.zeros((ROWS, CLASSES), dtype=np.float32)
+    weights = np.zeros((ROWS + INNER_ROWS, CLASSES), dtype=np.float32)
     share = (vocab.class_tokens + 0.5) / (vocab.tokens + 0.5 * CLASSES)
     weights[0] = np.log(share)
     size = int(np.clip(vocab.tokens // STEPS, LEAST_BATCH, BATCH))
@@ -236,17 +306,24 @@ def train(encoded: DataFrame, vocab: Vocabulary, known) -> np.ndarray:
         shared = spark.sparkContext.broadcast(weights)  # its size is fixed by the constants above
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            vocab, descent = known.value, Descent(shared.value)
+            vocab, descent = known.value, Descent(shared.value[:ROWS])
+            inner = Descent(shared.value[ROWS:], INNER_SQUARES)
             for batch in batches:
                 flat, rows = histories(batch.column(0), vocab.size + 1)
                 classes = vocab.classes[flat]
                 for at in range(0, len(flat), size):
                     descent.step(rows[at : at + size], classes[at : at + size])
-            met = np.flatnonzero(descent.met)
-            if len(met):
-                moved = descent.weights[met] * descent.met[met][:, None].astype(np.float32)
-                columns = [pa.array(met, pa.int32()), pa.array(descent.met[met], pa.int64()), *map(pa.array, moved.T.copy())]
-                yield pa.RecordBatch.from_arrays(columns, names=names)
+                at, nodes, branches = vocab.choices(flat)
+                rows = inner_rows(batch.column(0), vocab.size + 1, at, nodes)
+                for k in range(0, len(nodes), size):
+                    some = slice(k, k + size)
+                    inner.step(rows[some], branches[some], vocab.nodes[nodes[some]])
+            for first, part in ((0, descent), (ROWS, inner)):
+                met = np.flatnonzero(part.met)
+                for some in (met[k : k + 8192] for k in range(0, len(met), 8192)):
+                    moved = part.weights[some] * part.met[some][:, None].astype(np.float32)
+                    columns = [pa.array(first + some, pa.int32()), pa.array(part.met[some], pa.int64()), *map(pa.array, moved.T.copy())]
+                    yield pa.RecordBatch.from_arrays(columns, names=names)
 
         part = encoded.filter(F.pmod(F.xxhash64("key"), F.lit(ROUNDS)) == turn).select("places")
         # Sums by row need no more memory than one row, however many tasks there were.
@@ -279,9 +356,15 @@ def score(documents: DataFrame) -> DataFrame:
                 some = slice(at, at + BATCH)
                 line = class_scores(table, rows[some])
                 chosen[some] = line[np.arange(len(line)), vocab.classes[flat[some]]]
+            token, nodes, branches = vocab.choices(flat)
+            rows = inner_rows(lists, vocab.size + 1, token, nodes)
+            for at in range(0, len(nodes), BATCH):
+                some = slice(at, at + BATCH)
+                line = class_scores(table[ROWS:], rows[some], vocab.nodes[nodes[some]])
+                np.add.at(chosen, token[some], line[np.arange(len(line)), branches[some]])
             lengths = np.asarray(lists.value_lengths()).astype(np.int64)
             starts = lengths.cumsum() - lengths
-            sums = [np.add.reduceat(x, starts) for x in (chosen / np.log(10) + vocab.shares[flat], vocab.base[flat])]
+            sums = [np.add.reduceat(x, starts) for x in (chosen / np.log(10), vocab.base[flat])]
             placed = np.add.reduceat(vocab.known[flat].astype(np.int64), starts)
             made = [*batch.columns[:3], *map(pa.array, (lengths, placed, *sums))]
             yield pa.RecordBatch.from_arrays(made, names=["key", "doc_id", "held_out", "n_tokens", "placed", "model", "base"])

@@ -102,3 +102,41 @@ def test_the_size_of_the_model():
     vocab = maxent.Vocabulary([*spelled, maxent.END], counts, sum(counts), 300)
     assert maxent.CLASSES == 64 and maxent.BATCH == 4096
     assert all((vocab.classes == place).sum() == 1 for place in range(20))
+
+
+def test_words_inside_a_class_follow_the_history(monkeypatch):
+    """Branch probabilities add up to one over a class's words in trees of any height, start at the shares, and learn."""
+    monkeypatch.setattr(maxent, "OWN_ENDINGS", 1)
+    spelled = [f"w{n}xx" for n in range(5000)]
+    counts = list(range(6000, 1000, -1))
+    vocab = maxent.Vocabulary([*spelled, maxent.END], [*counts, 50], sum(counts) + 50, 5001)
+    members = np.flatnonzero(vocab.classes[:-1] == vocab.classes[100])
+    assert len(members) == 4980 and len(vocab.levels) == 3
+
+    def chances(weights):
+        at, nodes, branches = vocab.choices(members)
+        rows = maxent.hashed_rows(np.full(len(at), 7), np.full(len(at), 9), nodes)
+        line = maxent.class_scores(weights, rows, vocab.nodes[nodes])[np.arange(len(at)), branches]
+        return np.exp(np.bincount(at, weights=line))
+
+    none = np.zeros((maxent.INNER_ROWS, maxent.FAN), dtype=np.float32)
+    assert chances(none) == pytest.approx(10 ** vocab.shares[members], rel=1e-4)
+    descent = maxent.Descent(none)
+    _, nodes, branches = vocab.choices(np.full(50, 2000))
+    rows = maxent.hashed_rows(np.full(len(nodes), 7), np.full(len(nodes), 9), nodes)
+    for _ in range(20):
+        descent.step(rows, branches, vocab.nodes[nodes])
+    learnt = chances(descent.weights)
+    assert learnt.sum() == pytest.approx(1, rel=1e-3)
+    assert learnt[members == 2000] > 10 * chances(none)[members == 2000]
+
+
+def test_the_right_order_scores_better_than_a_wrong_one_with_the_same_endings(make):
+    """The words of a cycle all end alike, so that only the choice inside the class tells their order."""
+    cycle = [f"{c}{d}zz" for c in "bcdfghjklm" for d in "aeiou"]
+    right = " ".join(cycle * 3)
+    wrong = " ".join(cycle[(7 * n) % 50] for n in range(150))
+    held = [i for i in range(900) if zlib.crc32(str(i).encode()) % 7 == 2]
+    texts = {i: (right, wrong)[held.index(i) % 2] if i in set(held) else right for i in range(900)}
+    found = {r.doc_id: r.score for r in maxent.score(make([(i, t, "s") for i, t in texts.items()])).collect()}
+    assert min(found[i] for i in held[::2]) > max(found[i] for i in held[1::2]) + 30
