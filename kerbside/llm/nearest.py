@@ -29,7 +29,7 @@ AXES = 8
 BITS = 6  # per axis: 48-bit keys
 RANGES = 120  # of a curve; a window of three is 2.5 % of all vectors
 SAMPLE = 20_000
-GROUP = 50_000  # vectors compared in one task at once; ranges with more are dealt out further
+GROUP = 50_000  # vectors compared in one task at once; ranges with more are dealt out further, so are their queries
 SEED = 7
 
 
@@ -129,6 +129,40 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
+def _mixed(entry: np.ndarray) -> np.ndarray:
+    """Digests of ids (0 or more), so that ids in steps, such as those that ask, are dealt out evenly."""
+    x = entry.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return (x >> np.uint64(16)).astype(np.int64)
+
+
+def range_parts(entries: DataFrame, shared, curves: int) -> tuple[np.ndarray, np.ndarray]:
+    """By curve and range: into how many parts its vectors are dealt, and into how many its queries."""
+    width = max(shared.value.count(curve) for curve in range(curves))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = shared.value
+        held, asking = (np.zeros((curves, width), dtype=np.int64) for _ in range(2))
+        for batch in batches:
+            x, asks = _matrix(batch.column(0)), np.asarray(batch.column(1))
+            for curve in range(curves):
+                own = made.ranges(x, curve)
+                held[curve] += np.bincount(own, minlength=width)
+                asking[curve] += np.bincount(own[asks], minlength=width)
+        columns = [pa.array(np.arange(curves * width), pa.int32()), pa.array(held.ravel()), pa.array(asking.ravel())]
+        yield pa.RecordBatch.from_arrays(columns, names=["place", "held", "asking"])
+
+    counted = entries.select("vector", "asks").mapInArrow(count, "place int, held bigint, asking bigint")
+    held, asking = (np.zeros(curves * width, dtype=np.int64) for _ in range(2))
+    for row in counted.groupBy("place").agg(F.sum("held").alias("held"), F.sum("asking").alias("asking")).collect():
+        held[row["place"]], asking[row["place"]] = row["held"], row["asking"]
+    held, asking = held.reshape(curves, width), asking.reshape(curves, width)
+    met = asking.copy()  # queries of the range itself and of both next to it
+    met[:, 1:] += asking[:, :-1]
+    met[:, :-1] += asking[:, 1:]
+    return np.maximum(1, -(-held // GROUP)), np.maximum(1, -(-met // GROUP))
+
+
 FOUND = pa.schema([("query", pa.int64()), ("found", pa.list_(pa.int64())), ("scores", pa.list_(pa.float64()))])
 
 
@@ -156,20 +190,30 @@ def search(
     sample = entries.select("vector", order_key("entry").alias("place")).orderBy("place").limit(SAMPLE)
     fitted = Curves(np.array([r[0] for r in sample.select("vector").collect()]), curves, axes, bits, ranges)
     shared = spark.sparkContext.broadcast(fitted)  # bounded by the parameters: curves, length of a vector, ranges
-    parts = -(-rows // (ranges * GROUP))  # of a range, so that a group stays bounded
+    # Of every range of every curve the numbers of parts of its vectors and of its queries, by its own counts.
+    dealt = spark.sparkContext.broadcast(range_parts(entries, shared, curves))  # curves x ranges numbers at most
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made = shared.value
+        made, (shares, rounds) = shared.value, dealt.value
         for batch in batches:
             x = _matrix(batch.column(1))
             asks = np.asarray(batch.column(2))
             entry = np.asarray(batch.column(0))
             for curve in range(curves):
                 own, last = made.ranges(x, curve), made.count(curve) - 1
-                turns = [(np.arange(len(x)), own, entry % parts, False)]
+                # Every part of a range's vectors meets every part of its queries once.
+                mixed = _mixed(entry)
+                turns = []
+                for nth in range(int(rounds[curve, own].max(initial=1))):
+                    who = np.flatnonzero(nth < rounds[curve, own])
+                    at = own[who]
+                    turns.append((who, at, mixed[who] % shares[curve, at] * rounds[curve, at] + nth, False))
                 for step in (-1, 0, 1):
-                    who = np.flatnonzero(asks & (own + step >= 0) & (own + step <= last))
-                    turns += [(who, own[who] + step, np.full(len(who), part), True) for part in range(parts)]
+                    asking = np.flatnonzero(asks & (own + step >= 0) & (own + step <= last))
+                    for nth in range(int(shares[curve, own[asking] + step].max(initial=0))):
+                        who = asking[nth < shares[curve, own[asking] + step]]
+                        at = own[who] + step
+                        turns.append((who, at, nth * rounds[curve, at] + mixed[who] % rounds[curve, at], True))
                 for who, at, part, query in turns:
                     yield pa.RecordBatch.from_arrays(
                         [

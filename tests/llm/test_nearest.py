@@ -68,3 +68,19 @@ def test_few_rows_ties_and_unusable_vectors(spark):
 def test_hardly_any_rows(spark, rows):
     found = searched(spark, rows, k=3)
     assert found == ({20: [(21, 4.0)]} if len(rows) == 2 else {})
+
+
+def test_a_crowded_range_is_dealt_out_by_its_own_count(spark, monkeypatch):
+    """A third of all vectors in one tight cluster: cut points cannot divide it, parts of vectors and queries do."""
+    draw = np.random.default_rng(5)
+    x = draw.normal(size=(900, 8))
+    x[:300] = 1 + draw.normal(size=(300, 8)) * 1e-6
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    whole = searched(spark, rows, k=5, every=2, curves=3)
+    monkeypatch.setattr(nearest, "GROUP", 60)
+    seen, count = [], nearest.range_parts
+    monkeypatch.setattr(nearest, "range_parts", lambda *a: seen.append(count(*a)) or seen[0])
+    assert searched(spark, rows, k=5, every=2, curves=3) == whole
+    shares, rounds = seen[0]
+    assert (shares.max(axis=1) >= 5).all() and (rounds.max(axis=1) >= 3).all()  # 300 / 60 vectors, 150 / 60 queries
+    assert (shares.min(axis=1) == 1).all()
