@@ -47,9 +47,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, source, n_pieces, pieces, scores of the best segmentations, and whether decoding gives the text back."""
+    """doc_id, source, n_pieces, pieces, scores of the best segmentations, changes that make the others, and whether each decodes to the text."""
     found = pieces.encode_texts(docs, public_tokenizers.path(PIECES), keep=("doc_id", "source"))
-    return found.select("doc_id", "source", F.size("pieces").alias("n_pieces"), "pieces", "scores", "decodes")
+    return found.select("doc_id", "source", F.size("pieces").alias("n_pieces"), "pieces", "scores", "others", "decodes")
 
 
 STAGES = [

@@ -8,6 +8,10 @@ No piece reaches over two adjacent characters that occur side by side in no piec
 apart there: the parts are segmented by themselves, each distinct one once in a worker, and the best
 combinations of their alternatives are those of the whole text.
 
+All N segmentations are returned: the best in full, each other one as the places where it differs from the best
+(``full`` gives its pieces). Each is decoded: pieces decode one by one, so an alternative gives back the text just
+if the best does and what it puts in place decodes to what it replaces.
+
 The model file's pieces are ranked (it was built by merges); a piece of rank r has the score -ln(r + 2).
 
 Defined results: a null or empty text has no pieces, score 0 and one segmentation; text is not normalised, so that
@@ -39,6 +43,7 @@ RUN = re.compile(r" +[^ ]*")
 LETTER = re.compile("[A-Za-zÀ-ÖØ-öø-ɏ]")
 JOINED = "\x01"  # stands before a part that has no space before it; texts that hold it are cut at spaces only
 MISSING = object()
+Change = tuple[int, int, tuple[int, ...]]  # first of the best segmentation's pieces, how many, and those in their place
 
 
 class Model:
@@ -133,6 +138,11 @@ class Model:
     def decode(self, ids) -> bytes:
         return b"".join(map(self.text.__getitem__, ids))[1:]
 
+    def same(self, ids: np.ndarray, changes: list[Change]) -> bool:
+        """Whether a segmentation decodes to what the best one (``ids``) does."""
+        text = self.text.__getitem__
+        return all(b"".join(map(text, new)) == b"".join(map(text, ids[at : at + n].tolist())) for at, n, new in changes)
+
 
 class Segmenter:
     """Remembers the best ids, the score and the distance to the second best of distinct parts of texts.
@@ -222,6 +232,11 @@ class Segmenter:
 
     def segment(self, texts: pa.Array, most: int) -> Iterator[tuple[np.ndarray, list[float]]]:
         """For each text the ids of the best segmentation and the scores of the ``most`` best."""
+        for ids, scores, _ in self.segment_all(texts, most):
+            yield ids, scores
+
+    def segment_all(self, texts: pa.Array, most: int) -> Iterator[tuple[np.ndarray, list[float], list[list[Change]]]]:
+        """For each text the ids of the best segmentation, the scores of the ``most`` best, and how the others differ."""
         if len(self.places) > CACHED:
             self.forget_rare()
         texts = pc.fill_null(texts, "")
@@ -251,7 +266,13 @@ class Segmenter:
                 parts, at = _Named(distinct, own), places[own]
             self.hits[at] += 1
             ids = self.flat[flat_ranges(self.starts[at], self.lengths[at])] if len(at) else np.zeros(0, dtype=np.int32)
-            yield ids, [score for score, _ in self._best(parts, at, most)]
+            found = self._best(parts, at, most)
+            first = np.cumsum(self.lengths[at]) - self.lengths[at]
+            others = [
+                [(int(first[place]), int(self.lengths[at[place]]), new) for place, new in sorted(changes.items())]
+                for _, changes in found[1:]
+            ]
+            yield ids, [score for score, _ in found], others
 
     def _best(self, parts: Sequence[str], at: np.ndarray, most: int) -> list[tuple[float, dict[int, tuple[int, ...]]]]:
         """The best combinations, as score and the parts that differ from the best segmentation.
@@ -311,6 +332,15 @@ class _Named:
         return self.distinct[self.index[nth]]
 
 
+def full(pieces: Sequence[int], changes: Sequence) -> list[int]:
+    """The pieces of another segmentation: those of the best with its changes (at, n, pieces), rising by place."""
+    out, done = [], 0
+    for at, n, new in changes:
+        out += [*pieces[done:at], *new]
+        done = at + n
+    return [*out, *pieces[done:]]
+
+
 _SEGMENTERS: dict[str, Segmenter] = {}
 
 
@@ -321,24 +351,33 @@ def segmenter(path: str) -> Segmenter:
     return _SEGMENTERS[path]
 
 
+OTHERS = pa.list_(pa.list_(pa.struct([("at", pa.int32()), ("n", pa.int32()), ("pieces", pa.list_(pa.int32()))])))
+
+
 def encode_texts(documents: DataFrame, model: str, most: int = BEST, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The kept columns, pieces (ids of the best segmentation), scores (of the best ones) and decodes
-    (whether decoding gives back the text) of every document."""
+    """The kept columns, pieces (ids of the best segmentation), scores (of the best ones), others (of each further
+    segmentation the changes to the best, see ``full``) and decodes (whether decoding each gives back the text)
+    of every document."""
     ready(documents.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = segmenter(model)
         for batch in batches:
             texts = batch.column(0).cast(pa.binary())
-            ids, scores, same = [], [], []
-            for text, (pieces, best) in zip(texts, own.segment(batch.column(0), most), strict=True):
+            ids, scores, others, same = [], [], [], []
+            for text, (pieces, best, rest) in zip(texts, own.segment_all(batch.column(0), most), strict=True):
                 ids.append(pieces)
                 scores.append(best)
-                same.append(own.model.decode(pieces.tolist()) == (text.as_py() or b""))
-            made = [pa.array(ids, pa.list_(pa.int32())), pa.array(scores, pa.list_(pa.float64())), pa.array(same, pa.bool_())]
-            yield pa.RecordBatch.from_arrays([*batch.column(1).flatten(), *made], names=[*keep, "pieces", "scores", "decodes"])
+                others.append([[{"at": at, "n": n, "pieces": new} for at, n, new in changes] for changes in rest])
+                whole = own.model.decode(pieces.tolist()) == (text.as_py() or b"")
+                same.append(whole and all(own.model.same(pieces, changes) for changes in rest))
+            made = [pa.array(ids, pa.list_(pa.int32())), pa.array(scores, pa.list_(pa.float64()))]
+            made += [pa.array(others, OTHERS), pa.array(same, pa.bool_())]
+            names = [*keep, "pieces", "scores", "others", "decodes"]
+            yield pa.RecordBatch.from_arrays([*batch.column(1).flatten(), *made], names=names)
 
     kinds = "".join(f"`{c}` {documents.schema[c].dataType.simpleString()}, " for c in keep)
-    schema = f"{kinds}pieces array<int>, scores array<double>, decodes boolean"
+    changes = "array<array<struct<at: int, n: int, pieces: array<int>>>>"
+    schema = f"{kinds}pieces array<int>, scores array<double>, others {changes}, decodes boolean"
     kept = F.struct(*[F.col(f"`{c}`") for c in keep])
     return documents.select("text", kept.alias("kept")).mapInArrow(run, schema)

@@ -77,7 +77,7 @@ def op8_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pieces.encode_texts(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
-    return found.select("doc_id", F.size("pieces").alias("n_pieces"), "pieces", "scores", "decodes")
+    return found.select("doc_id", F.size("pieces").alias("n_pieces"), "pieces", "scores", "others", "decodes")
 
 
 def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:

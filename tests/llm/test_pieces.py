@@ -87,3 +87,24 @@ def test_documents(odd, empty):
     assert all(r.pieces == [] and r.scores == [0.0] for r in blank)
     assert all(r.scores == sorted(r.scores, reverse=True) for r in found)
     assert pieces.encode_texts(empty, PATH).collect() == []
+
+
+def test_all_segmentations_of_a_document_are_returned(odd):
+    own = pieces.segmenter(PATH)
+    texts = {r.doc_id: r.text for r in odd.select("doc_id", "text").collect() if r.doc_id is not None}
+    found = [r for r in pieces.encode_texts(odd, PATH).collect() if texts.get(r.doc_id)]
+    several = 0
+    for r in found:
+        every = [list(r.pieces), *(pieces.full(r.pieces, changes) for changes in r.others)]
+        assert len(every) == len(r.scores) == len({tuple(ids) for ids in every})
+        several += len(every) == 3
+        for ids, score in zip(every, r.scores, strict=True):
+            assert len(texts[r.doc_id]) > 2000 or sum(-pieces.math.log(n + 2) for n in ids) == pytest.approx(score)
+    assert several > 3
+    text = "the theory of an  interesting entry"
+    ((ids, scores, others),) = own.segment_all(pa.array([text]), 3)
+    assert [(s, pieces.full(ids.tolist(), c)) for s, c in zip(scores, [[], *others], strict=True)] == [
+        (pytest.approx(s), i) for s, i in own.n_best(text, 3)
+    ]
+    assert all(own.model.decode(pieces.full(ids.tolist(), c)).decode() == text and own.model.same(ids, c) for c in others)
+    assert not own.model.same(ids, [(0, 1, (int(ids[-1]),))])
