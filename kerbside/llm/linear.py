@@ -22,11 +22,17 @@ Featurizer = Callable[[str], tuple[np.ndarray, np.ndarray]]
 
 
 def sample_rows(df: DataFrame, rows: int, key: str = "doc_id") -> DataFrame:
-    """About ``rows`` rows, those with the smallest digests of the key: a bounded sample without a sort."""
+    """About ``rows`` rows and never more: those with the smallest digests of the key, without sorting the rest.
+
+    Rows of one key share a digest; where they are so many that the bound would be passed, those with the smallest
+    digests of their other columns stay.
+    """
     total = df.count()
     if total <= rows:
         return df
-    return df.filter(order_key(key) < int(LINE * (rows / total)))
+    near = df.filter(order_key(key) < int(LINE * (rows / total)))
+    others = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    return near.orderBy(order_key(key), others).limit(rows)
 
 
 def select_features(rows: DataFrame, featurize: Featurizer, keep: int = FEATURES) -> dict[int, int]:

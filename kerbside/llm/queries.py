@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import fingerprints, maxent, mixing, nearest, pieces, quality, simhash, token_files, toxicity, web_archives
+from kerbside.llm import (
+    collocations,
+    conversations,
+    fingerprints,
+    maxent,
+    mixing,
+    nearest,
+    pieces,
+    quality,
+    simhash,
+    token_counts,
+    token_files,
+    toxicity,
+    web_archives,
+)
 from kerbside.llm.common import fold, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -84,8 +98,36 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.search(table(spark, sf_dir, "embeddings"))
 
 
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair_report(conversations.damaged(table(spark, sf_dir, "conversations")))
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
+    return counted.withColumn("over_limit", F.col("n_tokens") > token_counts.LIMIT)
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    query.__name__: query for query in (op1_toxicity, op2_web_archives, op3_quality, op4_fingerprints, op5_simhash, op6_mixing, op7_token_files, op8_maxent, op9_pieces, op10_nearest)
+    query.__name__: query
+    for query in (
+        op1_toxicity,
+        op2_web_archives,
+        op3_quality,
+        op4_fingerprints,
+        op5_simhash,
+        op6_mixing,
+        op7_token_files,
+        op8_maxent,
+        op9_pieces,
+        op10_nearest,
+        op11_conversations,
+        op12_token_counts,
+        op13_collocations,
+    )
 }
 
 OP6_SQL = r"""
@@ -125,4 +167,42 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
 FROM tied
 """
 
-ORACLES: dict[str, str] = {"op6_mixing": OP6_SQL}
+OP13_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), words AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), starts AS (
+  SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words
+), phrases AS (
+  SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS phrase
+  FROM starts, (VALUES (1), (2), (3)) AS lengths(k) WHERE i + k - 1 <= len(w)
+), counts AS (
+  SELECT lang, k, phrase, count(*) AS f FROM phrases GROUP BY ALL
+), totals AS (
+  SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counts WHERE k = 1 GROUP BY lang
+), candidates AS (
+  SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE k > 1 AND f >= 10
+), cuts AS (
+  SELECT c.lang, c.k, c.phrase, c.a, at, x.f AS l, y.f AS r, 1000000::HUGEINT * c.a * c.a // (x.f::HUGEINT * y.f) AS score
+  FROM candidates c JOIN (VALUES (1), (2)) AS places(at) ON at < c.k
+  JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1 : at], ' ')
+  JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[at + 1 :], ' ')
+), weakest AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, at) = 1
+), covered AS (
+  SELECT lang, array_to_string(w[at : at + 1], ' ') AS phrase, max(a) AS longer
+  FROM candidates, (VALUES (1), (2)) AS places(at) WHERE k = 3 GROUP BY ALL
+), ranked AS (
+  SELECT lang, phrase, a, l, r, score,
+         row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank
+  FROM weakest LEFT JOIN covered USING (lang, phrase)
+  WHERE longer IS NULL OR k = 3 OR 100 * longer < 50 * a
+)
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+ORACLES: dict[str, str] = {"op6_mixing": OP6_SQL, "op13_collocations": OP13_SQL}

@@ -1,0 +1,99 @@
+import random
+
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from sentencepiece import SentencePieceProcessor
+
+from kerbside.llm import queries, token_counts
+
+MODEL = public_tokenizers.path(queries.PIECES)
+
+
+@pytest.fixture(scope="module")
+def library():
+    return SentencePieceProcessor(model_file=MODEL)
+
+
+def counted(documents, **sizes):
+    rows = token_counts.count_tokens(documents, MODEL, **sizes).collect()
+    return sorted((r["doc_id"] is None, r["doc_id"] or 0, r["n_bytes"], r["n_tokens"]) for r in rows)
+
+
+def expected(rows, library):
+    found = [(row[0], row[1] or "") for row in rows]
+    return sorted((key is None, key or 0, len(text.encode()), len(library.encode(text))) for key, text in found)
+
+
+TEXT = st.text(st.sampled_from(list("  \t\n▁aeEtThn.,'<s>/unk漢é　\x00​😀")) | st.characters(codec="utf-8"), max_size=60)
+
+
+@settings(max_examples=400, deadline=None)
+@given(TEXT)
+def test_pre_tokens_add_up(text):
+    own = token_counts.lengths_of(MODEL)
+    parts = [part for some in own.cut(text) for part in some]
+    own.learn(parts)
+    assert sum(own[part] for part in parts) == len(own.model.encode(text))
+
+
+def test_stretches_cut_before_spaces_only(library, monkeypatch):
+    monkeypatch.setattr(token_counts, "STRETCH", 5)
+    own = token_counts.Lengths(MODEL)
+    draw = random.Random(3)
+    for _ in range(300):
+        text = "".join(draw.choice("ab  .é") for _ in range(draw.randint(0, 60)))
+        parts = [part for some in own.cut(text) for part in some]
+        own.learn(parts)
+        assert sum(own[part] for part in parts) == len(library.encode(text))
+
+
+@pytest.mark.parametrize("sizes", [{}, {"table": 3}, {"sample": 2}, {"table": 0}])
+def test_odd_documents(odd, library, sizes):
+    """Whatever the tables hold; nulls, blank and very long texts, repeated rows, clashing columns."""
+    rows = [tuple(row)[:2] for row in odd.collect()]
+    assert counted(odd, **sizes) == expected(rows, library)
+
+
+def test_small_caches(odd, library, monkeypatch):
+    monkeypatch.setattr(token_counts, "CACHED", 3)
+    rows = [tuple(row)[:2] for row in odd.collect()]
+    assert counted(odd) == expected(rows, library)
+
+
+def test_long_texts(make, library):
+    draw = random.Random(8)
+    rows = [
+        (1, " ".join(draw.choice(("the", "ra", "mo\n\nli,", "x" * 30)) for _ in range(150_000)), "s"),
+        (2, "er" * 200_000, "s"),
+        (3, " " * 300_000, "s"),
+        (4, "a" + " " * 1000 + "b", "s"),
+    ]
+    assert counted(make(rows)) == expected(rows, library)
+
+
+def test_whole_tables(spark, sf, library):
+    documents = spark.read.parquet(f"{sf}/documents.parquet")
+    rows = [tuple(row) for row in documents.select("doc_id", "text").collect()]
+    found = queries.op12_token_counts(spark, sf).collect()
+    assert sorted((False, r["doc_id"], r["n_bytes"], r["n_tokens"]) for r in found) == expected(rows, library)
+    assert all(r["over_limit"] == (r["n_tokens"] > 4096) for r in found)
+
+
+def test_empty_table(empty):
+    assert counted(empty) == []
+
+
+def test_pre_tokens_are_not_shuffled(odd, plan):
+    assert "Exchange" not in plan(token_counts.count_tokens(odd.sparkSession.createDataFrame([(1, "a b")], "doc_id int, text string"), MODEL))
+
+
+def test_sample_is_bounded(spark):
+    """One id on a third of the rows does not pass the bound."""
+    from kerbside.llm.linear import sample_rows
+
+    rows = spark.range(30_000).selectExpr("if(id % 3 = 0, 7, id) as doc_id", "cast(id % 50 as string) as text")
+    found = sample_rows(rows, 1000)
+    assert 0 < found.count() <= 1000
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, sample_rows(rows.repartition(7), 1000).collect()))
