@@ -174,12 +174,16 @@ WITH pieces AS (
                                       '[.,;:!?\x0A-\x0D]')) AS piece
   FROM documents
 ), words AS (
-  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+  SELECT lang, row_number() OVER () AS piece_no, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), placed AS (
+  SELECT lang, piece_no, unnest(w) AS word, unnest(range(len(w))) AS i FROM words
 ), starts AS (
-  SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words
+  SELECT lang, word, lead(word) OVER line AS second, lead(word, 2) OVER line AS third
+  FROM placed WINDOW line AS (PARTITION BY piece_no ORDER BY i)
 ), phrases AS (
-  SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS phrase
-  FROM starts, (VALUES (1), (2), (3)) AS lengths(k) WHERE i + k - 1 <= len(w)
+  SELECT lang, 1 AS k, word AS phrase FROM starts
+  UNION ALL SELECT lang, 2, concat(word, ' ', second) FROM starts WHERE second IS NOT NULL
+  UNION ALL SELECT lang, 3, concat(word, ' ', second, ' ', third) FROM starts WHERE third IS NOT NULL
 ), counts AS (
   SELECT lang, k, phrase, count(*) AS f FROM phrases GROUP BY ALL
 ), totals AS (
@@ -187,15 +191,15 @@ WITH pieces AS (
 ), candidates AS (
   SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE k > 1 AND f >= 10
 ), cuts AS (
-  SELECT c.lang, c.k, c.phrase, c.a, at, x.f AS l, y.f AS r, 1000000::HUGEINT * c.a * c.a // (x.f::HUGEINT * y.f) AS score
-  FROM candidates c JOIN (VALUES (1), (2)) AS places(at) ON at < c.k
-  JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1 : at], ' ')
-  JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[at + 1 :], ' ')
+  SELECT c.lang, c.k, c.phrase, c.a, cut, x.f AS l, y.f AS r, 1000000::HUGEINT * c.a * c.a // (x.f::HUGEINT * y.f) AS score
+  FROM candidates c JOIN (VALUES (1), (2)) AS places(cut) ON cut < c.k
+  JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1 : cut], ' ')
+  JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[cut + 1 :], ' ')
 ), weakest AS (
-  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, at) = 1
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
 ), covered AS (
-  SELECT lang, array_to_string(w[at : at + 1], ' ') AS phrase, max(a) AS longer
-  FROM candidates, (VALUES (1), (2)) AS places(at) WHERE k = 3 GROUP BY ALL
+  SELECT lang, array_to_string(w[first : first + 1], ' ') AS phrase, max(a) AS longer
+  FROM candidates, (VALUES (1), (2)) AS places(first) WHERE k = 3 GROUP BY ALL
 ), ranked AS (
   SELECT lang, phrase, a, l, r, score,
          row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank
