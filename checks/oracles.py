@@ -352,7 +352,20 @@ FINAL: dict[str, str] = {
           ORDER BY minute >= {CLOCK} DESC,
                    CASE WHEN minute >= {CLOCK} THEN datetime END, CASE WHEN minute >= {CLOCK} THEN event_id END,
                    datetime DESC, event_id DESC) = 1""",
+    "fleet_at_clocks": """
+        SELECT r.request_id, r.vehicle_id, r.month, r.clock, t.datetime, t.event_id, t.longitude, t.latitude, t.minute
+        FROM (SELECT o_orderkey AS request_id, CAST(o_custkey AS VARCHAR) AS vehicle_id,
+                     CASE WHEN o_orderkey % 3 = 0 THEN '2024-02' ELSE '2024-01' END AS month,
+                     (o_orderkey * 7919 % 89280) / CAST(2 AS DOUBLE) AS clock
+              FROM orders) r
+        JOIN timed_months t ON t.vehicle_id = r.vehicle_id AND t.month = r.month
+        QUALIFY row_number() OVER (
+          PARTITION BY r.request_id
+          ORDER BY t.minute >= r.clock DESC,
+                   CASE WHEN t.minute >= r.clock THEN t.datetime END, CASE WHEN t.minute >= r.clock THEN t.event_id END,
+                   t.datetime DESC, t.event_id DESC) = 1""",
     "playback": "SELECT * FROM shown",
+    "track_live": "SELECT * FROM shown_months",
     "playback_ids": """
         SELECT vehicle_id, month, tick, datetime, event_id, longitude, latitude, minute
         FROM shown_months WHERE vehicle_id IN (SELECT CAST(s_suppkey AS VARCHAR) FROM supplier)""",
@@ -367,6 +380,7 @@ FINAL: dict[str, str] = {
     "count_pickups": "SELECT * FROM counts",
     "top_spots": "SELECT * FROM own",
     "hotspots": "SELECT * FROM spots",
+    "hotspots_updated": "SELECT * FROM spots",
     "known_vehicles": "SELECT DISTINCT vehicle_id FROM positions",
     "arrivals": """
         SELECT *, rank() OVER (PARTITION BY time_slot, block_latid, block_lonid ORDER BY datetime) AS arrival_no
@@ -379,6 +393,9 @@ FINAL: dict[str, str] = {
     "stream_suggestions": """
         SELECT vehicle_id, datetime, vehicle_lon, vehicle_lat, pick_no, spot_lon, spot_lat FROM picks
         WHERE event_id IN (SELECT event_id FROM whole_messages)""",
+    "stream_committed": """
+        SELECT vehicle_id, datetime, vehicle_lon, vehicle_lat, pick_no, spot_lon, spot_lat FROM picks
+        WHERE event_id IN (SELECT event_id FROM whole_messages)""",
     "track_frames": """
         SELECT vehicle_id, tick, strftime(TIMESTAMP '2014-08-01' + to_minutes(CAST(tick // 2 AS BIGINT)), '%I:%M %p') AS label,
                event_id, longitude, latitude

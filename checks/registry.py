@@ -14,10 +14,12 @@ from checks import fixtures
 from kerbside.functions import clock, grid
 from kerbside.operators import amplification, cleaning, matching, ranking, sampling, tracking
 from kerbside.plans import hotspot_job, replay_job, suggestion_job, tracking_plan
+from kerbside.plans.hotspot_update import HotspotStore
 from kerbside.session import scratch_dir
 from kerbside.sources import messages, periods, tables, text
-from kerbside.streaming import replay
+from kerbside.streaming import commits, replay
 from kerbside.streaming import suggestions as live
+from kerbside.streaming import tracking as live_tracking
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -240,6 +242,17 @@ def fleet_at_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tracking.fleet_at(fixtures.two_months(spark, sf_dir), CLOCK, order=("datetime", "event_id"))
 
 
+def fleet_at_clocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each order asks where its customer's vehicle was, at a clock and in a month of its own."""
+    requests = fixtures.table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("request_id"),
+        F.col("o_custkey").cast("string").alias("vehicle_id"),
+        F.when(F.col("o_orderkey") % 3 == 0, F.lit("2024-02")).otherwise(F.lit("2024-01")).alias("month"),
+        ((F.col("o_orderkey") * 7919 % 89280) / F.lit(2.0)).alias("clock"),
+    )
+    return tracking.fleet_at_clocks(fixtures.two_months(spark, sf_dir), requests, order=("datetime", "event_id"))
+
+
 def playback(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tracking.playback(fixtures.positions(spark, sf_dir), order=("datetime", "event_id")).drop("month")
 
@@ -251,6 +264,20 @@ def playback_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tracking.playback(positions, ids=ids, order=("datetime", "event_id"))
 
 
+def track_live(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The positions of both months as a stream of several batches, one of them written twice, half of it compacted."""
+    inbox, table, merged = (scratch_dir(spark, name) for name in ("moves", "minutes", "merged-minutes"))
+    fixtures.two_months(spark, sf_dir).repartition(4, "event_id").write.parquet(inbox)
+    stored = spark.read.parquet(inbox)
+    stream = spark.readStream.schema(stored.schema).option("maxFilesPerTrigger", 1).parquet(inbox)
+    order = ("datetime", "event_id")
+    live_tracking.run_tracking(stream, table, scratch_dir(spark, "state"), order, available_now=True).awaitTermination()
+    again = stored.filter("event_id % 5 = 0")
+    live_tracking.batch_writer(table, lambda: "again", order)(again, 0)
+    live_tracking.compact_minutes(spark, merged, table)
+    return live_tracking.track_live(spark, table, merged)
+
+
 def vehicle_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tracking.vehicle_history(fixtures.positions(spark, sf_dir), VEHICLE, order=("datetime", "event_id"))
 
@@ -273,6 +300,18 @@ def hotspots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.explode_spots(folded(spark, sf_dir))
 
 
+def hotspots_updated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches of trips one after the other, the second of them first without some of its rows."""
+    trips = fixtures.trips(spark, sf_dir)
+    year = F.substring("datetime", 1, 4).cast("int")
+    store = HotspotStore(spark, scratch_dir(spark, "store"))
+    store.update("early", trips.filter(year < 1995))
+    store.update("middle", trips.filter((year == 1995) & (F.col("passengers") < 5)))
+    store.update("late", trips.filter(year > 1995))
+    store.update("middle", trips.filter(year == 1995))
+    return ranking.explode_spots(store.hotspots.read())
+
+
 def known_vehicles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tracking.known_vehicles(fixtures.positions(spark, sf_dir))
 
@@ -311,6 +350,25 @@ def stream_suggestions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.explode_picks(live.read_suggestions(spark, answers))
 
 
+def stream_committed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same answers in append-only tables, though every batch comes three times and once breaks off before its end."""
+    inbox = scratch_dir(spark, "messages")
+    fixtures.position_messages(spark, sf_dir).select("value").repartition(4, "value").write.text(inbox)
+    incoming = messages.read_messages(spark, "text", {"path": inbox, "maxFilesPerTrigger": "2"})
+    target, noted = (tables.ParquetTable(scratch_dir(spark, name), ()) for name in ("picks", "commits"))
+    sink = commits.committed_sink(target, noted, sampling.explode_picks)
+
+    def write(answers: DataFrame, run: str, batch_id: int) -> None:
+        commits.stage(sampling.explode_picks(answers), target, run, batch_id)
+        sink(answers, run, batch_id)
+        sink(answers, run, batch_id)
+
+    hotspots = folded(spark, sf_dir).persist()
+    live.run_suggestions(incoming, hotspots, write, scratch_dir(spark, "state"), available_now=True).awaitTermination()
+    hotspots.unpersist()
+    return commits.read_committed(spark, target, noted)
+
+
 def track_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requested customers are resolved to vehicles, played back and labelled."""
     positions = fixtures.positions(spark, sf_dir).withColumn("vehicle_pos", F.array("longitude", "latitude"))
@@ -354,19 +412,23 @@ QUERIES: dict[str, Query] = {
         resolve_ids,
         fleet_at,
         fleet_at_months,
+        fleet_at_clocks,
         playback,
         playback_ids,
+        track_live,
         vehicle_history,
         vehicle_histories,
         count_pickups,
         top_spots,
         hotspots,
+        hotspots_updated,
         known_vehicles,
         arrivals,
         slot_counts,
         suggest,
         suggestions,
         stream_suggestions,
+        stream_committed,
         track_frames,
     )
 }

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from kerbside.functions import clock, grid, hashing
 from kerbside.operators.indexing import hash_index
 from kerbside.operators.staging import compute_once
-from kerbside.params import PLAYBACK_END, PLAYBACK_START, TILE_DEGREES
+from kerbside.params import CLOCK_BUCKET, MONTH_MINUTES, PLAYBACK_END, PLAYBACK_START, TILE_DEGREES
 from kerbside.session import scratch_dir
 
 
@@ -121,15 +121,23 @@ def playback(
     """
     timed = with_minute(of_month(df, month))
     here = record(timed, order)
-    clamped = F.greatest(F.least(F.col("minute"), F.lit(end + 1)), F.lit(start - 1))
     reduced = (
-        timed.withColumn("at", clamped)
+        timed.withColumn("at", clamped(start, end))
         .groupBy("vehicle_id", "month", "at")
         .agg(F.min(here).alias("early"), F.max(here).alias("late"))
     )
     if ids is not None:
         reduced = keep_vehicles(reduced, ids)
+    return linked(reduced, start, end, ticks_per_minute)
 
+
+def clamped(start: int, end: int) -> Column:
+    """The minute of a row, all before the range as one and all behind it as one."""
+    return F.greatest(F.least(F.col("minute"), F.lit(end + 1)), F.lit(start - 1))
+
+
+def linked(reduced: DataFrame, start: int, end: int, ticks_per_minute: int) -> DataFrame:
+    """From the earliest and latest row of every vehicle, month and minute ``at`` to what is shown at each tick."""
     by_time = Window.partitionBy("vehicle_id", "month").orderBy("at")
     before, after = F.lag("at").over(by_time), F.lead("at").over(by_time)
     opening, first, last = (F.lit(tick * ticks_per_minute) for tick in (start, start, end))
@@ -161,6 +169,74 @@ def playback(
     )
 
 
+def minutes(df: DataFrame, order: Sequence[str] = ("datetime",)) -> DataFrame:
+    """The earliest and latest row of every vehicle, month and minute; ``playback_of_minutes`` needs no others."""
+    timed = with_minute(df)
+    here = record(timed, order)
+    return timed.groupBy("vehicle_id", "month", "minute").agg(F.min(here).alias("early"), F.max(here).alias("late"))
+
+
+def merge_minutes(parts: DataFrame) -> DataFrame:
+    """``minutes`` of all rows, from those of parts of them. Parts that come twice change nothing."""
+    return parts.groupBy("vehicle_id", "month", "minute").agg(F.min("early").alias("early"), F.max("late").alias("late"))
+
+
+def playback_of_minutes(
+    reduced: DataFrame, start: int = PLAYBACK_START, end: int = PLAYBACK_END, ticks_per_minute: int = 2
+) -> DataFrame:
+    """``playback`` of the rows that ``minutes`` was made of."""
+    inside = reduced.withColumn("at", clamped(start, end)).groupBy("vehicle_id", "month", "at")
+    return linked(inside.agg(F.min("early").alias("early"), F.max("late").alias("late")), start, end, ticks_per_minute)
+
+
+def fleet_at_clocks(
+    df: DataFrame, requests: DataFrame, order: Sequence[str] = ("datetime",), bucket: int = CLOCK_BUCKET
+) -> DataFrame:
+    """``fleet_at`` for many clocks in one pass. ``requests`` holds ``vehicle_id``, ``month`` (yyyy-MM) and ``clock`` (a minute of the month,
+    parts of it allowed) and any other columns; each of its rows comes back with the row shown then. A vehicle
+    without rows in the month gives none, and neither does a request without a vehicle, month or clock.
+
+    Positions are reduced to the earliest and latest of each minute, partly before the shuffle, and requests to distinct
+    minutes. The two go side by side through a window over ``bucket`` minutes, which finds what comes next inside them;
+    what comes after a bucket, and the last row of all, is told by one summary row per bucket, linked by a second
+    window. So the longest history is many tasks, and no join compares a request with positions.
+    """
+    clock_at = F.col("clock").cast("double")
+    inside = F.greatest(F.least(clock_at, F.lit(MONTH_MINUTES + 1.0)), F.lit(-1.0))
+    asked = requests.withColumn("asked minute", F.when(~F.isnan(clock_at), F.ceil(inside).cast("int")))
+    distinct = asked.select("vehicle_id", "month", F.col("asked minute").alias("minute")).dropna().distinct()
+    reduced = minutes(df, order)
+    # Only vehicles and months somebody asks for. An inner join with distinct keys, as in keep_vehicles.
+    pairs = distinct.select(F.col("vehicle_id").alias("wanted_id"), F.col("month").alias("wanted_month")).distinct()
+    same = (F.col("vehicle_id") == F.col("wanted_id")) & (F.col("month") == F.col("wanted_month"))
+    records = reduced.join(pairs, same).select("vehicle_id", "month", "minute", "early", "late", F.lit(False).alias("asks"))
+    absent = F.lit(None).cast(records.schema["early"].dataType)
+    asking = distinct.select("vehicle_id", "month", "minute", absent.alias("early"), absent.alias("late"), F.lit(True).alias("asks"))
+    line = records.unionByName(asking).withColumn("bucket", F.floor(F.col("minute") / F.lit(float(bucket))).cast("int"))
+
+    summary = line.groupBy("vehicle_id", "month", "bucket").agg(F.min("early").alias("early"), F.max("late").alias("late"))
+    whole = Window.partitionBy("vehicle_id", "month")
+    later = whole.orderBy("bucket").rowsBetween(1, Window.unboundedFollowing)
+    summary = summary.select(
+        "vehicle_id", "month", "bucket", F.min("early").over(later).alias("later"), F.max("late").over(whole).alias("last")
+    )
+    # Running backwards, with all rows of the request's own minute.
+    ahead = Window.partitionBy("vehicle_id", "month", "bucket").orderBy(F.desc("minute"))
+    ahead = ahead.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    found = line.withColumn("ahead", F.min("early").over(ahead)).filter("asks")
+    shown = F.coalesce(F.least("ahead", "later"), "ahead", "later", "last")
+    answers = found.join(summary, ["vehicle_id", "month", "bucket"]).select(
+        F.col("vehicle_id").alias("asked vehicle"), F.col("month").alias("asked month"), "minute", shown.alias("shown")
+    )
+    answers = answers.filter(F.col("shown").isNotNull())
+    rows = (
+        (F.col("vehicle_id") == F.col("asked vehicle"))
+        & (F.col("month") == F.col("asked month"))
+        & (F.col("asked minute") == F.col("minute"))
+    )
+    return asked.join(answers, rows).select(*[F.col(f"`{name}`") for name in requests.columns], "shown.*")
+
+
 def viewport_tiles(df: DataFrame, lon: str = "longitude", lat: str = "latitude") -> DataFrame:
     """The 3 x 3 map tiles around each position: ``tile`` 0..8, row by row, with north, south, east and west."""
     around = [(north, east) for north in range(3) for east in range(3)]

@@ -18,6 +18,8 @@ KEY_MODULUS = 77703
 TILE_DEGREES = 0.005  # side of one map tile
 PLAYBACK_START = 590  # minutes: 09:50
 PLAYBACK_END = 1320  # minutes: 22:00
+CLOCK_BUCKET = 360  # minutes of the month that one task looks through for one vehicle
+MONTH_MINUTES = 31 * 1440
 YEARS_PER_COPY = 7
 JITTER_SECONDS = 250  # pick-up time moves by [-250, 250) seconds
 JITTER_STEPS = 10  # coordinates move by [-10, 10) steps

@@ -75,3 +75,10 @@ def read_slots(spark: SparkSession, target: Table, ranges: Sequence[tuple[int, i
     for low, high in ranges:
         wanted = wanted | F.col(SLOT).between(low, high)
     return read_table(spark, target).filter(wanted)
+
+
+def read_all(spark: SparkSession, target: Table) -> DataFrame:
+    """A whole table of any layout, slots or none. A database is asked in one query unless its properties say how to split."""
+    if isinstance(target, ParquetTable):
+        return spark.read.parquet(target.path)
+    return spark.read.jdbc(target.url, target.table, properties=dict(target.properties))

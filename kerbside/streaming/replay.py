@@ -1,8 +1,9 @@
 """Replays stored positions as an endless stream of messages at a bounded rate.
 
-The positions are numbered once, in time order, and stored sorted by that number. A ``rate`` source
-then counts upwards, and each micro-batch reads just the rows whose numbers have come up; after the
-last row it starts again at the first.
+The positions are numbered once, in time order, and stored sorted by that number. A source then counts upwards by
+the same number of rows every second, and each micro-batch reads just the rows whose numbers have come up; after the last row
+it starts again at the first. The count is kept in the query's checkpoint and does not follow the clock on the wall: after
+a pause, or behind a slow batch, it goes on where it was, at the same rate.
 """
 
 from __future__ import annotations
@@ -81,12 +82,14 @@ def replay(
     chunk_rows: int = CHUNK_ROWS,
 ) -> StreamingQuery:
     """Starts an endless replay. ``sink(messages, batch_id)`` gets each micro-batch of keyed messages,
-    for example to hand them to ``sources.messages.write_messages``."""
+    for example to hand them to ``sources.messages.write_messages``. No batch holds more than ``rate`` rows, and none begins
+    less than a second after the one before."""
     table = spark.read.parquet(path)
     total = table.count()  # answered from the file footers
 
     def send(ticks: DataFrame, batch_id: int) -> None:
         sink(encode_positions(replay_rows(ticks, table, total, chunk_rows)), batch_id)
 
-    ticks = spark.readStream.format("rate").option("rowsPerSecond", rate).load()
+    counter = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", rate).option("numPartitions", 1)
+    ticks = counter.option("advanceMillisPerBatch", 1000).load()
     return ticks.writeStream.foreachBatch(send).option("checkpointLocation", checkpoint).trigger(processingTime="1 second").start()

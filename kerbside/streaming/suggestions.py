@@ -25,6 +25,7 @@ from kerbside.operators.sampling import explode_picks, suggestions
 from kerbside.params import GRID, PICKS, SLOTS, Grid, Slots
 from kerbside.sources.messages import decode_positions
 from kerbside.sources.tables import PARTS, Table, read_slots, write_table
+from kerbside.sources.versions import SlotStore
 
 INTERVAL = "1 second"
 # A micro-batch up to this many rows (about 100 bytes each) is broadcast; a larger one is shuffled.
@@ -35,20 +36,39 @@ class SlotHistory:
     """The hotspots kept in memory in parts of neighbouring slots, each loaded when a batch first needs it.
 
     A batch touches only the parts that hold its slots. A lost block is read again from the table. The
-    owner calls ``unpersist`` when the query has ended or the table has been renewed.
+    owner calls ``unpersist`` when the query has ended. A ``SlotStore`` may be renewed while the query runs: each batch looks for
+    a newer list of it, and the parts one of whose slots has another stamp are dropped and read again; all others
+    stay. Any other table is taken as it was when its parts were loaded.
     """
 
-    def __init__(self, spark: SparkSession, table: Table, parts: int = PARTS, slots: Slots = SLOTS):
+    def __init__(self, spark: SparkSession, table: Table | SlotStore, parts: int = PARTS, slots: Slots = SLOTS):
         self.spark, self.table, self.ranges = spark, table, part_ranges(parts, slots)
         self.loaded: dict[tuple[int, int], DataFrame] = {}
+        self.stamps: dict[tuple[int, int], list[str | None]] = {}
+
+    def renew(self) -> list[tuple[int, int]]:
+        """Drops the loaded parts that have changed in the store, and names them."""
+        if not isinstance(self.table, SlotStore):
+            return []
+        newest = self.table.state().stamps
+        found = {edges: [newest.get(slot) for slot in range(edges[0], edges[1] + 1)] for edges in self.ranges}
+        changed = [edges for edges in self.loaded if found[edges] != self.stamps[edges]]
+        for edges in changed:
+            self.loaded.pop(edges).unpersist()
+        self.stamps = found
+        return changed
 
     def part(self, low: int, high: int) -> DataFrame:
         if (low, high) not in self.loaded:
-            rows = read_slots(self.spark, self.table, [(low, high)])
+            if isinstance(self.table, SlotStore):
+                rows = self.table.read(range(low, high + 1))
+            else:
+                rows = read_slots(self.spark, self.table, [(low, high)])
             self.loaded[low, high] = rows.persist(StorageLevel.MEMORY_AND_DISK)
         return self.loaded[low, high]
 
     def of(self, slots: list[int]) -> DataFrame:
+        self.renew()
         touched = [(low, high) for low, high in self.ranges if any(low <= slot <= high for slot in slots)]
         parts = [self.part(*edges) for edges in touched]
         return prune_slots(reduce(DataFrame.union, parts), slots)
@@ -59,7 +79,7 @@ class SlotHistory:
         self.loaded.clear()
 
 
-def load_hotspots(spark: SparkSession, table: Table, parts: int = PARTS) -> SlotHistory:
+def load_hotspots(spark: SparkSession, table: Table | SlotStore, parts: int = PARTS) -> SlotHistory:
     """The hotspots kept in memory, for ``run_suggestions``."""
     return SlotHistory(spark, table, parts)
 
@@ -96,7 +116,7 @@ def folder_sink(path: str) -> Sink:
 
 def table_sink(target: Table) -> Sink:
     """Appends each batch to a stored table, one row per suggested spot. A batch that is repeated after a failure is
-    appended again; ``run`` and ``batch_id`` tell such rows apart."""
+    appended again; ``run`` and ``batch_id`` tell such rows apart. ``streaming.commits.committed_sink`` adds each just once."""
 
     def write(answers: DataFrame, run: str, batch_id: int) -> None:
         rows = explode_picks(answers).withColumns({"run": F.lit(run), "batch_id": F.lit(batch_id).cast("bigint")})
@@ -167,7 +187,8 @@ def read_suggestions(spark: SparkSession, path: str) -> DataFrame:
 
 
 def compact_suggestions(spark: SparkSession, path: str, target: str) -> None:
-    """Rewrites the many small batch folders as one table that is quick to search by vehicle."""
+    """Rewrites the many small batch folders as one table that is quick to search by vehicle: sorted by it inside the
+    files, and with a Bloom filter of it for every row group, so that a vehicle's rows are read and few others."""
     rows = read_suggestions(spark, path).withColumn("day", F.substring("datetime", 1, 10))
     by_vehicle = rows.hint("rebalance", "day").sortWithinPartitions("day", "vehicle_id", "datetime")
-    by_vehicle.write.mode("overwrite").partitionBy("day").parquet(target)
+    by_vehicle.write.mode("overwrite").partitionBy("day").option("parquet.bloom.filter.enabled#vehicle_id", "true").parquet(target)
