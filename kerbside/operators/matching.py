@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kerbside.operators.cleaning import SPOT_KEYS
+from kerbside.session import scratch_dir
 
 
 HEAVY_ROWS = 100_000  # positions of one slot and cell that one task takes
 MOST_HEAVY = 10_000  # keys that may be cut into shares
+TRACKED = 65_536  # keys that the summary of frequent ones follows
 
 
 def to_spots(lon: Column, lat: Column) -> Column:
@@ -35,22 +39,43 @@ def prune_slots(hotspots: DataFrame, slots: list[int]) -> DataFrame:
     return hotspots.filter(F.col("time_slot").isin(slots)) if slots else hotspots.limit(0)
 
 
-def heavy_keys(positions: DataFrame, rows: int) -> DataFrame:
-    """Keys with more than ``rows`` positions, and the number of ``shares`` to cut them into.
+def key_summary() -> list[Column]:
+    """Aggregates for the rows and the frequent keys of positions, in one pass and bounded space.
 
-    Counted with a map-side part. The limit rises with the table, so that at most ``MOST_HEAVY`` keys pass
-    it and the result may be broadcast at any size.
+    The summary follows ``TRACKED`` keys at once and is merged over tasks. It cannot miss a key with more than 3.5 rows in
+    ``TRACKED``, and each key that passes ``least_heavy`` has more than that.
     """
-    counts = positions.groupBy(*SPOT_KEYS).count()
-    total = positions.count()
-    limit = max(rows, -(-total // MOST_HEAVY))
-    shares = F.ceil(F.col("count") / F.lit(float(limit))).cast("int")
-    return counts.filter(F.col("count") > limit).select(*SPOT_KEYS, shares.alias("shares"))
+    keys = ", ".join(SPOT_KEYS)
+    top = F.expr(f"approx_top_k(concat_ws(':', {keys}), {MOST_HEAVY}, {TRACKED})")
+    return [F.count(F.lit(1)).alias("total"), top.alias("top")]
+
+
+def least_heavy(total: int, rows: int) -> int:
+    """Rises with the table, so that at most ``MOST_HEAVY`` keys pass it and their list may be sent to all tasks."""
+    return max(rows, -(-total // MOST_HEAVY))
+
+
+def heavy_keys(spark: SparkSession, total: int, top: Sequence[Row] | None, rows: int) -> DataFrame:
+    """The keys with more than ``rows`` positions by the summary, and the number of ``shares`` to cut them into."""
+    limit = least_heavy(total, rows)
+    found = [(*map(int, row["item"].split(":")), -(-row["count"] // limit)) for row in top or [] if row["count"] > limit]
+    return spark.createDataFrame(found, ", ".join(f"{key} bigint" for key in SPOT_KEYS) + ", shares int")
+
+
+def stage_with_heavy(positions: DataFrame, rows: int) -> tuple[DataFrame, DataFrame]:
+    """The positions written to the shared scratch folder and read again, and their heavy keys, found while they were
+    written: whatever they are parsed from is gone through once."""
+    spark, seen = positions.sparkSession, Observation("keys of positions")
+    path = scratch_dir(spark, "positions")
+    positions.observe(seen, *key_summary()).write.parquet(path)
+    found = seen.get
+    return spark.read.schema(positions.schema).parquet(path), heavy_keys(spark, found["total"], found["top"], rows)
 
 
 def split_heavy(positions: DataFrame, offers: DataFrame, rows: int = HEAVY_ROWS) -> tuple[DataFrame, DataFrame]:
     """Adds a ``share`` to both sides: rows of a heavy key are dealt over its shares, and only its offers repeated."""
-    heavy = F.broadcast(heavy_keys(positions, rows))
+    positions, found = stage_with_heavy(positions, rows)
+    heavy = F.broadcast(found)
     keys = list(SPOT_KEYS)
     shares = F.coalesce("shares", F.lit(1))
     # Row hash and input partition are both stable under task retries; the partition number
@@ -72,7 +97,7 @@ def match_spots(
     or ``"hotspots"``). Otherwise this is a plain equi join: adaptive execution turns it into a
     broadcast if a side proves small, and splits the partition of a busy cell if not. ``salt`` > 1
     spreads every key over that many tasks beforehand, repeating the (small) hotspot rows; it works on
-    streams too. ``heavy`` counts the positions first and spreads just the keys with more rows than that.
+    streams too. ``heavy`` stages the positions, finds frequent keys on the way and spreads just those with more rows than that.
     """
     if broadcast not in (None, "positions", "hotspots"):
         raise ValueError(f"broadcast must be 'positions', 'hotspots' or None, not {broadcast!r}")

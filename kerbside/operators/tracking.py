@@ -203,7 +203,7 @@ def fleet_at_clocks(
     """
     clock_at = F.col("clock").cast("double")
     inside = F.greatest(F.least(clock_at, F.lit(MONTH_MINUTES + 1.0)), F.lit(-1.0))
-    asked = requests.withColumn("asked minute", F.when(~F.isnan(clock_at), F.ceil(inside).cast("int")))
+    asked = requests.withColumn("asked minute", F.when(clock_at.isNotNull() & ~F.isnan(clock_at), F.ceil(inside).cast("int")))
     distinct = asked.select("vehicle_id", "month", F.col("asked minute").alias("minute")).dropna().distinct()
     reduced = minutes(df, order)
     # Only vehicles and months somebody asks for. An inner join with distinct keys, as in keep_vehicles.

@@ -25,12 +25,12 @@ from kerbside.operators import ranking
 from kerbside.operators.cleaning import CELL_KEYS, clean_trips
 from kerbside.params import GRID, SLOTS, TOP_N, Grid, Slots
 from kerbside.session import build_session, remove, scratch_dir
-from kerbside.sources.tables import SLOT, cluster_by
+from kerbside.sources.tables import SLOT
 from kerbside.sources.text import read_lines, trips_from_lines
-from kerbside.sources.versions import SlotStore
+from kerbside.sources.versions import SlotStore, State
 
 GROUP = list(ranking.GROUP)
-SUMS = "cell_x bigint, cell_y bigint, sub_x bigint, sub_y bigint, passengers bigint, part string, time_slot int"
+SUMS = "cell_x bigint, cell_y bigint, time_slot int, sub_x bigint, sub_y bigint, passengers bigint"
 
 
 def around(groups: DataFrame, slot: F.Column) -> DataFrame:
@@ -71,12 +71,18 @@ class HotspotStore:
         """The folder of sums of every batch by its name."""
         return self.hotspots.state().notes
 
+    def write_sums(self, counted: DataFrame) -> str:
+        """In files of neighbouring slots and cells, so that the rest is ruled out by the value ranges of row groups."""
+        part, order = uuid.uuid4().hex, (SLOT, "cell_x", "cell_y")
+        spread = counted.repartitionByRange(*order).sortWithinPartitions(*order)
+        spread.write.parquet(f"{self.path}/sums/part={part}")
+        return part
+
     def sums(self, parts: list[str], slots: list[int] | None = None) -> DataFrame:
-        """Stored sums of the named folders, in some slots or in all. The slots prune folders."""
-        base = f"{self.path}/sums"
+        """Stored sums of the named folders, in some slots or in all. The slots reach the scan."""
         if not parts:
             return self.spark.createDataFrame([], SUMS)
-        stored = self.spark.read.schema(SUMS).option("basePath", base).parquet(*[f"{base}/part={part}" for part in parts])
+        stored = self.spark.read.schema(SUMS).parquet(*[f"{self.path}/sums/part={part}" for part in parts])
         return stored if slots is None else stored.filter(F.col(SLOT).isin(slots))
 
     def ranked(self, parts: list[str], changed: DataFrame, sources: DataFrame, slots: list[int]) -> DataFrame:
@@ -90,9 +96,8 @@ class HotspotStore:
 
     def update(self, name: str, trips: DataFrame) -> list[int]:
         """Adds a batch of typed trips, or replaces the one of this name. Returns the slots that were written."""
-        before, part = self.batches(), uuid.uuid4().hex
-        counted = ranking.count_pickups(clean_trips(trips, self.cells, self.slots), self.cells)
-        cluster_by(counted, (SLOT,), ("cell_x", "cell_y")).write.partitionBy(SLOT).parquet(f"{self.path}/sums/part={part}")
+        before = self.batches()
+        part = self.write_sums(ranking.count_pickups(clean_trips(trips, self.cells, self.slots), self.cells))
         batches = {**before, name: part}
         touched = self.sums([part, *([before[name]] if name in before else [])]).select(*GROUP).distinct()
         scratch = scratch_dir(self.spark, "changed")
@@ -115,11 +120,11 @@ class HotspotStore:
     def compact(self) -> None:
         """Puts the sums of all batches into one folder, so that reading them stays quick. Their names are given up: a
         batch sent again would count twice, so this is for batches that are final."""
-        before, part = self.hotspots.state(), uuid.uuid4().hex
+        before = self.hotspots.state()
         total = F.coalesce(F.try_sum("passengers"), F.lit(ranking.LARGEST))
         merged = self.sums(list(before.notes.values())).groupBy(*GROUP, "sub_x", "sub_y").agg(total.alias("passengers"))
-        cluster_by(merged, (SLOT,), ("cell_x", "cell_y")).write.partitionBy(SLOT).parquet(f"{self.path}/sums/part={part}")
-        state = type(before)(before.number + 1, before.schema, before.stamps, {f"up to {before.number}": part})
+        notes = {f"up to {before.number}": self.write_sums(merged)}
+        state = State(before.number + 1, before.schema, before.stamps, notes)
         self.hotspots.commit(state)
 
 

@@ -75,6 +75,37 @@ def test_aggregation_before_the_shuffle(spark, moves, plan):
     assert "partial_min" in text and "Join" not in text
 
 
+def test_fleet_at_clocks(spark, moves, plan):
+    """Every vehicle at many clocks, the one with a third of all rows most often; odd requests give nothing."""
+    clocks = [-5.0, 0.0, 589.5, 600.0, 600.5, 1319.0, 1320.0, 2000.25, 44_640.0, 1e300]
+    vehicles = sorted({row[0] for row in moves})
+    asked = [(vehicle, "2014-08", clock, n) for n, (vehicle, clock) in enumerate((v, c) for v in vehicles for c in clocks)]
+    asked += [("hot", "2014-08", 600.0, 1000 + n) for n in range(200)]
+    odd = [("nobody", "2014-08", 5.0), (None, "2014-08", 5.0), ("hot", None, 5.0), ("hot", "2014-08", None), ("hot", "2014-09", 5.0)]
+    odd = [(*row, 5000 + n) for n, row in enumerate([*odd, ("hot", "2014-08", float("nan"))])]
+    requests = spark.createDataFrame(asked + odd, "vehicle_id string, month string, clock double, request int").repartition(4)
+    df = spark.createDataFrame(moves, SCHEMA).repartition(5)
+    for bucket in (1, 60, 360, 100_000):
+        found = tracking.fleet_at_clocks(df, requests, ("datetime", "row"), bucket)
+        expected = walk(moves, [min(clock, 1e6) for clock in clocks])
+        rows = {r.request: (r.vehicle_id, r.month, r.clock, r.row) for r in found.collect()}
+        assert rows == {n: (v, m, c, expected[v, min(c, 1e6)]) for v, m, c, n in asked}
+    text = plan(found)
+    assert "NestedLoop" not in text and "Cartesian" not in text and "partial_min" in text and "Python" not in text
+
+
+def test_fleet_at_clocks_equals_fleet_at_on_odd_times(spark):
+    """Loosely written times, which sort otherwise as text; empty tables."""
+    df = spark.createDataFrame(MONTHS, SCHEMA)
+    for clock in (0, 599, 600, 1200, 30_000):
+        asked = [(v, m, float(clock)) for v in "ab" for m in ("2014-08", "2014-09")]
+        requests = spark.createDataFrame(asked, "vehicle_id string, month string, clock double")
+        found = {(r.vehicle_id, r.month): r.row for r in tracking.fleet_at_clocks(df, requests).collect()}
+        expected = {(r.vehicle_id, r.month): r.row for r in tracking.fleet_at(df, clock).collect()}
+        assert found == {key: expected[key] for key in expected if key[0] in "ab"}
+    assert tracking.fleet_at_clocks(df, requests.limit(0)).count() == tracking.fleet_at_clocks(df.limit(0), requests).count() == 0
+
+
 MONTHS = [
     ("a", "2014-08-01 10:00:00", 1), ("a", "2014-08-01 20:00:00", 2), ("a", "2014-09-01 10:00:00", 3), ("a", "2014-09-01 12:00:00", 4),
     ("b", "2014-8-1 10:00:00", 5), ("b", "2014-09-01 09:00:00", 6),
