@@ -127,8 +127,8 @@ def lang_column() -> Column:
 
 
 def chunk_texts(documents: DataFrame, longest: int = LONGEST, trigger: int = TRIGGER) -> DataFrame:
-    """The parse: (chunk, lang, is_last, n). A chunk's words are joined by single spaces; ``is_last`` tells that its piece
-    ends with it, so that all its words begin phrases, not only those before the closing window."""
+    """The parse: (chunk, lang, is_last, n, begins). A chunk's words are joined by single spaces; ``is_last`` tells that its
+    piece ends with it, so that all its words begin phrases, not only those before the closing window; ``begins`` counts them."""
     ready(documents.sparkSession)
     window = longest - 1
 
@@ -168,10 +168,13 @@ def chunk_texts(documents: DataFrame, longest: int = LONGEST, trigger: int = TRI
             packed[flat_ranges(places, sizes - 1)] = spread[flat_ranges(starts, sizes - 1)]
             found = gathered(packed, places[begins], places[final] + sizes[final] - 1, pa.string())
             langs = slab.column(1).take(pa.array(rows[begins]))
-            yield pa.RecordBatch.from_arrays([found, langs, pa.array(is_last)], names=["chunk", "lang", "is_last"])
+            counted = pa.array((np.where(is_last, final + 1, after) - begins).astype(np.int32))
+            names = ["chunk", "lang", "is_last", "begins"]
+            yield pa.RecordBatch.from_arrays([found, langs, pa.array(is_last), counted], names=names)
 
-    parsed = documents.select("text", lang_column().alias("lang")).mapInArrow(run, "chunk string, lang string, is_last boolean")
-    return parsed.groupBy("chunk", "lang", "is_last").agg(F.count("*").alias("n"))
+    schema = "chunk string, lang string, is_last boolean, begins int"
+    parsed = documents.select("text", lang_column().alias("lang")).mapInArrow(run, schema)
+    return parsed.groupBy("chunk", "lang", "is_last").agg(F.count("*").alias("n"), F.max("begins").alias("begins"))
 
 
 @dataclass
@@ -294,11 +297,9 @@ def phrase_counts(chunks: DataFrame, least: int = LEAST, longest: int = LONGEST)
     return summed.filter(F.col("f") >= least)
 
 
-def word_totals(chunks: DataFrame, longest: int = LONGEST) -> DataFrame:
+def word_totals(chunks: DataFrame) -> DataFrame:
     """(lang, n): all words of each language, each counted where it begins a phrase."""
-    words = F.length(F.regexp_replace("chunk", "[^ ]", "")) + 1
-    begins = F.when(F.col("is_last"), words).otherwise(words - (longest - 1))
-    return chunks.groupBy("lang").agg(F.sum(begins.cast("bigint") * F.col("n")).alias("n"))
+    return chunks.groupBy("lang").agg(F.sum(F.col("begins") * F.col("n")).alias("n"))
 
 
 def collocations(
@@ -361,7 +362,7 @@ def collocations(
     )
     order = Window.partitionBy("lang").orderBy(F.desc("cut.score"), F.desc("a"), "phrase")
     ranked = kept.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= best)
-    totals = word_totals(chunks, longest)  # a row a language
+    totals = word_totals(chunks)  # a row a language
     return ranked.join(totals, "lang").select(
         "lang",
         F.col("rank").cast("bigint").alias("rank"),
