@@ -2,7 +2,10 @@
 
 A text is a lattice: an edge for every vocabulary piece that matches somewhere, and an edge of byte pieces
 for a character without one. Forward Viterbi scores tell for each place the best way to it, so they are an
-exact heuristic for a backward A* search from the end, which finds segmentations best first.
+exact heuristic for a backward A* search from the end, which finds segmentations best first. Scores are whole numbers of
+2^-26, so sums are exact in any order and equal ways are equal: of these the search follows the one that is nearest to the start.
+As the heuristic is exact, a place is reached by its best rests first, and only the first N of them can belong to the N best
+segmentations; so no place is gone on from more than N times, however many equal ways a text of repeated letters or blanks has.
 
 No piece reaches over two adjacent characters that occur side by side in no piece, so the lattice falls
 apart there: the parts are segmented by themselves, each distinct one once in a worker, and the best
@@ -12,7 +15,7 @@ All N segmentations are returned: the best in full, each other one as the places
 (``full`` gives its pieces). Each is decoded: pieces decode one by one, so an alternative gives back the text just
 if the best does and what it puts in place decodes to what it replaces.
 
-The model file's pieces are ranked (it was built by merges); a piece of rank r has the score -ln(r + 2).
+The model file's pieces are ranked (it was built by merges); a piece of rank r has the score -ln(r + 2), rounded to 2^-26.
 
 Defined results: a null or empty text has no pieces, score 0 and one segmentation; text is not normalised, so that
 decoding gives back exactly what was encoded, whatever white space or rare characters it holds; of equal
@@ -25,7 +28,7 @@ import math
 import re
 import string
 from collections.abc import Iterator, Sequence
-from heapq import heappop, heappush
+from heapq import heappop, heappush, nsmallest
 from itertools import chain
 
 import numpy as np
@@ -39,6 +42,7 @@ from kerbside.llm.common import chunks, flat_ranges, ready
 MARK = "▁"  # stands for a space in the model file
 CACHED = 900_000  # distinct parts of text that a worker remembers
 BEST = 3
+EXACT = 1 << 26  # scores are whole numbers of this part: sums below 2^27 are exact in double precision
 RUN = re.compile(r" +[^ ]*")
 LETTER = re.compile("[A-Za-zÀ-ÖØ-öø-ɏ]")
 JOINED = "\x01"  # stands before a part that has no space before it; texts that hold it are cut at spaces only
@@ -60,7 +64,7 @@ class Model:
         scores = {}
         for nth in range(size):
             piece = model.id_to_piece(nth)
-            scores[nth] = -math.log(nth + 2)
+            scores[nth] = round(-math.log(nth + 2) * EXACT) / EXACT
             if model.is_byte(nth):
                 self.byte_ids[int(piece[3:5], 16)] = nth
                 self.text[nth] = bytes([int(piece[3:5], 16)])
@@ -110,13 +114,17 @@ class Model:
     def best(self, part: str, most: int) -> list[tuple[float, tuple[int, ...]]]:
         """The ``most`` best segmentations of a part, best first, as (score, ids)."""
         into, forward = self.lattice(part)
-        # Entries: what the whole path scores at best (negative), order of entry, place, score from here to the
+        # Entries: what the whole path scores at best (negative), place, order of entry, score from here to the
         # end, and the pieces after. The forward score is exact, so paths arrive at the start best first.
         entered = 0
-        heap: list = [(-forward[-1], 0, len(part), 0.0, None)]
+        heap: list = [(-forward[-1], len(part), 0, 0.0, None)]
         found = []
+        visits = bytearray(len(part) + 1) if most < 256 else [0] * (len(part) + 1)
         while heap:
-            _, _, at, behind, path = heappop(heap)
+            _, at, _, behind, path = heappop(heap)
+            if visits[at] == most:
+                continue
+            visits[at] += 1
             if at == 0:
                 ids: list[int] = []
                 while path is not None:
@@ -130,9 +138,10 @@ class Model:
                     break
                 continue
             for start, piece, score in into[at]:
-                entered += 1
-                total = behind + score
-                heappush(heap, (-(forward[start] + total), entered, start, total, (piece, path)))
+                if visits[start] < most:
+                    entered += 1
+                    total = behind + score
+                    heappush(heap, (-(forward[start] + total), start, entered, total, (piece, path)))
         return found
 
     def decode(self, ids) -> bytes:
@@ -301,11 +310,25 @@ class Segmenter:
         return [(base - loss, changes) for loss, changes in found]
 
     def _options(self, part: str, most: int) -> list[tuple[float, tuple[int, ...]]]:
-        found: list[tuple[float, tuple[int, ...]]] = [(0.0, ())]
-        for own in self.cut(self.spelled(part)):
-            joined = [(a + b, x + y) for a, x in found for b, y in self.model.best(own, most)]
-            found = sorted(joined, key=lambda x: -x[0])[:most]
-        return found
+        """The best segmentations of one part. Where it falls apart further, only the ``most`` - 1 pieces of it whose second
+        best is nearest can differ, as in ``_best``."""
+        cuts = self.cut(self.spelled(part))
+        ways = {own: self.model.best(own, most) for own in dict.fromkeys(cuts)}
+        if len(cuts) == 1:
+            return ways[cuts[0]]
+        gaps = [(ways[own][0][0] - ways[own][1][0], nth) for nth, own in enumerate(cuts) if len(ways[own]) > 1]
+        found: list[tuple[float, dict[int, tuple[int, ...]]]] = [(0.0, {})]
+        for _, nth in nsmallest(most - 1, gaps):
+            best = ways[cuts[nth]]
+            joined = [
+                (loss + best[0][0] - score, {**changes, nth: ids} if other else changes)
+                for loss, changes in found
+                for other, (score, ids) in enumerate(best)
+            ]
+            found = sorted(joined, key=lambda x: x[0])[:most]
+        base = math.fsum(ways[own][0][0] for own in cuts)
+        whole = lambda changes: chain.from_iterable(changes.get(nth) or ways[own][0][1] for nth, own in enumerate(cuts))
+        return [(base - loss, tuple(whole(changes))) for loss, changes in found]
 
     def n_best(self, text: str, most: int) -> list[tuple[float, list[int]]]:
         """The best segmentations of a text as (score, ids)."""

@@ -1,5 +1,7 @@
 """N-best segmentation against all segmentations, and exact decoding."""
 
+import time
+
 import pyarrow as pa
 import public_tokenizers
 import pytest
@@ -47,6 +49,40 @@ def test_against_all_segmentations(text):
     assert own.model.decode(ids.tolist()).decode() == text
 
 
+def k_best(text, model, most):
+    """The scores of the best segmentations, by keeping the best lists of every place."""
+    text = " " + text
+    lists = [[0.0]] + [[] for _ in text]
+    for start in range(len(text)):
+        here, single = sorted(lists[start], reverse=True)[:most], False
+        for end in range(start + 1, min(len(text), start + 16) + 1):
+            entry = model.table.get(text[start:end])
+            if entry:
+                single = single or end == start + 1
+                lists[end] += [score + entry[1] for score in here]
+        if not single:
+            bytes_ = sum(model.byte_scores[b] for b in text[start].encode())
+            lists[start + 1] += [score + bytes_ for score in here]
+    return sorted(lists[-1], reverse=True)[:most]
+
+
+@pytest.mark.parametrize("unit", ["er", " ", "banana", "ab", "a", "\n", "- ", "the", "aé漢"])
+@pytest.mark.parametrize("size", [1_000, 50_000])
+def test_repeated_text_does_not_blow_up(unit, size):
+    """Texts with more equal ways than atoms in the world, as long as a page and as a book."""
+    text = "x" + unit * (size // len(unit)) + "y"
+    own = pieces.Segmenter(pieces.segmenter(PATH).model)
+    began = time.process_time()
+    ((ids, scores, others),) = own.segment_all(pa.array([text]), 3)
+    assert time.process_time() - began < (1 if size == 1_000 else 12)
+    assert own.model.decode(ids.tolist()).decode() == text
+    ways = {tuple(ids.tolist()), *(tuple(pieces.full(ids.tolist(), changes)) for changes in others)}
+    assert len(ways) == len(scores)
+    if size == 1_000:
+        assert scores == k_best(text, own.model, 3)
+        assert own.model.best(" " + text, 7) and [s for s, _ in own.model.best(" " + text, 7)] == k_best(text, own.model, 7)
+
+
 def test_against_the_library(tmp_path):
     """A unigram model of the same pieces and scores, which the library can search itself."""
     proto = pytest.importorskip("sentencepiece.sentencepiece_model_pb2")
