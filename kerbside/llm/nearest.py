@@ -10,7 +10,8 @@ values and cut points of the keys. All vectors are indexed. Equal vectors are on
 the smallest ids that can be asked for, so a vector that fills a third of the table crowds nothing out.
 
 Defined results: vectors that are null, zero, of another length than most, or hold null or non-finite
-components take no part; rows without vec_id neither; equal rows with equal ids count once.
+components take no part; rows without vec_id neither; equal rows with equal ids count once. Of equally near
+candidates that a query meets, those with the smallest ids are kept, however many they are.
 """
 
 from __future__ import annotations
@@ -237,19 +238,24 @@ def search(
         entry = np.asarray(group["entry"])
         x = _matrix(group["vector"].chunk(0)) if group.num_rows else np.zeros((0, 1))
         candidates, queries = np.flatnonzero(~is_query), np.flatnonzero(is_query)
+        sizes = np.sqrt((x * x).sum(axis=1))
         ids, found, scores = [], [], []
         for start in range(0, len(queries), 256):
             some = queries[start : start + 256]
             if not len(candidates):
                 continue
             rough = x[some] @ x[candidates].T
-            kept = min(len(candidates), k + 2)  # itself, and one more for rounding at the edge
-            best = np.argpartition(-rough, kept - 1, axis=1)[:, :kept]
-            for q, mine in zip(some, best, strict=True):
-                chosen = candidates[mine]
+            kept = min(len(candidates), k + 1)  # the query may be one of them
+            edge = np.partition(rough, len(candidates) - kept, axis=1)[:, len(candidates) - kept]
+            # All that may be as near as the last one kept, once rounding is taken off; then exactly, ties by id.
+            slack = 4 * x.shape[1] * np.finfo(float).eps * sizes[some] * sizes[candidates].max()
+            for q, line, least in zip(some, rough, edge - slack, strict=True):
+                chosen = candidates[line >= least]
+                exact = (x[chosen] * x[q]).sum(axis=1)  # the same for a pair wherever it is met
+                order = np.lexsort((entry[chosen], -exact))[:kept]
                 ids.append(entry[q])
-                found.append(entry[chosen])
-                scores.append((x[chosen] * x[q]).sum(axis=1))  # the same for a pair wherever it is met
+                found.append(entry[chosen[order]])
+                scores.append(exact[order])
         return pa.table([pa.array(ids, pa.int64()), pa.array(found, FOUND[1].type), pa.array(scores, FOUND[2].type)], schema=FOUND)
 
     met = placed.groupBy("curve", "at", "part").applyInArrow(

@@ -84,3 +84,13 @@ def test_a_crowded_range_is_dealt_out_by_its_own_count(spark, monkeypatch):
     shares, rounds = seen[0]
     assert (shares.max(axis=1) >= 5).all() and (rounds.max(axis=1) >= 3).all()  # 300 / 60 vectors, 150 / 60 queries
     assert (shares.min(axis=1) == 1).all()
+
+
+@pytest.mark.parametrize("options", [{"ranges": 1}, {"ranges": 1, "curves": 2}])
+def test_ties_between_different_vectors_go_to_the_smaller_ids(spark, options):
+    """Vectors of zeros and ones in a single range: nothing is approximate, and most candidates tie."""
+    draw = np.random.default_rng(11)
+    distinct = {tuple(v) for v in draw.integers(0, 2, size=(400, 12)).tolist() if any(v)}
+    rows = [(int(i), [float(c) for c in v]) for i, v in zip(draw.permutation(len(distinct)), sorted(distinct))]
+    found, expected = searched(spark, rows, k=20, **options), brute_force(rows, 20, 20)
+    assert found == expected and len(expected) > 5
