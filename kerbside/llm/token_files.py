@@ -52,7 +52,8 @@ class Encoder:
     The tokenizer's pattern never joins what stands before a single space or newline to what follows, nor a
     letter to punctuation. So a text without longer white space is encoded piece by piece, and each
     distinct piece only once: many pieces, each after a newline of its own, go to the library as one text,
-    and the newline's id cuts the result. Any other text goes to the library whole.
+    and the newline's id cuts the result. Any other text goes to the library whole, and so does one that holds a special
+    token's string, such as ``<|endoftext|>``, which gets that token's id.
     """
 
     def __init__(self, path: str):
@@ -60,7 +61,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        # The library gives such a string in a text its one id; texts that hold one go to it whole.
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.special = "|".join(re.escape(token.content) for token in added)
         self.newline = self.library(["\n"])[0]
         self.forget()
 
@@ -140,6 +143,8 @@ class Encoder:
         odd = np.concatenate(([0], np.cumsum(at == 0)))
         whole = odd[ends] > odd[firsts]  # texts with a piece that cannot be encoded by itself
         whole |= np.asarray(pc.match_substring(texts, JOINED))
+        if self.special:
+            whole |= np.asarray(pc.match_substring_regex(texts, self.special))
         lengths[np.repeat(whole, ends - firsts + 1)] = 0
         sums = np.concatenate(([0], np.cumsum(lengths)))
         counts = sums[ends] - sums[firsts]

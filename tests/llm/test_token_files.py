@@ -10,6 +10,7 @@ import pytest
 from conftest import *  # noqa: F403
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from kerbside.llm import token_files
 
@@ -20,9 +21,12 @@ ODD = [
 ]
 
 
+PLAIN = Tokenizer.from_file(PATH)
+
+
 def library(texts):
-    found = token_files.encoder(PATH).tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)
-    return [e.ids for e in found]
+    """The plain call: strings of special tokens get their one id."""
+    return [e.ids for e in PLAIN.encode_batch([t or "" for t in texts], add_special_tokens=False)]
 
 
 def encoded(texts):
@@ -40,6 +44,16 @@ def test_ids_of_any_text(texts):
     assert encoded(texts) == library(texts)
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.sampled_from([*"ab' .\n-<|", "<|endoftext|>", "<|endoftext", "|>", "the"]), max_size=12).map("".join), min_size=1, max_size=4))
+def test_special_strings(texts):
+    assert encoded(texts) == library(texts)
+
+
+def test_a_special_string_is_one_id():
+    assert encoded(["a<|endoftext|>b", "<|endoftext|>", "a <|endoftext |>"])[:2] == [[64, 50256, 65], [50256]]
+
+
 def test_cache_can_overflow(monkeypatch):
     monkeypatch.setattr(token_files, "CACHED", 20)
     for seed in range(6):
