@@ -22,15 +22,17 @@ Featurizer = Callable[[str], tuple[np.ndarray, np.ndarray]]
 
 
 def sample_rows(df: DataFrame, rows: int, key: str = "doc_id") -> DataFrame:
-    """About ``rows`` rows and never more: those with the smallest digests of the key, without sorting the rest.
+    """About ``rows`` rows, those with the smallest digests of the key, without a sort; never more than a fifth above.
 
-    Rows of one key share a digest; where they are so many that the bound would be passed, those with the smallest
-    digests of their other columns stay.
+    Rows of one key share a digest. Where they are so many that the bound would be passed, the rows below it are put in
+    order of digest and content and just ``rows`` of them stay.
     """
     total = df.count()
     if total <= rows:
         return df
     near = df.filter(order_key(key) < int(LINE * (rows / total)))
+    if near.count() <= rows + rows // 5:
+        return near
     others = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
     return near.orderBy(order_key(key), others).limit(rows)
 

@@ -274,7 +274,7 @@ def fit(documents: DataFrame, labels: DataFrame) -> Fitted:
     # Several labels for one id: toxic if any says so; one row an id keeps repeated rows from multiplying.
     known = labels.filter("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = sample_rows(known.filter(fold("doc_id", FOLDS) != 0), LABEL_ROWS)
-    labelled = training.join(known, "doc_id")
+    labelled = sample_rows(training.join(known, "doc_id"), LABEL_ROWS)  # an id may stand for many rows
     terms = induce_terms(labelled)
     voters = Voters(terms)
     model = fit_label_model(vote_patterns(documents, voters))

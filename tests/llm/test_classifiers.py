@@ -109,3 +109,18 @@ def test_samples_are_bounded(spark):
     rows = spark.range(20_000).withColumnRenamed("id", "doc_id")
     assert 800 < linear.sample_rows(rows, 1000).count() < 1200
     assert linear.sample_rows(rows, 50_000).count() == 20_000
+    # One id on a third of the rows, below the cut or above it.
+    for name in range(6):
+        hot = rows.selectExpr(f"if(doc_id % 3 = 0, {name}, doc_id) as doc_id", "cast(doc_id as string) as text")
+        assert linear.sample_rows(hot, 1000).count() <= 1200
+
+
+def test_models_of_many_rows_with_one_id(labelled, spark, monkeypatch):
+    """A labelled id that stands for half of all rows is learnt from within the bound."""
+    monkeypatch.setattr(toxicity, "LABEL_ROWS", 200)
+    monkeypatch.setattr(toxicity, "FIT_ROWS", 200)
+    docs, labels, _ = labelled
+    many = docs.unionByName(docs.filter("doc_id = 1").withColumn("doc_id", toxicity.F.explode(toxicity.F.expr("sequence(1L, 600L)")) * 0 + 1))
+    seen, induce = [], toxicity.induce_terms
+    monkeypatch.setattr(toxicity, "induce_terms", lambda rows: seen.append(rows.count()) or induce(rows))
+    assert toxicity.score(many, toxicity.fit(many, labels)).count() == 1200 and seen[0] <= 240
