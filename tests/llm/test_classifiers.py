@@ -120,7 +120,7 @@ def test_models_of_many_rows_with_one_id(labelled, spark, monkeypatch):
     monkeypatch.setattr(toxicity, "LABEL_ROWS", 200)
     monkeypatch.setattr(toxicity, "FIT_ROWS", 200)
     docs, labels, _ = labelled
-    many = docs.unionByName(docs.filter("doc_id = 1").withColumn("doc_id", toxicity.F.explode(toxicity.F.expr("sequence(1L, 600L)")) * 0 + 1))
+    many = docs.unionByName(docs.filter("doc_id = 1").crossJoin(spark.range(600)).drop("id"))
     seen, induce = [], toxicity.induce_terms
     monkeypatch.setattr(toxicity, "induce_terms", lambda rows: seen.append(rows.count()) or induce(rows))
     assert toxicity.score(many, toxicity.fit(many, labels)).count() == 1200 and seen[0] <= 240
