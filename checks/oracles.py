@@ -335,6 +335,7 @@ FINAL: dict[str, str] = {
     "valid_trips": "SELECT trip_key, passengers, sub_x, sub_y, time_slot FROM cleaned",
     "clean_positions": "SELECT * FROM cleaned_positions",
     "match_spots": "SELECT event_id, vehicle_id, datetime, rn, longitude, latitude, passengers FROM matched",
+    "match_stored": "SELECT event_id, vehicle_id, datetime, rn, longitude, latitude, passengers FROM matched",
     "expand_neighbours": "SELECT * FROM offers",
     "prune_slots": "SELECT * FROM spots WHERE time_slot // 6 BETWEEN 6 AND 8 AND time_slot IN (SELECT time_slot FROM cleaned_positions)",
     "resolve_ids": "SELECT * FROM resolved",

@@ -5,6 +5,7 @@ Names and columns match ``checks.oracles``. Arrays are spread into rows so both
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from checks import fixtures
 from kerbside.functions import clock, grid
-from kerbside.operators import amplification, cleaning, matching, ranking, sampling, tracking
+from kerbside.operators import amplification, cleaning, layout, matching, ranking, sampling, tracking
 from kerbside.plans import hotspot_job, replay_job, suggestion_job, tracking_plan
 from kerbside.plans.hotspot_update import HotspotStore
 from kerbside.session import scratch_dir
@@ -26,6 +27,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 SLOT_PARTS = 18
 VEHICLE = "7"
 HEAVY = 20  # low, so that keys are split
+BUCKETS = 16
 CLOCK = 42000  # a minute late in the month: some vehicles still move, others have stopped
 
 
@@ -202,7 +204,18 @@ def suggest_odd(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def match_spots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    matched = matching.match_spots(cleaned_positions(spark, sf_dir), folded(spark, sf_dir))
+    return spread_spots(matching.match_spots(cleaned_positions(spark, sf_dir), folded(spark, sf_dir)))
+
+
+def match_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same match from two tables laid out alike, with keys so busy that they are split."""
+    names = [f"{name}_{uuid.uuid4().hex}" for name in ("positions", "offers")]
+    layout.store_positions(cleaned_positions(spark, sf_dir), names[0], BUCKETS, HEAVY)
+    layout.store_offers(spark, folded(spark, sf_dir), names[1], names[0], BUCKETS)
+    return spread_spots(layout.match_stored(spark, *names))
+
+
+def spread_spots(matched: DataFrame) -> DataFrame:
     spots = F.arrays_zip(matching.to_spots(F.col("offer_lon"), F.col("offer_lat")).alias("spots"), "weights")
     return matched.select("event_id", "vehicle_id", "datetime", F.posexplode(spots).alias("at", "spot")).select(
         "event_id",
@@ -407,6 +420,7 @@ QUERIES: dict[str, Query] = {
         clean_odd_positions,
         suggest_odd,
         match_spots,
+        match_stored,
         expand_neighbours,
         prune_slots,
         resolve_ids,

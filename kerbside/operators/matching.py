@@ -86,6 +86,16 @@ def split_heavy(positions: DataFrame, offers: DataFrame, rows: int = HEAVY_ROWS)
     return dealt, repeated.drop("shares")
 
 
+def offers_of(hotspots: DataFrame) -> DataFrame:
+    """Stored hotspots under the names that a match gives them."""
+    return hotspots.select(
+        *SPOT_KEYS,
+        F.col("longitude").alias("offer_lon"),
+        F.col("latitude").alias("offer_lat"),
+        F.col("passengers").alias("weights"),
+    )
+
+
 def match_spots(
     positions: DataFrame, hotspots: DataFrame, broadcast: str | None = None, salt: int = 1, heavy: int | None = None
 ) -> DataFrame:
@@ -101,12 +111,7 @@ def match_spots(
     """
     if broadcast not in (None, "positions", "hotspots"):
         raise ValueError(f"broadcast must be 'positions', 'hotspots' or None, not {broadcast!r}")
-    offers = hotspots.select(
-        *SPOT_KEYS,
-        F.col("longitude").alias("offer_lon"),
-        F.col("latitude").alias("offer_lat"),
-        F.col("passengers").alias("weights"),
-    )
+    offers = offers_of(hotspots)
     keys = list(SPOT_KEYS)
     if broadcast == "positions":
         positions = F.broadcast(positions)

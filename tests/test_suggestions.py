@@ -6,7 +6,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from kerbside.operators import cleaning, matching, ranking, sampling
+from kerbside.operators import cleaning, layout, matching, ranking, sampling
 from kerbside.plans import suggestion_job
 from kerbside.sources.tables import ParquetTable, write_table
 
@@ -94,6 +94,31 @@ def test_every_way_to_join_gives_the_same_rows(spark, sides):
         matching.match_spots(positions, hotspots, broadcast="both")
 
 
+def test_stored_tables_join_without_an_exchange(spark, sides, plan):
+    positions, hotspots = sides
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        layout.store_positions(positions, "laid_positions", 4, 10)
+        layout.store_offers(spark, hotspots, "laid_offers", "laid_positions", 4)
+        found = layout.match_stored(spark, "laid_positions", "laid_offers")
+        text = plan(found)
+        assert "Exchange" not in text and "SortMergeJoin" in text and "Broadcast" not in text
+        assert as_rows(found) == as_rows(matching.match_spots(positions, hotspots))
+        assert spark.read.table("laid_positions_shares").count() > 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        for name in ("laid_positions", "laid_offers", "laid_positions_shares"):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_positions_are_parsed_once(spark, sides, plan):
+    """Heavy keys are found while the positions are staged; the join reads the staged ones."""
+    positions, hotspots = sides
+    text = plan(matching.match_spots(positions, hotspots, heavy=10))
+    assert text.count("positions-") >= 1 and "split(" not in text
+
+
 def test_only_heavy_keys_are_split(spark, sides):
     positions, hotspots = sides
     offers = hotspots.select(*cleaning.SPOT_KEYS)
