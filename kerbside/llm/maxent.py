@@ -11,7 +11,7 @@ included, share a class, in which a word of count c has (c + 1) / (tokens + word
 
 Counts cover all training tokens. Training makes one pass over all training tokens in rounds: in a round every
 task starts from the same weights and follows its own gradient in small batches; the new weights are averaged
-row by row, weighted by how often a task met the row.
+row by row, weighted by how often a task met the row. The sizes of batches and of tasks do not depend on the corpus.
 
 Defined results: a null or blank text consists of the end token alone; rows without doc_id are in the training
 fold of an empty id; repeated rows count and are scored one by one; if there is no training token, counts
@@ -42,13 +42,14 @@ CLASSES = 64
 WORD_ROWS, OWN_ROWS = 4096, 3072  # of the table, for a single word; the most frequent ones have their own row
 PAIR_ROWS = 8192
 ROWS = 1 + 2 * WORD_ROWS + PAIR_ROWS
-FAN = CLASSES  # branches of a node inside a class; the two tables are equally wide
+FAN = 16  # branches of a node inside a class: more levels than with 64, but far fewer numbers a token and a row
 INNER_FEATURE = 1 << 14  # rows of the table inside the classes, for each of the three features
 INNER_ROWS = 3 * INNER_FEATURE
 INNER_SQUARES = 1.0  # a first step there is small: most of these rows are met seldom
 ROUNDS = 2
-BATCH = 4096  # tokens of one gradient step; fewer in a small corpus, so that there are as many steps
-LEAST_BATCH, STEPS = 256, 2000
+BATCH = 4096  # tokens of one gradient step; a task's first ones are smaller, see batch_sizes
+FIRST_BATCH, STEPS_A_SIZE = 256, 500
+TASK_TOKENS = 4_000_000  # that a training task goes through at least, as each sends its weights once
 RATE = 0.1
 END = " "  # the end token; no word holds a space
 FLUSH = 1_000_000  # words that a task gathers before it counts them
@@ -262,6 +263,16 @@ def raw_scores(weights: np.ndarray, rows: np.ndarray, base: np.ndarray | None =
     return line
 
 
+def batch_sizes(seen: int) -> Iterator[int]:
+    """The sizes of a task's gradient steps, the same for every corpus: small ones first, doubled every ``STEPS_A_SIZE`` steps.
+
+    ``seen`` steps have been made already.
+    """
+    while True:
+        yield min(BATCH, FIRST_BATCH << min(seen // STEPS_A_SIZE, 10))
+        seen += 1
+
+
 class Descent:
     """Gradient steps from given weights, with a step width of its own for each weight."""
 
@@ -269,6 +280,18 @@ class Descent:
         self.weights = weights.copy()
         self.squares = np.full_like(self.weights, squares)
         self.met = np.zeros(len(weights), dtype=np.int64)
+        self.steps = 0
+
+    def follow(self, rows: np.ndarray, classes: np.ndarray, base: np.ndarray | None = None, of: np.ndarray | None = None) -> None:
+        """Steps over all tokens of a batch of texts; ``base`` by node, and the nodes (``of``) of the tokens."""
+        at = 0
+        for size in batch_sizes(self.steps):
+            if at >= len(classes):
+                return
+            some = slice(at, at + size)
+            self.step(rows[some], classes[some], None if base is None else base[of[some]])
+            self.steps += 1
+            at += size
 
     def step(self, rows: np.ndarray, classes: np.ndarray, base: np.ndarray | None = None) -> None:
         error = raw_scores(self.weights, rows, base)
@@ -290,51 +313,51 @@ class Descent:
         self.weights[touched] -= np.float32(RATE) * slope / np.sqrt(squares)
 
 
-def train(encoded: DataFrame, vocab: Vocabulary, known) -> np.ndarray:
-    """The weight table: ``ROWS`` for the classes, then ``INNER_ROWS`` for the words inside them.
+def train(encoded: DataFrame, vocab: Vocabulary, known) -> tuple[np.ndarray, np.ndarray]:
+    """The weight tables for the classes and for the words inside them. ``encoded`` holds the training texts.
 
-    ``encoded`` holds the training texts.
+    A task sends its rows in pieces of ``FAN`` numbers, so that both tables go through one sum.
     """
     spark = encoded.sparkSession
-    weights = np.zeros((ROWS + INNER_ROWS, CLASSES), dtype=np.float32)
-    share = (vocab.class_tokens + 0.5) / (vocab.tokens + 0.5 * CLASSES)
-    weights[0] = np.log(share)
-    size = int(np.clip(vocab.tokens // STEPS, LEAST_BATCH, BATCH))
-    names = ["row", "n", *[f"w{c}" for c in range(CLASSES)]]
-    schema = "row int, n bigint, " + ", ".join(f"w{c} float" for c in range(CLASSES))
+    outer, inner = np.zeros((ROWS, CLASSES), dtype=np.float32), np.zeros((INNER_ROWS, FAN), dtype=np.float32)
+    outer[0] = np.log((vocab.class_tokens + 0.5) / (vocab.tokens + 0.5 * CLASSES))
+    names = ["row", "n", *[f"w{c}" for c in range(FAN)]]
+    schema = "row int, n bigint, " + ", ".join(f"w{c} float" for c in range(FAN))
+    folds = CLASSES // FAN  # pieces of a row of the first table
+    tasks = max(1, -(-vocab.tokens // (ROUNDS * TASK_TOKENS)))
     for turn in range(ROUNDS):
-        shared = spark.sparkContext.broadcast(weights)  # its size is fixed by the constants above
+        shared = spark.sparkContext.broadcast((outer, inner))  # their size is fixed by the constants above
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            vocab, descent = known.value, Descent(shared.value[:ROWS])
-            inner = Descent(shared.value[ROWS:], INNER_SQUARES)
+            vocab, (first, second) = known.value, shared.value
+            classes, words = Descent(first), Descent(second, INNER_SQUARES)
             for batch in batches:
                 flat, rows = histories(batch.column(0), vocab.size + 1)
-                classes = vocab.classes[flat]
-                for at in range(0, len(flat), size):
-                    descent.step(rows[at : at + size], classes[at : at + size])
+                classes.follow(rows, vocab.classes[flat])
                 at, nodes, branches = vocab.choices(flat)
-                rows = inner_rows(batch.column(0), vocab.size + 1, at, nodes)
-                for k in range(0, len(nodes), size):
-                    some = slice(k, k + size)
-                    inner.step(rows[some], branches[some], vocab.nodes[nodes[some]])
-            for first, part in ((0, descent), (ROWS, inner)):
-                met = np.flatnonzero(part.met)
+                words.follow(inner_rows(batch.column(0), vocab.size + 1, at, nodes), branches, vocab.nodes, nodes)
+            pieces = (
+                (0, np.repeat(classes.met, folds), classes.weights.reshape(-1, FAN)),
+                (ROWS * folds, words.met, words.weights),
+            )
+            for start, times, weights in pieces:
+                met = np.flatnonzero(times)
                 for some in (met[k : k + 8192] for k in range(0, len(met), 8192)):
-                    moved = part.weights[some] * part.met[some][:, None].astype(np.float32)
-                    columns = [pa.array(first + some, pa.int32()), pa.array(part.met[some], pa.int64()), *map(pa.array, moved.T.copy())]
+                    moved = weights[some] * times[some][:, None].astype(np.float32)
+                    columns = [pa.array((start + some).astype(np.int32)), pa.array(times[some]), *map(pa.array, moved.T.copy())]
                     yield pa.RecordBatch.from_arrays(columns, names=names)
 
-        part = encoded.filter(F.pmod(F.xxhash64("key"), F.lit(ROUNDS)) == turn).select("places")
+        part = encoded.filter(F.pmod(F.xxhash64("key"), F.lit(ROUNDS)) == turn).select("places").coalesce(tasks)
         # Sums by row need no more memory than one row, however many tasks there were.
         sums = part.mapInArrow(run, schema).groupBy("row").agg(*[F.sum(c).alias(c) for c in names[1:]]).toArrow()
         rows = np.asarray(sums["row"].combine_chunks())
-        n = np.asarray(sums["n"].combine_chunks()).astype(np.float64)
         if len(rows):
+            n = np.asarray(sums["n"].combine_chunks()).astype(np.float64)
             table = np.stack([np.asarray(sums[c].combine_chunks()) for c in names[2:]], axis=1) / n[:, None]
-            weights = weights.copy()
-            weights[rows] = table.astype(np.float32)
-    return weights
+            both = np.concatenate((outer.reshape(-1, FAN), inner))
+            both[rows] = table.astype(np.float32)
+            outer, inner = both[: ROWS * folds].reshape(ROWS, CLASSES).copy(), both[ROWS * folds :].copy()
+    return outer, inner
 
 
 def score(documents: DataFrame) -> DataFrame:
@@ -347,7 +370,7 @@ def score(documents: DataFrame) -> DataFrame:
     weights = spark.sparkContext.broadcast(train(encoded.filter(~F.col("held_out")), vocab, known))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab, table = known.value, weights.value
+        vocab, (table, inner) = known.value, weights.value
         for batch in batches:
             lists = batch.column(3)
             flat, rows = histories(lists, vocab.size + 1)
@@ -360,7 +383,7 @@ def score(documents: DataFrame) -> DataFrame:
             rows = inner_rows(lists, vocab.size + 1, token, nodes)
             for at in range(0, len(nodes), BATCH):
                 some = slice(at, at + BATCH)
-                line = class_scores(table[ROWS:], rows[some], vocab.nodes[nodes[some]])
+                line = class_scores(inner, rows[some], vocab.nodes[nodes[some]])
                 np.add.at(chosen, token[some], line[np.arange(len(line)), branches[some]])
             lengths = np.asarray(lists.value_lengths()).astype(np.int64)
             starts = lengths.cumsum() - lengths

@@ -101,6 +101,8 @@ def test_the_size_of_the_model():
     spelled = [f"w{n}{'abcdefghijklmnop'[n % 16]}{n % 7}" for n in range(299)]
     vocab = maxent.Vocabulary([*spelled, maxent.END], counts, sum(counts), 300)
     assert maxent.CLASSES == 64 and maxent.BATCH == 4096
+    sizes = [size for size, _ in zip(maxent.batch_sizes(0), range(3000))]
+    assert sizes[0] == 256 and sizes[-1] == 4096 and sizes == sorted(sizes)
     assert all((vocab.classes == place).sum() == 1 for place in range(20))
 
 
@@ -111,7 +113,7 @@ def test_words_inside_a_class_follow_the_history(monkeypatch):
     counts = list(range(6000, 1000, -1))
     vocab = maxent.Vocabulary([*spelled, maxent.END], [*counts, 50], sum(counts) + 50, 5001)
     members = np.flatnonzero(vocab.classes[:-1] == vocab.classes[100])
-    assert len(members) == 4980 and len(vocab.levels) == 3
+    assert len(members) == 4980 and len(vocab.levels) == 4
 
     def chances(weights):
         at, nodes, branches = vocab.choices(members)
@@ -140,3 +142,44 @@ def test_the_right_order_scores_better_than_a_wrong_one_with_the_same_endings(ma
     texts = {i: (right, wrong)[held.index(i) % 2] if i in set(held) else right for i in range(900)}
     found = {r.doc_id: r.score for r in maxent.score(make([(i, t, "s") for i, t in texts.items()])).collect()}
     assert min(found[i] for i in held[::2]) > max(found[i] for i in held[1::2]) + 30
+
+
+def slow_score(text, vocab, outer, inner, counts):
+    """log10 of a whole text's probability, word by word and branch by branch, from the definition."""
+    spelled = {word: place for place, word in enumerate(vocab.spelled)}
+    found = [word.decode() for word in words_of(text)] + [maxent.END]
+    places = [spelled.get(word, vocab.size) for word in found]
+    total, last, other = 0.0, vocab.size + 1, vocab.size + 1
+    for word, place in zip(found, places, strict=True):
+        pair = (last * 1_000_003 + other * 8_191 + (last >> 3)) % maxent.PAIR_ROWS
+        row = lambda p: p if p < maxent.OWN_ROWS else maxent.OWN_ROWS + (p * 40503 >> 4) % (maxent.WORD_ROWS - maxent.OWN_ROWS)
+        line = outer[0].astype(float) + outer[1 + row(last)] + outer[1 + maxent.WORD_ROWS + row(other)]
+        line = line + outer[1 + 2 * maxent.WORD_ROWS + pair]
+        total += line[vocab.classes[place]] - math.log(sum(math.exp(x) for x in line))
+        if place == vocab.size:
+            total += math.log((counts.get(word, 0) + 1) / (vocab.other_tokens + vocab.other_words + 1))
+        for node_of, branch_of in vocab.levels:
+            node = node_of[place]
+            if node >= 0:
+                rows = maxent.hashed_rows(np.array([last]), np.array([other]), np.array([node]))[0]
+                line = vocab.nodes[node].astype(float) + sum(inner[r].astype(float) for r in rows)
+                total += line[branch_of[place]] - math.log(sum(math.exp(x) for x in line if x > -math.inf))
+        last, other = place, last
+    return total / math.log(10)
+
+
+@pytest.mark.parametrize("size", [60, 1 << 18])
+def test_scores_of_whole_texts_word_by_word(make, monkeypatch, size):
+    """What the query returns, recomputed slowly with the very weights that were trained."""
+    monkeypatch.setattr(maxent, "VOCABULARY", size)
+    rows = [(i, words(i % 40, 50) + f" rare{i % 9}", "s") for i in range(150)]  # noqa: F405
+    kept, train = {}, maxent.train
+    monkeypatch.setattr(maxent, "train", lambda e, v, k: kept.setdefault("made", (v, train(e, v, k)))[1])
+    found = {r.doc_id: r.score for r in maxent.score(make(rows)).collect()}
+    vocab, (outer, inner) = kept["made"]
+    counts = Counter()
+    for i, text, _ in rows:
+        if zlib.crc32(str(i).encode()) % 7 != 2:
+            counts.update([*(word.decode() for word in words_of(text)), maxent.END])
+    for i, text, _ in rows[::15]:
+        assert found[i] == pytest.approx(slow_score(text, vocab, outer, inner, counts), rel=1e-4)
