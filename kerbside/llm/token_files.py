@@ -62,8 +62,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         # The library gives such a string in a text its one id; texts that hold one go to it whole.
-        added = self.tokenizer.get_added_tokens_decoder().values()
-        self.special = "|".join(re.escape(token.content) for token in added)
+        self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.newline = self.library(["\n"])[0]
         self.forget()
 
@@ -143,8 +142,10 @@ class Encoder:
         odd = np.concatenate(([0], np.cumsum(at == 0)))
         whole = odd[ends] > odd[firsts]  # texts with a piece that cannot be encoded by itself
         whole |= np.asarray(pc.match_substring(texts, JOINED))
-        if self.special:
-            whole |= np.asarray(pc.match_substring_regex(texts, self.special))
+        held = (texts.buffers()[2] or pa.py_buffer(b"")).to_pybytes()  # one look at all texts; next to none hold any
+        for special in self.special:
+            if special.encode() in held:
+                whole |= np.asarray(pc.match_substring(texts, special))
         lengths[np.repeat(whole, ends - firsts + 1)] = 0
         sums = np.concatenate(([0], np.cumsum(lengths)))
         counts = sums[ends] - sums[firsts]
