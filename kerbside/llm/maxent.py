@@ -2,10 +2,10 @@
 
 P(word | history) = P(class | history) * P(word | class). The class is scored by log-linear features of the history,
 hashed to rows of one weight table: the word before, the pair before, and the word before the last (skipping
-one). The word is then chosen inside its class by the same features, in a second table: members are dealt by
-falling count to the leaves of a tree with up to ``FAN`` branches a node, and every node has its own softmax over
-its branches, log(share of the node's tokens) + features of history and node. A class of up to ``FAN`` words is one
-softmax over its members; the product over a larger class's tree adds up to one over all members too. The most
+one). The word is then chosen inside its class by the same features, in a second table: members are the leaves of
+a Huffman tree with up to ``FAN`` branches a node, so that frequent words take few choices, and every node has its own
+softmax over its branches, log(share of the node's tokens) + features of history and node. A class of up to ``FAN`` words
+is one softmax over its members; the product over a larger class's tree adds up to one over all members too. The most
 frequent words have places of their own in the vocabulary that all tasks hold; all other words, unseen ones
 included, share a class, in which a word of count c has (c + 1) / (tokens + words + 1) of the class.
 
@@ -20,6 +20,7 @@ are 0 and the model is uniform.
 
 from __future__ import annotations
 
+import heapq
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -51,6 +52,7 @@ BATCH = 4096  # tokens of one gradient step; a task's first ones are smaller, se
 FIRST_BATCH, STEPS_A_SIZE = 256, 500
 TASK_TOKENS = 4_000_000  # that a training task goes through at least, as each sends its weights once
 RATE = 0.1
+LARGE = 16  # tokens of a step that share a row, from which on they are summed by themselves
 END = " "  # the end token; no word holds a space
 FLUSH = 1_000_000  # words that a task gathers before it counts them
 
@@ -130,38 +132,43 @@ class Vocabulary:
     def _grow(self) -> None:
         """The trees of the classes: on each level a word's node (-1: none) and branch, and each node's log shares.
 
-        Nodes near the leaves come first; a word in a class of its own, or without a place, has no node.
+        The first level is next to the words; a word in a class of its own, or without a place, has no node. Ties go by
+        place, words before nodes, so the same counts give the same trees.
         """
-        order = np.argsort(self.classes[:-1], kind="stable")  # places are by falling count already
-        sizes = np.bincount(self.classes[:-1], minlength=CLASSES)
-        rank = np.empty(self.size, dtype=np.int64)
-        rank[order] = np.arange(self.size) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        known = np.maximum(self.counts, 1).astype(np.float64)
-        self.levels, tables, first = [], [], 0
-        width = sizes[self.classes[:-1]]  # nodes or words of the class on the level
-        while (width > 1).any():
-            inner = np.flatnonzero(width > 1)
-            # Parent by class and rank; the numbers of the nodes are dense.
-            parents = self.classes[:-1][inner] * (self.size + 1) + rank[inner] // FAN
-            distinct, number = np.unique(parents, return_inverse=True)
-            node, branch = np.full(self.size + 1, -1), np.zeros(self.size + 1, dtype=np.int64)
-            node[inner], branch[inner] = first + number, rank[inner] % FAN
-            sums = np.bincount(number * FAN + branch[inner], weights=known[inner], minlength=len(distinct) * FAN).reshape(-1, FAN)
-            with np.errstate(divide="ignore"):
-                tables.append(np.log(sums / sums.sum(axis=1, keepdims=True)).astype(np.float32))
-            self.levels.append((node, branch))
-            first += len(distinct)
-            width, rank = -(-width // FAN), rank // FAN
-        self.nodes = np.concatenate(tables) if tables else np.zeros((0, FAN), dtype=np.float32)
+        members = np.split(*self._by_class())
+        known = np.maximum(self.counts, 1).tolist()
+        parent, branch = np.full(2 * self.size + 1, -1, dtype=np.int32), np.zeros(2 * self.size + 1, dtype=np.int32)
+        sums = []
+        for places in members:
+            heap = [(known[place], place) for place in places.tolist()]
+            heapq.heapify(heap)
+            width = (len(heap) - 2) % (FAN - 1) + 2  # of the first node, so that all others are full
+            while len(heap) > 1:
+                below = [heapq.heappop(heap) for _ in range(width)]
+                for nth, (_, child) in enumerate(below):
+                    parent[child], branch[child] = len(sums), nth
+                sums.append([n for n, _ in below] + [0] * (FAN - width))
+                heapq.heappush(heap, (sum(sums[-1]), self.size + 1 + len(sums) - 1))
+                width = FAN
+        table = np.array(sums, dtype=np.float64).reshape(-1, FAN)
+        with np.errstate(divide="ignore"):
+            self.nodes = np.log(table / table.sum(axis=1, keepdims=True)).astype(np.float32)
+        self.levels, at = [], np.arange(self.size + 1)
+        while (parent[at] >= 0).any():
+            self.levels.append((parent[at], branch[at]))
+            at = np.where(parent[at] >= 0, self.size + 1 + parent[at], self.size)  # what has no parent: like no word
+
+    def _by_class(self) -> tuple[np.ndarray, np.ndarray]:
+        """All places by class, and where the classes after the first begin."""
+        own = self.classes[:-1]
+        return np.argsort(own, kind="stable"), np.cumsum(np.bincount(own, minlength=CLASSES))[:-1]
 
     def choices(self, flat: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of tokens: which of them have a choice inside their class (as often as their trees are high), node, branch."""
-        made = []
+        """Of tokens: which of them have a choice inside their class (as often as they are deep), node, branch."""
+        made, at = [(np.zeros(0, dtype=np.int64),) * 3], np.arange(len(flat))
         for node, branch in self.levels:
-            at = np.flatnonzero(node[flat] >= 0)
+            at = at[node[flat[at]] >= 0]  # a word without a node has none further up
             made.append((at, node[flat[at]], branch[flat[at]]))
-        if not made:
-            made = [(np.zeros(0, dtype=np.int64),) * 3]
         return tuple(np.concatenate(x) for x in zip(*made, strict=True))
 
 
@@ -249,7 +256,7 @@ def hashed_rows(last: np.ndarray, other: np.ndarray, nodes: np.ndarray) -> np.nd
 def class_scores(weights: np.ndarray, rows: np.ndarray, base: np.ndarray | None = None) -> np.ndarray:
     """log P(class) for the histories with these rows; with ``base`` (of the nodes) log P(branch)."""
     line = raw_scores(weights, rows, base)
-    line -= np.log(np.exp(line).sum(axis=1, keepdims=True))
+    line -= np.log(folded(np.add, np.exp(line)))
     return line
 
 
@@ -259,10 +266,33 @@ def raw_scores(weights: np.ndarray, rows: np.ndarray, base: np.ndarray | None =
     line += weights.take(rows[:, 1], axis=0)
     line += weights.take(rows[:, 2], axis=0)
     line += weights[0] if base is None else base
-    line -= line.max(axis=1, keepdims=True)
+    line -= folded(np.maximum, line)
     return line
 
 
+def folded(join: np.ufunc, line: np.ndarray) -> np.ndarray:
+    """Sums or maxima of rows as a column, by halves: rows are short, and both widths are powers of two."""
+    while (half := line.shape[1] // 2) > 0:
+        line = join(line[:, :half], line[:, half:])
+    return line
+
+
+def sums_by_row(values: np.ndarray, at: np.ndarray, first: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """Sums of ``values[at]`` over groups that begin at ``first`` and have ``times`` members.
+
+    Large groups are summed one by one, the many small ones together, one more member of each at a time.
+    """
+    sums = values.take(at[first], axis=0)
+    for group in np.flatnonzero(times > LARGE):
+        sums[group] = values.take(at[first[group] : first[group] + times[group]], axis=0).sum(axis=0)
+    left, nth = np.flatnonzero((times > 1) & (times <= LARGE)), 1
+    while len(left):
+        sums[left] += values.take(at[first[left] + nth], axis=0)
+        nth += 1
+        left = left[times[left] > nth]
+    return sums
+
+
 def batch_sizes(seen: int) -> Iterator[int]:
     """The sizes of a task's gradient steps, the same for every corpus: small ones first, doubled every ``STEPS_A_SIZE`` steps.
 
@@ -296,21 +326,25 @@ class Descent:
     def step(self, rows: np.ndarray, classes: np.ndarray, base: np.ndarray | None = None) -> None:
         error = raw_scores(self.weights, rows, base)
         np.exp(error, out=error)
-        error /= error.sum(axis=1, keepdims=True)
+        error /= folded(np.add, error)
         error[np.arange(len(classes)), classes] -= 1
-        flat = rows.reshape(-1)
+        # Rows of either table fit in 16 bits, which are sorted by counting.
+        flat = rows.reshape(-1).astype(np.uint16)
         order = np.argsort(flat, kind="stable")
         ranked = flat[order]
         first = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1]))
-        touched, slope = ranked[first], np.add.reduceat(error.take(order // 3, axis=0), first, axis=0)
         times = np.diff(np.append(first, len(flat)))
+        touched, slope = ranked[first].astype(np.int64), sums_by_row(error, order // 3, first, times)
         if base is None:  # row 0 is every history's
             touched, times = np.append(0, touched), np.append(len(rows), times)
             slope = np.concatenate((error.sum(axis=0)[None, :], slope))
         self.met[touched] += times
-        squares = self.squares[touched] + slope * slope
+        squares = self.squares.take(touched, axis=0)
+        squares += slope * slope
         self.squares[touched] = squares
-        self.weights[touched] -= np.float32(RATE) * slope / np.sqrt(squares)
+        slope *= np.float32(RATE)
+        slope /= np.sqrt(squares, out=squares)
+        self.weights[touched] -= slope
 
 
 def train(encoded: DataFrame, vocab: Vocabulary, known) -> tuple[np.ndarray, np.ndarray]:
