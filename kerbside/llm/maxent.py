@@ -52,6 +52,7 @@ BATCH = 4096  # tokens of one gradient step; a task's first ones are smaller, se
 FIRST_BATCH, STEPS_A_SIZE = 256, 500
 TASK_TOKENS = 4_000_000  # that a training task goes through at least, as each sends its weights once
 RATE = 0.1
+LEAST_TOTAL = 1e-30  # of a softmax in single precision, whose numbers end near 1e-38 and 1e38
 LARGE = 16  # tokens of a step that share a row, from which on they are summed by themselves
 END = " "  # the end token; no word holds a space
 FLUSH = 1_000_000  # words that a task gathers before it counts them
@@ -255,41 +256,41 @@ def hashed_rows(last: np.ndarray, other: np.ndarray, nodes: np.ndarray) -> np.nd
 
 def class_scores(weights: np.ndarray, rows: np.ndarray, base: np.ndarray | None = None) -> np.ndarray:
     """log P(class) for the histories with these rows; with ``base`` (of the nodes) log P(branch)."""
-    line = raw_scores(weights, rows, base)
-    line -= np.log(folded(np.add, np.exp(line)))
+    line, _, totals = raw_scores(weights, rows, base)
+    line -= np.log(totals)[:, None]
     return line
 
 
-def raw_scores(weights: np.ndarray, rows: np.ndarray, base: np.ndarray | None = None) -> np.ndarray:
-    """Sums of the rows' weights, less the largest of each history."""
+def raw_scores(weights: np.ndarray, rows: np.ndarray, base: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sums of the rows' weights, up to one number a history, their exponentials and the sums of those."""
     line = weights.take(rows[:, 0], axis=0)
     line += weights.take(rows[:, 1], axis=0)
     line += weights.take(rows[:, 2], axis=0)
     line += weights[0] if base is None else base
-    line -= folded(np.maximum, line)
-    return line
-
-
-def folded(join: np.ufunc, line: np.ndarray) -> np.ndarray:
-    """Sums or maxima of rows as a column, by halves: rows are short, and both widths are powers of two."""
-    while (half := line.shape[1] // 2) > 0:
-        line = join(line[:, :half], line[:, half:])
-    return line
+    with np.errstate(over="ignore"):
+        raised = np.exp(line)
+        totals = np.einsum("ij->i", raised)
+    # Taking off the largest of each history costs as much as all else, and is seldom needed.
+    if len(totals) and not (totals.min() > LEAST_TOTAL and totals.max() < 1 / LEAST_TOTAL):
+        line -= line.max(axis=1, keepdims=True)
+        raised = np.exp(line)
+        totals = np.einsum("ij->i", raised)
+    return line, raised, totals
 
 
 def sums_by_row(values: np.ndarray, at: np.ndarray, first: np.ndarray, times: np.ndarray) -> np.ndarray:
-    """Sums of ``values[at]`` over groups that begin at ``first`` and have ``times`` members.
+    """Sums of ``values[at]`` over groups that begin at ``first`` and have ``times`` members, large groups first.
 
     Large groups are summed one by one, the many small ones together, one more member of each at a time.
     """
     sums = values.take(at[first], axis=0)
-    for group in np.flatnonzero(times > LARGE):
+    large = np.count_nonzero(times > LARGE)
+    for group in range(large):
         sums[group] = values.take(at[first[group] : first[group] + times[group]], axis=0).sum(axis=0)
-    left, nth = np.flatnonzero((times > 1) & (times <= LARGE)), 1
-    while len(left):
-        sums[left] += values.take(at[first[left] + nth], axis=0)
+    nth = 1
+    while (some := np.count_nonzero(times > nth)) > large:
+        sums[large:some] += values.take(at[first[large:some] + nth], axis=0)
         nth += 1
-        left = left[times[left] > nth]
     return sums
 
 
@@ -324,16 +325,17 @@ class Descent:
             at += size
 
     def step(self, rows: np.ndarray, classes: np.ndarray, base: np.ndarray | None = None) -> None:
-        error = raw_scores(self.weights, rows, base)
-        np.exp(error, out=error)
-        error /= folded(np.add, error)
+        _, error, totals = raw_scores(self.weights, rows, base)
+        error /= totals[:, None]
         error[np.arange(len(classes)), classes] -= 1
-        # Rows of either table fit in 16 bits, which are sorted by counting.
+        # Rows of either table, and three times a batch, fit in 16 bits, which are sorted by counting.
         flat = rows.reshape(-1).astype(np.uint16)
         order = np.argsort(flat, kind="stable")
         ranked = flat[order]
         first = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1]))
         times = np.diff(np.append(first, len(flat)))
+        falling = np.argsort((len(flat) - times).astype(np.uint16), kind="stable")
+        first, times = first[falling], times[falling]
         touched, slope = ranked[first].astype(np.int64), sums_by_row(error, order // 3, first, times)
         if base is None:  # row 0 is every history's
             touched, times = np.append(0, touched), np.append(len(rows), times)
@@ -344,7 +346,9 @@ class Descent:
         self.squares[touched] = squares
         slope *= np.float32(RATE)
         slope /= np.sqrt(squares, out=squares)
-        self.weights[touched] -= slope
+        weights = self.weights.take(touched, axis=0)
+        weights -= slope
+        self.weights[touched] = weights
 
 
 def train(encoded: DataFrame, vocab: Vocabulary, known) -> tuple[np.ndarray, np.ndarray]:
@@ -415,10 +419,12 @@ def score(documents: DataFrame) -> DataFrame:
                 chosen[some] = line[np.arange(len(line)), vocab.classes[flat[some]]]
             token, nodes, branches = vocab.choices(flat)
             rows = inner_rows(lists, vocab.size + 1, token, nodes)
+            inside = np.empty(len(nodes))
             for at in range(0, len(nodes), BATCH):
                 some = slice(at, at + BATCH)
                 line = class_scores(inner, rows[some], vocab.nodes[nodes[some]])
-                np.add.at(chosen, token[some], line[np.arange(len(line)), branches[some]])
+                inside[some] = line[np.arange(len(line)), branches[some]]
+            chosen += np.bincount(token, weights=inside, minlength=len(flat))
             lengths = np.asarray(lists.value_lengths()).astype(np.int64)
             starts = lengths.cumsum() - lengths
             sums = [np.add.reduceat(x, starts) for x in (chosen / np.log(10), vocab.base[flat])]
