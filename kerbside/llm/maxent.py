@@ -40,6 +40,7 @@ LONGEST = 64  # bytes of such a word
 OWN_CLASS = 20  # most frequent words that are classes of their own
 OWN_ENDINGS = 16  # most frequent word endings that are classes
 CLASSES = 64
+# All numbers of rows that hashes are cut to are powers of two: a mask is cheaper than a remainder.
 WORD_ROWS, OWN_ROWS = 4096, 3072  # of the table, for a single word; the most frequent ones have their own row
 PAIR_ROWS = 8192
 ROWS = 1 + 2 * WORD_ROWS + PAIR_ROWS
@@ -185,8 +186,22 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
 
 # Encoded texts
 
+def packed(offsets: np.ndarray, places: np.ndarray) -> pa.Array:
+    """Lists of places as binary values of four bytes a place, little-endian, which Spark stores and hands on as they are."""
+    bounds = pa.py_buffer((4 * offsets).astype(np.int64))
+    values = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offsets) - 1, [None, bounds, pa.py_buffer(places.astype("<i4"))])
+    return values.cast(pa.binary())
+
+
+def unpacked(values: pa.Array) -> pa.Array:
+    """The lists of places that ``packed`` made."""
+    joined = np.frombuffer(b"".join(values.to_pylist()), dtype="<i4")
+    lengths = np.asarray(pc.binary_length(values)).astype(np.int64) // 4
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(lengths)).astype(np.int32)), pa.array(joined))
+
+
 def encode(documents: DataFrame, known) -> DataFrame:
-    """key (unique), doc_id, held_out, places of the tokens (with the end), others (words without a place)."""
+    """key (unique), doc_id, held_out, places of the tokens (with the end, packed), others (words without a place)."""
     ready(documents.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,8 +216,8 @@ def encode(documents: DataFrame, known) -> DataFrame:
             rare = np.flatnonzero(at == vocab.size)
             ends = np.cumsum(lengths)
             # Offsets of the lists: of the places, with one end token more a text, and of the words without a place.
-            offsets = np.append(0, ends + np.arange(1, len(ends) + 1)).astype(np.int32)
-            places = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.insert(at, ends, np.int32(vocab.end))))
+            offsets = np.append(0, ends + np.arange(1, len(ends) + 1))
+            places = packed(offsets, np.insert(at, ends, np.int32(vocab.end)))
             bounds = pa.array(np.searchsorted(rare, np.append(0, ends)).astype(np.int32))
             others = pa.ListArray.from_arrays(bounds, words.take(pa.array(rare)))
             keys = pa.array(np.arange(key, key + batch.num_rows), pa.int64())
@@ -212,14 +227,14 @@ def encode(documents: DataFrame, known) -> DataFrame:
 
     kind = documents.schema["doc_id"].dataType.simpleString()
     chosen = documents.select("text", "doc_id", (fold("doc_id", FOLDS) == HELD_OUT).alias("held_out"))
-    schema = f"key bigint, doc_id {kind}, held_out boolean, places array<int>, others array<string>"
+    schema = f"key bigint, doc_id {kind}, held_out boolean, places binary, others array<string>"
     return staged(chosen.mapInArrow(run, schema), "encoded")
 
 
 # Model
 
 def word_rows(places: np.ndarray) -> np.ndarray:
-    return np.where(places < OWN_ROWS, places, OWN_ROWS + (places * 40503 >> 4) % (WORD_ROWS - OWN_ROWS))
+    return np.where(places < OWN_ROWS, places, OWN_ROWS + (places * 40503 >> 4 & WORD_ROWS - OWN_ROWS - 1))
 
 
 def histories(lists: pa.Array, before: int) -> tuple[np.ndarray, np.ndarray]:
@@ -230,7 +245,7 @@ def histories(lists: pa.Array, before: int) -> tuple[np.ndarray, np.ndarray]:
     last[1:], last[starts] = flat[:-1], before
     other = np.empty_like(last)
     other[1:], other[starts] = last[:-1], before
-    pairs = (last * 1_000_003 + other * 8_191 + (last >> 3)) % PAIR_ROWS
+    pairs = last * 1_000_003 + other * 8_191 + (last >> 3) & PAIR_ROWS - 1
     rows = np.stack((1 + word_rows(last), 1 + WORD_ROWS + word_rows(other), 1 + 2 * WORD_ROWS + pairs), axis=1)
     return flat, rows
 
@@ -249,7 +264,7 @@ def inner_rows(lists: pa.Array, before: int, at: np.ndarray, nodes: np.ndarray)
 def hashed_rows(last: np.ndarray, other: np.ndarray, nodes: np.ndarray) -> np.ndarray:
     def row(nth: int, key: np.ndarray) -> np.ndarray:
         mixed = (key * 1_000_003 + nodes) * 0x9E3779B97F4A7C1 + nth
-        return nth * INNER_FEATURE + ((mixed ^ (mixed >> 29)) >> 13) % INNER_FEATURE
+        return nth * INNER_FEATURE + ((mixed ^ (mixed >> 29)) >> 13 & INNER_FEATURE - 1)
 
     return np.stack((row(0, last), row(1, other), row(2, last * 8_191 + other)), axis=1)
 
@@ -370,10 +385,11 @@ def train(encoded: DataFrame, vocab: Vocabulary, known) -> tuple[np.ndarray, np.
             vocab, (first, second) = known.value, shared.value
             classes, words = Descent(first), Descent(second, INNER_SQUARES)
             for batch in batches:
-                flat, rows = histories(batch.column(0), vocab.size + 1)
+                lists = unpacked(batch.column(0))
+                flat, rows = histories(lists, vocab.size + 1)
                 classes.follow(rows, vocab.classes[flat])
                 at, nodes, branches = vocab.choices(flat)
-                words.follow(inner_rows(batch.column(0), vocab.size + 1, at, nodes), branches, vocab.nodes, nodes)
+                words.follow(inner_rows(lists, vocab.size + 1, at, nodes), branches, vocab.nodes, nodes)
             pieces = (
                 (0, np.repeat(classes.met, folds), classes.weights.reshape(-1, FAN)),
                 (ROWS * folds, words.met, words.weights),
@@ -410,20 +426,20 @@ def score(documents: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab, (table, inner) = known.value, weights.value
         for batch in batches:
-            lists = batch.column(3)
+            lists = unpacked(batch.column(3))
             flat, rows = histories(lists, vocab.size + 1)
             chosen = np.empty(len(flat))
             for at in range(0, len(flat), BATCH):
                 some = slice(at, at + BATCH)
-                line = class_scores(table, rows[some])
-                chosen[some] = line[np.arange(len(line)), vocab.classes[flat[some]]]
+                line, _, totals = raw_scores(table, rows[some])
+                chosen[some] = line[np.arange(len(line)), vocab.classes[flat[some]]] - np.log(totals)
             token, nodes, branches = vocab.choices(flat)
             rows = inner_rows(lists, vocab.size + 1, token, nodes)
             inside = np.empty(len(nodes))
             for at in range(0, len(nodes), BATCH):
                 some = slice(at, at + BATCH)
-                line = class_scores(inner, rows[some], vocab.nodes[nodes[some]])
-                inside[some] = line[np.arange(len(line)), branches[some]]
+                line, _, totals = raw_scores(inner, rows[some], vocab.nodes[nodes[some]])
+                inside[some] = line[np.arange(len(line)), branches[some]] - np.log(totals)
             chosen += np.bincount(token, weights=inside, minlength=len(flat))
             lengths = np.asarray(lists.value_lengths()).astype(np.int64)
             starts = lengths.cumsum() - lengths

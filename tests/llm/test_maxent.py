@@ -95,6 +95,38 @@ def test_a_step_goes_down_the_gradient():
     assert loss() < before / 2 and descent.met[0] == 20 * 500
 
 
+def test_sums_of_groups():
+    """Groups of one, a few and many members, against adding one by one."""
+    draw = np.random.default_rng(5)
+    values, rows = draw.normal(size=(400, 16)).astype(np.float32), np.minimum(draw.zipf(1.3, 400), 90)
+    order = np.argsort(rows, kind="stable")
+    _, first, times = np.unique(rows[order], return_index=True, return_counts=True)
+    falling = np.argsort(-times, kind="stable")
+    first, times = first[falling], times[falling]
+    assert times[0] > maxent.LARGE and times[-1] == 1
+    slow = np.zeros((91, 16))
+    np.add.at(slow, rows, values)
+    assert maxent.sums_by_row(values, order, first, times) == pytest.approx(slow[rows[order[first]]], abs=1e-4)
+
+
+@pytest.mark.parametrize("shift", [0.0, 300.0, -300.0])
+def test_scores_far_from_zero(shift):
+    """Sums that single precision cannot raise to the power of e are shifted first."""
+    weights = np.random.default_rng(2).normal(size=(maxent.ROWS, maxent.CLASSES)).astype(np.float32)
+    rows = np.array([[1, 5000, 9000], [2, 5001, 9001]])
+    expected = maxent.class_scores(weights, rows)
+    weights[0] += np.float32(shift)
+    found = maxent.class_scores(weights, rows)
+    assert found == pytest.approx(expected, abs=1e-3) and np.exp(found).sum(axis=1) == pytest.approx([1, 1], rel=1e-3)
+
+
+@pytest.mark.parametrize("lists", [[], [[]], [[1], [], [2, 1 << 17, 3]]])
+def test_packed_places(lists):
+    flat, offsets = np.array([n for some in lists for n in some], dtype=np.int32), np.cumsum([0, *map(len, lists)])
+    made = maxent.packed(offsets, flat)
+    assert made.type == pa.binary() and maxent.unpacked(made).to_pylist() == lists
+
+
 def test_the_size_of_the_model():
     """64 classes, 20 words of their own, a step at least every 4096 tokens, however large the corpus."""
     counts = [10**9 - n for n in range(300)]
