@@ -258,10 +258,12 @@ def scan_arcs(archives: DataFrame) -> DataFrame:
 def decide(records: DataFrame, least_bytes: int) -> DataFrame:
     """path, nth, revisits and refers_to of every record.
 
-    The largest page id of a payload is found by a combined aggregation; a payload that a third of all
-    records share meets its answer in a join whose large partitions adaptive execution splits.
+    The largest page id of a payload is found by a combined aggregation, which is stored, so that only
+    exchanges stand below the join: adaptive execution then splits the partition of a payload that a third of all
+    records share. Below an aggregation it could not.
     """
     digests = records.filter(F.col("bytes") >= least_bytes).groupBy("digest").agg(F.max("page_id").alias("last"))
+    digests = staged(digests, "payloads")
     known = digests.select(F.col("digest").alias("of"), "last", F.lit(True).alias("shared"))
     revisits = F.coalesce(F.col("shared"), F.lit(False)) & ~F.col("page_id").eqNullSafe(F.col("last"))
     return records.join(known, F.col("digest") == F.col("of"), "left").select(

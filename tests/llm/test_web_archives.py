@@ -90,3 +90,31 @@ def test_small_archives_and_no_pages(spark, monkeypatch):
     arcs = archives.write_arcs(pages, scratch_dir(spark, "arc-files"))
     assert sorted(r.records for r in arcs.collect()) == [1, 2, 2, 2, 2, 2]
     assert archives.pages_through_archives(spark.createDataFrame([], PAGES)).collect() == []
+
+
+def test_a_payload_of_most_records_is_joined_by_many_tasks(spark):
+    """Nothing but exchanges and sorts stands below the join, so that large partitions can be split; they are."""
+    records = spark.range(60_000).selectExpr(
+        "'a' AS path", "id AS nth", "id AS page_id", "IF(id % 3 > 0, 'same', concat('d', id)) AS digest", "10L AS bytes"
+    )
+    records = archives.staged(records.repartition(8), "skewed-records")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100000",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50000",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        decided = archives.decide(records, 0)
+        found = {row.nth: row.refers_to for row in decided.collect()}
+        text = decided._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    assert "isSkewJoin=true" in text or "skew=true" in text
+    last = max(n for n in range(60_000) if n % 3)
+    assert found == {n: last if n % 3 and n != last else None for n in range(60_000)}
