@@ -18,9 +18,11 @@ def one(spark, *columns):
 @pytest.mark.parametrize(
     ("text", "slot"),
     [
+        # Times whose slots must be these, the third without one.
         ("2008-05-13 15:26:35", 92),
         ("2020-07-23 06:23:15", 38),
         ("2008-05-13 15:62:35", None),
+        # Forms of a time.
         ("2008-5-3 5:6:7", 30),
         ("2013-03-10 02:30:00", 15),
         ("2013-02-30 02:30:00", None),
@@ -59,6 +61,7 @@ def cells_of(spark, lon, lat):
 
 
 def test_cell_ids(spark):
+    # A place and the ids that it must have.
     assert cells_of(spark, -60.0008, 60.0008) == (2849, 3900, 56996, 78003)
 
 
