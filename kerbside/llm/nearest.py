@@ -1,13 +1,17 @@
 """Approximate nearest neighbours on shifted space-filling curves.
 
 Each curve turns the vectors by a random rotation, keeps a few axes, shifts them, and orders all vectors
-along a Hilbert curve through those axes. An ordering is cut into ranges of keys, the partitions of Spark's
-shuffle; a query is compared with all vectors in its own range and in the ranges next to it. What the
-curves find is merged and ranked by the exact measure.
-
-The index is fitted on a bounded sample (``SAMPLE`` rows with the smallest digests): spread of the projected
-values and cut points of the keys. All vectors are indexed. Equal vectors are one entry of the index with
-the smallest ids that can be asked for, so a vector that fills a third of the table crowds nothing out.
+along a Hilbert curve through those axes. An ordering is cut by places into blocks of a constant number of
+vectors, about ``BLOCK``; a query is compared with all vectors in its own block and in the ones next to it.
+What the curves find is merged and ranked by the exact measure. So a query costs the same in a table of any
+size, and the work grows with the rows. A table of fewer rows than three blocks is compared as a whole. On vectors
+without any structure recall falls as the windows become a smaller share of the table; wider blocks or
+more curves raise it.
+
+The index is fitted on a bounded sample (``SAMPLE`` rows with the smallest digests): middle and spread of
+the projected values. All vectors are indexed. Equal vectors are one entry of the index with the smallest ids that
+can be asked for, so a vector that fills a third of the table crowds nothing out. Different vectors with the same
+key are ordered by one projection in full precision and cut into blocks like all others.
 
 Defined results: vectors that are null, zero, of another length than most, or hold null or non-finite
 components take no part; rows without vec_id neither; equal rows with equal ids count once. Of equally near
@@ -22,15 +26,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from kerbside.llm.common import order_key, ready, staged
+from kerbside.session import scratch_dir
 
-CURVES = 40
+CURVES = 12
 AXES = 8
 BITS = 6  # per axis: 48-bit keys
-RANGES = 120  # of a curve; a window of three is 2.5 % of all vectors
+BLOCK = 2_500  # vectors; a query meets three blocks of every curve, whatever the size of the table
 SAMPLE = 20_000
-GROUP = 50_000  # vectors compared in one task at once; ranges with more are dealt out further, so are their queries
 SEED = 7
 
 
@@ -64,31 +69,24 @@ def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
 
 
 class Curves:
-    """Rotations, shifts and cut points of all curves."""
+    """Rotations and shifts of all curves, and the spread of the projected values."""
 
-    def __init__(self, sample: np.ndarray, curves: int, axes: int, bits: int, ranges: int):
+    def __init__(self, sample: np.ndarray, curves: int, axes: int, bits: int):
         draw = np.random.default_rng(SEED)
         size = sample.shape[1]
         axes = min(axes, size)
-        self.bits, self.axes = bits, axes
+        self.curves, self.bits = curves, bits
         self.turns = [np.linalg.qr(draw.normal(size=(size, size)))[0][:, :axes] for _ in range(curves)]
         self.shifts = draw.random((curves, axes))
         self.spread = [np.maximum((sample @ turn).std(axis=0), 1e-12) for turn in self.turns]
         self.middle = [(sample @ turn).mean(axis=0) for turn in self.turns]
-        shares = np.arange(1, ranges) / ranges
-        self.cuts = [np.unique(np.quantile(self.keys(sample, c), shares, method="nearest")) for c in range(curves)]
 
-    def keys(self, vectors: np.ndarray, curve: int) -> np.ndarray:
+    def places(self, vectors: np.ndarray, curve: int) -> tuple[np.ndarray, np.ndarray]:
+        """Keys along the curve, and a projection that orders vectors of the same key."""
         z = (vectors @ self.turns[curve] - self.middle[curve]) / self.spread[curve]
         even = 1 / (1 + np.exp(-1.702 * np.clip(z, -30, 30)))  # close to the normal distribution's shares
         cells = ((even + self.shifts[curve]) / 2 * (1 << self.bits)).astype(np.int64)
-        return hilbert_keys(np.clip(cells, 0, (1 << self.bits) - 1), self.bits)
-
-    def ranges(self, vectors: np.ndarray, curve: int) -> np.ndarray:
-        return np.searchsorted(self.cuts[curve], self.keys(vectors, curve), side="right")
-
-    def count(self, curve: int) -> int:
-        return len(self.cuts[curve]) + 1
+        return hilbert_keys(np.clip(cells, 0, (1 << self.bits) - 1), self.bits), z[:, 0]
 
 
 def usable(vector: Column) -> Column:
@@ -130,38 +128,61 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
-def _mixed(entry: np.ndarray) -> np.ndarray:
-    """Digests of ids (0 or more), so that ids in steps, such as those that ask, are dealt out evenly."""
-    x = entry.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return (x >> np.uint64(16)).astype(np.int64)
+def _packed(matrix: np.ndarray) -> pa.Array:
+    """Each row of a matrix as bytes."""
+    matrix = np.ascontiguousarray(matrix)
+    ends = np.arange(len(matrix) + 1, dtype=np.int32) * matrix[:0].strides[0]
+    return pa.Array.from_buffers(pa.binary(), len(matrix), [None, pa.py_buffer(ends), pa.py_buffer(matrix)])
+
 
+def _unpacked(column: pa.Array, kind: str) -> np.ndarray:
+    """The rows of ``_packed`` in double precision."""
+    ends = np.frombuffer(column.buffers()[1], dtype=np.int32)[column.offset : column.offset + len(column) + 1]
+    values = np.frombuffer(column.buffers()[2], dtype=np.uint8)[ends[0] : ends[-1]].view(kind)
+    return values.reshape(len(column), -1).astype(float)
 
-def range_parts(entries: DataFrame, shared, curves: int) -> tuple[np.ndarray, np.ndarray]:
-    """By curve and range: into how many parts its vectors are dealt, and into how many its queries."""
-    width = max(shared.value.count(curve) for curve in range(curves))
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def ordered_blocks(entries: DataFrame, fitted: Curves, rows: int, block: int) -> DataFrame:
+    """curve, block, entry, asks: all entries once a curve, in blocks of about ``block`` that follow each other along it.
+
+    The orderings are range-partitioned, sorted and stored; a place in an ordering is the number of rows in
+    the files before and the row's own place in its file. Blocks are cut by places, not by keys, so their
+    size follows neither the size of the table nor how the vectors crowd.
+    """
+    spark = entries.sparkSession
+    shared = spark.sparkContext.broadcast(fitted)  # bounded by the parameters: curves, axes, length of a vector
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = shared.value
-        held, asking = (np.zeros((curves, width), dtype=np.int64) for _ in range(2))
         for batch in batches:
-            x, asks = _matrix(batch.column(0)), np.asarray(batch.column(1))
-            for curve in range(curves):
-                own = made.ranges(x, curve)
-                held[curve] += np.bincount(own, minlength=width)
-                asking[curve] += np.bincount(own[asks], minlength=width)
-        columns = [pa.array(np.arange(curves * width), pa.int32()), pa.array(held.ravel()), pa.array(asking.ravel())]
-        yield pa.RecordBatch.from_arrays(columns, names=["place", "held", "asking"])
-
-    counted = entries.select("vector", "asks").mapInArrow(count, "place int, held bigint, asking bigint")
-    held, asking = (np.zeros(curves * width, dtype=np.int64) for _ in range(2))
-    for row in counted.groupBy("place").agg(F.sum("held").alias("held"), F.sum("asking").alias("asking")).collect():
-        held[row["place"]], asking[row["place"]] = row["held"], row["asking"]
-    held, asking = held.reshape(curves, width), asking.reshape(curves, width)
-    met = asking.copy()  # queries of the range itself and of both next to it
-    met[:, 1:] += asking[:, :-1]
-    met[:, :-1] += asking[:, 1:]
-    return np.maximum(1, -(-held // GROUP)), np.maximum(1, -(-met // GROUP))
+            x = _matrix(batch.column(2))
+            for curve in range(made.curves):
+                keys, fine = made.places(x, curve)
+                columns = [pa.array(np.full(len(x), curve, dtype=np.int32)), pa.array(keys), pa.array(fine)]
+                yield pa.RecordBatch.from_arrays(
+                    [*columns, batch.column(0), batch.column(1)], names=["curve", "key", "fine", "entry", "asks"]
+                )
+
+    schema = "curve int, key bigint, fine double, entry bigint, asks boolean"
+    placed = entries.select("entry", "asks", "vector").mapInArrow(place, schema)
+    order = ("curve", "key", "fine", "entry")
+    path = scratch_dir(spark, "orderings")
+    sorted_rows = placed.repartitionByRange(*order).sortWithinPartitions(*order)
+    sorted_rows.select("curve", "entry", "asks").write.option("maxRecordsPerFile", 0).parquet(path)
+    stored = spark.read.schema("curve int, entry bigint, asks boolean").parquet(path).select(
+        "*",
+        F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1).cast("int").alias("file"),
+        F.col("_metadata.row_index").alias("at"),
+    )
+    # A row for each file and curve in it: where the curve begins in the file, and its rows in the files before.
+    pieces = stored.groupBy("curve", "file").agg(F.min("at").alias("begins"), F.count("*").alias("held"))
+    before = Window.partitionBy("curve").orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    starts = pieces.select("curve", "file", "begins", F.coalesce(F.sum("held").over(before), F.lit(0)).alias("start"))
+    blocks = max(1, rows // block)
+    nth = F.col("start") + F.col("at") - F.col("begins")
+    return stored.join(starts, ["curve", "file"]).select(
+        "curve", F.floor(nth * blocks / F.lit(rows)).cast("bigint").alias("block"), "entry", "asks"
+    )
 
 
 FOUND = pa.schema([("query", pa.int64()), ("found", pa.list_(pa.int64())), ("scores", pa.list_(pa.float64()))])
@@ -174,7 +195,7 @@ def search(
     curves: int = CURVES,
     axes: int = AXES,
     bits: int = BITS,
-    ranges: int = RANGES,
+    block: int = BLOCK,
 ) -> DataFrame:
     """query_id, rank, vec_id, score: for each row whose id is divisible by ``every`` the ``k`` nearest found.
 
@@ -186,57 +207,31 @@ def search(
     rows = entries.count()
     if rows == 0:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
-    # A range holds several times what is asked for; a small table has fewer ranges, down to a single one.
-    ranges = max(1, min(ranges, rows // (4 * (k + 1))))
     sample = entries.select("vector", order_key("entry").alias("place")).orderBy("place").limit(SAMPLE)
-    fitted = Curves(np.array([r[0] for r in sample.select("vector").collect()]), curves, axes, bits, ranges)
-    shared = spark.sparkContext.broadcast(fitted)  # bounded by the parameters: curves, length of a vector, ranges
-    # Of every range of every curve the numbers of parts of its vectors and of its queries, by its own counts.
-    dealt = spark.sparkContext.broadcast(range_parts(entries, shared, curves))  # curves x ranges numbers at most
+    fitted = Curves(np.array([r[0] for r in sample.select("vector").collect()]), curves, axes, bits)
+    placed = staged(ordered_blocks(entries, fitted, rows, max(block, k + 1)), "blocks")
+    # Vectors travel as bytes, and in the precision they came in, which loses nothing.
+    single = isinstance(embeddings.schema["embedding"].dataType.elementType, FloatType)
+    kind = "float32" if single else "float64"
 
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made, (shares, rounds) = shared.value, dealt.value
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = _matrix(batch.column(1))
-            asks = np.asarray(batch.column(2))
-            entry = np.asarray(batch.column(0))
-            for curve in range(curves):
-                own, last = made.ranges(x, curve), made.count(curve) - 1
-                # Every part of a range's vectors meets every part of its queries once.
-                mixed = _mixed(entry)
-                turns = []
-                for nth in range(int(rounds[curve, own].max(initial=1))):
-                    who = np.flatnonzero(nth < rounds[curve, own])
-                    at = own[who]
-                    turns.append((who, at, mixed[who] % shares[curve, at] * rounds[curve, at] + nth, False))
-                for step in (-1, 0, 1):
-                    asking = np.flatnonzero(asks & (own + step >= 0) & (own + step <= last))
-                    for nth in range(int(shares[curve, own[asking] + step].max(initial=0))):
-                        who = asking[nth < shares[curve, own[asking] + step]]
-                        at = own[who] + step
-                        turns.append((who, at, nth * rounds[curve, at] + mixed[who] % rounds[curve, at], True))
-                for who, at, part, query in turns:
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.full(len(who), curve, dtype=np.int32)),
-                            pa.array(at.astype(np.int32)),
-                            pa.array(part.astype(np.int64)),
-                            pa.array(np.full(len(who), query)),
-                            pa.array(entry[who]),
-                            batch.column(1).take(pa.array(who)),
-                        ],
-                        names=["curve", "at", "part", "query", "entry", "vector"],
-                    )
-
-    placed = entries.select("entry", "vector", "asks").mapInArrow(
-        place, "curve int, at int, part bigint, query boolean, entry bigint, vector array<double>"
-    )
+            columns = [batch.column(0), _packed(_matrix(batch.column(1)).astype(kind))]
+            yield pa.RecordBatch.from_arrays(columns, names=["entry", "packed"])
+
+    packed = entries.select("entry", "vector").mapInArrow(pack, "entry bigint, packed binary")
+    last = placed.groupBy("curve").agg(F.max("block").alias("last"))
+    near = F.explode(F.array(F.col("block") - 1, F.col("block"), F.col("block") + 1))
+    asked = placed.filter("asks").join(F.broadcast(last), "curve")  # a row for each curve
+    asked = asked.select("curve", near.alias("block"), "entry", F.lit(True).alias("query"), "last")
+    asked = asked.filter(F.col("block").between(0, F.col("last"))).drop("last")
+    meeting = placed.select("curve", "block", "entry", F.lit(False).alias("query")).union(asked).join(packed, "entry")
 
     def compare(group: pa.Table) -> pa.Table:
         group = group.combine_chunks()
         is_query = np.asarray(group["query"])
         entry = np.asarray(group["entry"])
-        x = _matrix(group["vector"].chunk(0)) if group.num_rows else np.zeros((0, 1))
+        x = _unpacked(group["packed"].chunk(0), kind)
         candidates, queries = np.flatnonzero(~is_query), np.flatnonzero(is_query)
         sizes = np.sqrt((x * x).sum(axis=1))
         ids, found, scores = [], [], []
@@ -258,7 +253,7 @@ def search(
                 scores.append(exact[order])
         return pa.table([pa.array(ids, pa.int64()), pa.array(found, FOUND[1].type), pa.array(scores, FOUND[2].type)], schema=FOUND)
 
-    met = placed.groupBy("curve", "at", "part").applyInArrow(
+    met = meeting.groupBy("curve", "block").applyInArrow(
         compare, "query bigint, found array<bigint>, scores array<double>"
     )
     pairs = met.select("query", F.inline(F.arrays_zip("found", "scores")))

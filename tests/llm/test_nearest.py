@@ -70,25 +70,56 @@ def test_hardly_any_rows(spark, rows):
     assert found == ({20: [(21, 4.0)]} if len(rows) == 2 else {})
 
 
-def test_a_crowded_range_is_dealt_out_by_its_own_count(spark, monkeypatch):
-    """A third of all vectors in one tight cluster: cut points cannot divide it, parts of vectors and queries do."""
-    draw = np.random.default_rng(5)
-    x = draw.normal(size=(900, 8))
-    x[:300] = 1 + draw.normal(size=(300, 8)) * 1e-6
-    rows = [(i, v.tolist()) for i, v in enumerate(x)]
-    whole = searched(spark, rows, k=5, every=2, curves=3)
-    monkeypatch.setattr(nearest, "GROUP", 60)
-    seen, count = [], nearest.range_parts
-    monkeypatch.setattr(nearest, "range_parts", lambda *a: seen.append(count(*a)) or seen[0])
-    assert searched(spark, rows, k=5, every=2, curves=3) == whole
-    shares, rounds = seen[0]
-    assert (shares.max(axis=1) >= 5).all() and (rounds.max(axis=1) >= 3).all()  # 300 / 60 vectors, 150 / 60 queries
-    assert (shares.min(axis=1) == 1).all()
+def crowded():
+    """A third of all vectors in one tight cluster, most of which share their key on every curve."""
+    x = np.random.default_rng(5).normal(size=(900, 8))
+    x[:300] = 1 + np.random.default_rng(6).normal(size=(300, 8)) * 1e-6
+    return [(i, v.tolist()) for i, v in enumerate(x)]
+
+
+def test_blocks_have_the_same_size_however_vectors_crowd(spark):
+    df = spark.createDataFrame([(i, v, 0, 1, "x") for i, v in crowded()], SCHEMA).repartition(5)
+    entries, _ = nearest.distinct_vectors(df, 5, 2)
+    x = np.array([r.vector for r in entries.collect()])
+    fitted = nearest.Curves(x, 3, 8, 6)
+    placed = nearest.ordered_blocks(entries, fitted, 900, 60).toPandas()
+    assert (placed.groupby(["curve", "block"]).size() == 60).all() and len(placed) == 2700
+    assert all(len(of.entry.unique()) == 900 for _, of in placed.groupby("curve"))
+    assert (placed.asks == (placed.entry % 2 == 0)).all()
+    # Blocks follow each other: no key of a block is larger than any of the next.
+    at = {r.entry: r.vector for r in entries.collect()}
+    for curve, of in placed.groupby("curve"):
+        of = of.assign(key=fitted.places(np.array([at[e] for e in of.entry]), curve)[0])
+        spans = of.groupby("block").key.agg(["min", "max"]).sort_index()
+        assert (spans["max"].to_numpy()[:-1] <= spans["min"].to_numpy()[1:]).all()
+
+
+def test_a_crowd_is_found_in_and_outside_of_blocks(spark):
+    rows = crowded()
+    expected = brute_force(rows, 5, 2)
+    assert searched(spark, rows, k=5, every=2, block=500) == expected  # a single block
+    found = searched(spark, rows, k=5, every=2, block=60)
+    hits = sum(len({i for i, _ in found[q]} & {i for i, _ in expected[q]}) for q in expected)
+    assert found.keys() == expected.keys() and hits / (5 * len(expected)) > 0.9
+
+
+def test_a_query_meets_three_blocks_whatever_the_size(spark):
+    """Work follows the rows: of four times the vectors, four times the pairs are compared."""
+    pairs = []
+    for rows in (600, 2400):
+        x = np.random.default_rng(3).normal(size=(rows, 8))
+        df = spark.createDataFrame([(i, v.tolist(), 0, 1, "x") for i, v in enumerate(x)], SCHEMA)
+        entries, _ = nearest.distinct_vectors(df, 5, 20)
+        placed = nearest.ordered_blocks(entries, nearest.Curves(x, 2, 8, 6), rows, 100).toPandas()
+        sizes = placed.groupby(["curve", "block"]).size()
+        asking = placed[placed.asks]
+        pairs.append(sum(sizes.get((c, b + s), 0) for c, b in zip(asking.curve, asking.block) for s in (-1, 0, 1)))
+    assert 3.5 < pairs[1] / pairs[0] < 5
 
 
-@pytest.mark.parametrize("options", [{"ranges": 1}, {"ranges": 1, "curves": 2}])
+@pytest.mark.parametrize("options", [{}, {"curves": 2}])
 def test_ties_between_different_vectors_go_to_the_smaller_ids(spark, options):
-    """Vectors of zeros and ones in a single range: nothing is approximate, and most candidates tie."""
+    """Vectors of zeros and ones in a single block: nothing is approximate, and most candidates tie."""
     draw = np.random.default_rng(11)
     distinct = {tuple(v) for v in draw.integers(0, 2, size=(400, 12)).tolist() if any(v)}
     rows = [(int(i), [float(c) for c in v]) for i, v in zip(draw.permutation(len(distinct)), sorted(distinct))]
