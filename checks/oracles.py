@@ -45,12 +45,26 @@ def leading(digest: str, digits: int) -> str:
 
 
 def draw(seed: str, rank: str) -> str:
-    """Four words to a digest: rank 1 takes the first word of digest 0, rank 5 that of digest 1."""
+    """Four words to a digest: draw 1 takes the first word of digest 0, draw 5 that of digest 1."""
     digest = f"md5(concat({seed}, ':', ({rank} - 1) // 4))"
     word = f"CAST('0x' || substr({digest}, ({rank} - 1) % 4 * 8 + 1, 8) AS BIGINT)"
     return f"(({word} + CAST(0.5 AS DOUBLE)) / CAST(4294967296 AS DOUBLE))"
 
 
+def drawn(matched: str, seed: str, keep: str, picks: int = 3) -> str:
+    """Weighted draws one by one. After each the spot drawn is taken out and the running totals are made anew."""
+    left = f"SELECT *, {seed} AS seed, CAST(least(passengers, 1099511627776) AS DOUBLE) AS weight FROM {matched}"
+    steps, found = [f"left_1 AS ({left})"], []
+    for nth in range(1, picks + 1):
+        steps.append(f"""totals_{nth} AS (
+            SELECT *, sum(weight) OVER (PARTITION BY event_id ORDER BY rn) AS ends,
+                   {draw('seed', str(nth))} * sum(weight) OVER (PARTITION BY event_id) AS falls FROM left_{nth})""")
+        steps.append(f"drawn_{nth} AS (SELECT *, {nth} AS pick_no FROM totals_{nth} WHERE ends - weight < falls AND falls <= ends)")
+        steps.append(f"left_{nth + 1} AS (SELECT * FROM left_{nth} ANTI JOIN drawn_{nth} USING (event_id, rn))")
+        found.append(f"SELECT {keep}, pick_no, longitude AS spot_lon, latitude AS spot_lat FROM drawn_{nth}")
+    return f"WITH {', '.join(steps)} {' UNION ALL '.join(found)}"
+
+
 # One number per copy, read as digits of the sizes 500, 4, 20 and 20.
 SECONDS = "(number % 500 - 250)"
 EXTRA = "(number // 500 % 4 = 3)"
@@ -152,14 +166,7 @@ PARTS: dict[str, str] = {
         SELECT p.event_id, p.vehicle_id, p.datetime, p.longitude AS vehicle_lon, p.latitude AS vehicle_lat,
                s.rn, s.longitude, s.latitude, s.passengers
         FROM cleaned_positions p JOIN spots s USING (time_slot, block_latid, block_lonid)""",
-    "picks": f"""
-        SELECT event_id, vehicle_id, datetime, vehicle_lon, vehicle_lat, CAST(pick_no AS INTEGER) AS pick_no,
-               longitude AS spot_lon, latitude AS spot_lat
-        FROM (
-          SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY draw_key, rn) AS pick_no
-          FROM (
-            SELECT *, -ln({draw('4040 + CAST(vehicle_id AS BIGINT)', 'rn')}) / passengers AS draw_key
-            FROM matched)) WHERE pick_no <= 3""",
+    "picks": drawn("matched", "4040 + CAST(vehicle_id AS BIGINT)", "event_id, vehicle_id, datetime, vehicle_lon, vehicle_lat"),
     "copied": f"""
         SELECT t.*, copy, {leading("md5(concat_ws(':', 0, copy, trip_key))", 15)} AS number,
                {moment('datetime')} AS old_start, {moment('dropoff')} AS old_end
@@ -235,13 +242,8 @@ PARTS: dict[str, str] = {
     "odd_matched": """
         SELECT p.event_id, p.vehicle_id, s.rn, s.longitude, s.latitude, s.passengers
         FROM cleaned_odd p JOIN spots s USING (time_slot, block_latid, block_lonid)""",
-    "odd_picks": f"""
-        SELECT event_id, vehicle_id, CAST(pick_no AS INTEGER) AS pick_no, longitude AS spot_lon, latitude AS spot_lat
-        FROM (
-          SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY draw_key, rn) AS pick_no
-          FROM (
-            SELECT *, -ln({draw('4040 + TRY_CAST(vehicle_id AS BIGINT)', 'rn')}) / passengers AS draw_key
-            FROM odd_matched WHERE regexp_full_match(vehicle_id, '[0-9]+'))) WHERE pick_no <= 3""",
+    "odd_drawable": "SELECT * FROM odd_matched WHERE regexp_full_match(vehicle_id, '[0-9]+')",
+    "odd_picks": drawn("odd_drawable", "4040 + CAST(vehicle_id AS BIGINT)", "event_id, vehicle_id"),
     "later_positions": f"""
         SELECT vehicle_id, longitude, latitude,
                strftime({moment('datetime')} + INTERVAL 1 MONTH - to_minutes(CAST(event_id % 50 AS BIGINT)), {STAMP}) AS datetime,

@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, Windo
 from pyspark.sql import functions as F
 
 from kerbside.operators.cleaning import SPOT_KEYS
+from kerbside.params import MOST_WEIGHT
 from kerbside.session import scratch_dir
 
-
 HEAVY_ROWS = 100_000  # positions of one slot and cell that one task takes
 MOST_HEAVY = 10_000  # keys that may be cut into shares
 TRACKED = 65_536  # keys that the summary of frequent ones follows
@@ -86,13 +86,28 @@ def split_heavy(positions: DataFrame, offers: DataFrame, rows: int = HEAVY_ROWS)
     return dealt, repeated.drop("shares")
 
 
+def draw_columns(weights: Column) -> dict[str, Column]:
+    """What draws need of a list of spots: the running ``totals`` of its weights, from 0 on, and how many are ``drawable``.
+
+    No totals if a weight is negative or missing. A weight counts up to ``MOST_WEIGHT``, so that totals are exact as doubles.
+    """
+    allowed = ~F.exists(weights, lambda weight: F.coalesce(weight, F.lit(-1)) < 0)
+
+    def add(totals: Column, weight: Column) -> Column:
+        return F.concat(totals, F.array(F.element_at(totals, -1) + F.least(weight, F.lit(MOST_WEIGHT)).cast("double")))
+
+    totals = F.when(allowed, F.aggregate(weights, F.array(F.lit(0.0)), add))
+    return {"totals": totals, "drawable": F.size(F.filter(weights, lambda weight: weight > 0))}
+
+
 def offers_of(hotspots: DataFrame) -> DataFrame:
-    """Stored hotspots under the names that a match gives them."""
+    """Stored hotspots under the names that a match gives them, with what draws need."""
     return hotspots.select(
         *SPOT_KEYS,
         F.col("longitude").alias("offer_lon"),
         F.col("latitude").alias("offer_lat"),
         F.col("passengers").alias("weights"),
+        *[column.alias(name) for name, column in draw_columns(F.col("passengers")).items()],
     )
 
 
@@ -101,7 +116,8 @@ def match_spots(
 ) -> DataFrame:
     """Every position with the spots of its slot and cell; a position without spots gives no row.
 
-    The spots stay the parallel arrays ``offer_lon``, ``offer_lat`` and ``weights`` they are stored as.
+    The spots stay the parallel arrays ``offer_lon``, ``offer_lat`` and ``weights`` they are stored as; ``totals`` and ``drawable``
+    (see ``draw_columns``) serve draws, and cost nothing where they are not selected.
 
     Neither side is broadcast unless the caller has checked its size and says which (``"positions"``
     or ``"hotspots"``). Otherwise this is a plain equi join: adaptive execution turns it into a

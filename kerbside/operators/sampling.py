@@ -1,9 +1,10 @@
 """A small weighted choice of spots for every vehicle, the same each time it is computed.
 
-Weighted sampling without replacement by exponential keys (Efraimidis and Spirakis, 2006): the k
-smallest ``-ln(u) / weight`` are the draw, in drawing order. u comes from digests of the vehicle's seed:
-the spot of rank r takes their r-th 32-bit word. A list has at most n spots, so the draw happens inside the row: no
-exchange, no window, and it runs unchanged on a stream.
+Weighted sampling without replacement by inversion: a uniform number times the weight that is left falls into the
+stretch of one spot on the running totals of the weights; the stretches of spots drawn before are stepped over.
+The totals come with the hotspot row (``matching.draw_columns``), so they are computed once a row of hotspots and not once a
+position. The uniform numbers are 32-bit words of a digest of the vehicle's seed, one a draw. The draw happens inside the
+row: no exchange, no window, and it runs unchanged on a stream.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from kerbside.functions import hashing
 from kerbside.functions.numbers import parse_int
-from kerbside.operators.matching import from_spots, match_spots
+from kerbside.operators.matching import draw_columns, match_spots
 from kerbside.operators.staging import compute_once
 from kerbside.params import MAX_SEED, PICKS, SEED_BASE
 
@@ -31,37 +32,52 @@ def random_digits(seed: Column, words: Column) -> Column:
     return F.array_join(F.transform(blocks, lambda block: hashing.digest(seed, block)), "")
 
 
-def drawable_spots(lon: Column, lat: Column, weights: Column, digits: Column) -> Column:
-    """The spots that can be drawn, each with its key. Weight 0 is never drawn."""
+def add_draw(df: DataFrame, nth: int) -> DataFrame:
+    """Adds the struct ``drawn_<nth>`` of the spot that the nth draw falls on: where its stretch begins, its weight and its place.
 
-    def with_key(weight: Column, at: Column) -> Column:
-        key = -F.ln(hashing.uniform(digits, at)) / weight
-        place = F.struct(F.get(lon, at).alias("longitude"), F.get(lat, at).alias("latitude"))
-        return F.when(weight > 0, F.struct(key.alias("key"), at.alias("at"), place.alias("spot")))
-
-    return F.filter(F.transform(weights, with_key), lambda item: item.isNotNull())
+    Null if nothing is left to draw. The whole numbers of the totals are exact as doubles.
+    """
+    drawn = [F.col(f"drawn_{before}") for before in range(nth)]
+    left = F.try_element_at("totals", F.lit(-1))
+    for spot in drawn:
+        left = left - spot["weight"]
+    df = compute_once(df, {"left_at": hashing.uniform(F.col("digits"), F.lit(nth)) * left, "before": F.sort_array(F.array(*drawn))})
+    # On the totals of what is left, every stretch before has been taken out; this puts those below back in.
+    skipped, at = F.lit(0.0), F.col("left_at")
+    for rank in range(nth):
+        spot = F.get("before", F.lit(rank))
+        at = at + F.when(F.col("left_at") > spot["begins"] - skipped, spot["weight"]).otherwise(F.lit(0.0))
+        skipped = skipped + spot["weight"]
+    df = compute_once(df, {"at": at})
+    # The place among the sorted totals, the first of which is 0: those of weight 0 are as long as a point and never met.
+    place = (F.array_position(F.sort_array(F.concat("totals", F.array("at"))), F.col("at")) - 2).cast("int")
+    df = compute_once(df, {"place": place})
+    begins, ends = F.get("totals", F.col("place")), F.get("totals", F.col("place") + 1)
+    spot = F.struct(begins.alias("begins"), (ends - begins).alias("weight"), F.col("place").alias("place"))
+    return compute_once(df, {f"drawn_{nth}": F.when(F.col("place") >= 0, spot)}).drop("left_at", "before", "at", "place")
 
 
 def suggest(matched: DataFrame, k: int = PICKS) -> DataFrame:
     """Replaces the spots and weights of a matched position by at most k spots drawn for its vehicle.
 
     No draw is possible, and both arrays stay empty, if the vehicle has no seed, a weight is negative,
-    or fewer spots than are asked for can be drawn.
+    or fewer spots than are asked for can be drawn. Weight 0 is never drawn.
     """
+    if "totals" not in matched.columns:
+        matched = compute_once(matched, draw_columns(F.col("weights")))
     seeded = compute_once(matched, {"seed": vehicle_seed(F.col("vehicle_id"))})
-    random = compute_once(seeded, {"digits": random_digits(F.col("seed"), F.size("weights"))})
-    columns = (F.col(name) for name in ("offer_lon", "offer_lat", "weights", "digits"))
-    keyed = compute_once(random, {"drawable": drawable_spots(*columns)})
-    possible = (
-        F.col("seed").isNotNull()
-        & ~F.exists("weights", lambda weight: F.coalesce(weight, F.lit(-1)) < 0)
-        & (F.size("drawable") >= F.least(F.lit(k), F.size("weights")))
-    )
-    drawn = F.slice(F.sort_array("drawable"), F.lit(1), F.when(possible, F.lit(k)).otherwise(F.lit(0)))
-    chosen = compute_once(keyed, {"drawn": drawn})
-    lon, lat = from_spots(F.col("drawn.spot"))
+    enough = F.col("drawable") >= F.least(F.lit(k), F.size("offer_lon"))
+    possible = F.col("seed").isNotNull() & F.col("totals").isNotNull() & enough
+    drawn = compute_once(seeded, {"digits": F.when(possible, random_digits(F.col("seed"), F.lit(k)))})
+    names = [f"drawn_{nth}" for nth in range(k)]
+    for nth in range(k):
+        drawn = add_draw(drawn, nth)
+    places = F.filter(F.array(*[F.col(name)["place"] for name in names]), lambda place: place.isNotNull())
+    chosen = compute_once(drawn, {"places": places})
+    lon = F.transform("places", lambda place: F.get("offer_lon", place))
+    lat = F.transform("places", lambda place: F.get("offer_lat", place))
     answered = chosen.withColumns({"spot_lon": lon, "spot_lat": lat})
-    return answered.drop("seed", "digits", "offer_lon", "offer_lat", "weights", "drawable", "drawn")
+    return answered.drop("seed", "digits", "offer_lon", "offer_lat", "weights", "totals", "drawable", "places", *names)
 
 
 def suggestions(

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 TOP_N = 10  # spots kept per cell and slot
 PICKS = 3  # spots suggested to one vehicle
 SEED_BASE = 4040  # added to the vehicle id before drawing
+MOST_WEIGHT = 2**40  # a larger weight, which only a damaged line can cause, counts as this in a draw
 MAX_SEED = 2**32 - 1  # a draw with a seed outside 0..MAX_SEED gives no suggestion
 KEY_FACTOR = 137  # message key = (row * KEY_FACTOR + column) mod KEY_MODULUS
 KEY_MODULUS = 77703

@@ -1,6 +1,8 @@
 """Matching and sampling."""
 
+import hashlib
 import math
+import random
 from collections import Counter
 
 import pytest
@@ -67,6 +69,41 @@ def test_draws_follow_the_weights(spark):
             assert abs(share - expected) < 4 * math.sqrt(expected * (1 - expected) / size)
 
 
+def slow_draws(seed, weights, k):
+    """One spot after the other; the spot drawn is taken out, and the totals of the rest are made anew."""
+    words = "".join(hashlib.md5(f"{seed}:{block}".encode()).hexdigest() for block in range(-(-k // 4)))
+    left, chosen = [(place, min(weight, 2**40)) for place, weight in enumerate(weights)], []
+    for nth in range(min(k, len(weights))):
+        at, total = (int(words[8 * nth : 8 * nth + 8], 16) + 0.5) / 2**32 * float(sum(w for _, w in left)), 0
+        for place, weight in left:
+            total += weight
+            if total >= at:
+                break
+        chosen.append(place)
+        left = [(p, w) for p, w in left if p != place]
+    return chosen
+
+
+@pytest.mark.parametrize("k", [1, 3, 7])
+def test_draws_equal_slow_ones(spark, k):
+    """Zero weights, equal ones, and weights that only a damaged line can cause."""
+    draw = random.Random(k)
+    lists = [[1], [3, 1], [5, 5, 5, 5], [0, 2, 0, 0, 9, 1, 0], [2**63 - 1] * 9, [1, 2**62, 7, 3, 2**63 - 1, 4, 5, 6]]
+    lists += [[draw.choice([0, 1, 1, 2, 50, 1000]) for _ in range(draw.randint(1, 12))] for _ in range(12)]
+    for weights in lists:
+        found = picks(matched(spark, [str(i) for i in range(20)], weights), k)
+        enough = sum(weight > 0 for weight in weights) >= min(k, len(weights))
+        assert found == {str(i): slow_draws(4040 + i, weights, k) if enough else [] for i in range(20)}
+
+
+def test_totals_come_with_the_hotspots(spark, sides, plan):
+    """Computed below the join, once a row of hotspots; and not at all where nothing is drawn."""
+    positions, hotspots = sides
+    text = plan(sampling.suggestions(positions, hotspots, broadcast="positions"))
+    assert text.count("aggregate(") == 1 and text.index("Join") < text.index("aggregate(")
+    assert "aggregate(" not in plan(matching.match_spots(positions, hotspots, broadcast="positions").select("vehicle_id", "weights"))
+
+
 @pytest.fixture(scope="module")
 def sides(spark, sf):
     from checks import fixtures
