@@ -100,14 +100,20 @@ def draw_columns(weights: Column) -> dict[str, Column]:
     return {"totals": totals, "drawable": F.size(F.filter(weights, lambda weight: weight > 0))}
 
 
+def with_draws(hotspots: DataFrame) -> DataFrame:
+    """Hotspots with ``draw_columns``. Worth keeping with hotspots that many batches are answered from."""
+    return hotspots if "totals" in hotspots.columns else hotspots.withColumns(draw_columns(F.col("passengers")))
+
+
 def offers_of(hotspots: DataFrame) -> DataFrame:
-    """Stored hotspots under the names that a match gives them, with what draws need."""
-    return hotspots.select(
+    """Stored hotspots under the names that a match gives them, with what draws need, unless they have it already."""
+    return with_draws(hotspots).select(
         *SPOT_KEYS,
         F.col("longitude").alias("offer_lon"),
         F.col("latitude").alias("offer_lat"),
         F.col("passengers").alias("weights"),
-        *[column.alias(name) for name, column in draw_columns(F.col("passengers")).items()],
+        "totals",
+        "drawable",
     )
 
 

@@ -32,6 +32,9 @@ def random_digits(seed: Column, words: Column) -> Column:
     return F.array_join(F.transform(blocks, lambda block: hashing.digest(seed, block)), "")
 
 
+STEPS = ("left_at", "before", "at", "place")  # of a draw; the next one replaces them
+
+
 def add_draw(df: DataFrame, nth: int) -> DataFrame:
     """Adds the struct ``drawn_<nth>`` of the spot that the nth draw falls on: where its stretch begins, its weight and its place.
 
@@ -41,20 +44,22 @@ def add_draw(df: DataFrame, nth: int) -> DataFrame:
     left = F.try_element_at("totals", F.lit(-1))
     for spot in drawn:
         left = left - spot["weight"]
-    df = compute_once(df, {"left_at": hashing.uniform(F.col("digits"), F.lit(nth)) * left, "before": F.sort_array(F.array(*drawn))})
+    at = hashing.uniform(F.col("digits"), F.lit(nth)) * left
+    # Each step is a projection of its own: what later steps use more than once is not computed again.
+    df = df.withColumns({"left_at": at, "before": F.sort_array(F.array(*drawn))} if nth else {"left_at": at})
     # On the totals of what is left, every stretch before has been taken out; this puts those below back in.
     skipped, at = F.lit(0.0), F.col("left_at")
     for rank in range(nth):
         spot = F.get("before", F.lit(rank))
         at = at + F.when(F.col("left_at") > spot["begins"] - skipped, spot["weight"]).otherwise(F.lit(0.0))
         skipped = skipped + spot["weight"]
-    df = compute_once(df, {"at": at})
+    df = df.withColumn("at", at)
     # The place among the sorted totals, the first of which is 0: those of weight 0 are as long as a point and never met.
     place = (F.array_position(F.sort_array(F.concat("totals", F.array("at"))), F.col("at")) - 2).cast("int")
-    df = compute_once(df, {"place": place})
+    df = df.withColumn("place", place)
     begins, ends = F.get("totals", F.col("place")), F.get("totals", F.col("place") + 1)
     spot = F.struct(begins.alias("begins"), (ends - begins).alias("weight"), F.col("place").alias("place"))
-    return compute_once(df, {f"drawn_{nth}": F.when(F.col("place") >= 0, spot)}).drop("left_at", "before", "at", "place")
+    return df.withColumn(f"drawn_{nth}", F.when(F.col("place") >= 0, spot))
 
 
 def suggest(matched: DataFrame, k: int = PICKS) -> DataFrame:
@@ -77,7 +82,7 @@ def suggest(matched: DataFrame, k: int = PICKS) -> DataFrame:
     lon = F.transform("places", lambda place: F.get("offer_lon", place))
     lat = F.transform("places", lambda place: F.get("offer_lat", place))
     answered = chosen.withColumns({"spot_lon": lon, "spot_lat": lat})
-    return answered.drop("seed", "digits", "offer_lon", "offer_lat", "weights", "totals", "drawable", "places", *names)
+    return answered.drop("seed", "digits", "offer_lon", "offer_lat", "weights", "totals", "drawable", "places", *STEPS, *names)
 
 
 def suggestions(

@@ -20,7 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from kerbside.functions.clock import part_ranges
 from kerbside.operators.cleaning import clean_positions
-from kerbside.operators.matching import HEAVY_ROWS, prune_slots
+from kerbside.operators.matching import HEAVY_ROWS, prune_slots, with_draws
 from kerbside.operators.sampling import explode_picks, suggestions
 from kerbside.params import GRID, PICKS, SLOTS, Grid, Slots
 from kerbside.sources.messages import decode_positions
@@ -33,7 +33,8 @@ BROADCAST_ROWS = 500_000
 
 
 class SlotHistory:
-    """The hotspots kept in memory in parts of neighbouring slots, each loaded when a batch first needs it.
+    """The hotspots kept in memory in parts of neighbouring slots, each loaded when a batch first needs it, with the running
+    totals that draws need.
 
     A batch touches only the parts that hold its slots. A lost block is read again from the table. The
     owner calls ``unpersist`` when the query has ended. A ``SlotStore`` may be renewed while the query runs: each batch looks for
@@ -64,7 +65,7 @@ class SlotHistory:
                 rows = self.table.read(range(low, high + 1))
             else:
                 rows = read_slots(self.spark, self.table, [(low, high)])
-            self.loaded[low, high] = rows.persist(StorageLevel.MEMORY_AND_DISK)
+            self.loaded[low, high] = with_draws(rows).persist(StorageLevel.MEMORY_AND_DISK)
         return self.loaded[low, high]
 
     def of(self, slots: list[int]) -> DataFrame:
