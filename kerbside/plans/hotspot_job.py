@@ -1,6 +1,8 @@
 """Batch job: trip text in, hotspot table out.
 
     spark-submit kerbside/plans/hotspot_job.py --input 'trips/*.csv' --output hotspots
+    spark-submit kerbside/plans/hotspot_job.py --input 'trips/*.csv' \\
+        --output jdbc:postgresql://host/fleet --table hotspots --properties connection.properties
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from kerbside.operators.cleaning import CELL_KEYS
 from kerbside.operators.ranking import hotspots
 from kerbside.params import TOP_N
 from kerbside.session import build_session
-from kerbside.sources.tables import ParquetTable, Table, write_table
+from kerbside.sources.tables import Table, add_table_options, named_table, write_table
 from kerbside.sources.text import read_lines, trips_from_lines
 
 
@@ -38,10 +40,11 @@ def run(
 def main() -> None:
     args = argparse.ArgumentParser(description=__doc__)
     args.add_argument("--input", required=True)
-    args.add_argument("--output", required=True)
+    args.add_argument("--output", required=True, help="a folder or a jdbc: address")
+    add_table_options(args)
     args.add_argument("--top", type=int, default=TOP_N)
     given = args.parse_args()
-    print(run(build_session("hotspots"), given.input, ParquetTable(given.output), given.top))
+    print(run(build_session("hotspots"), given.input, named_table(given.output, given), given.top))
 
 
 if __name__ == "__main__":

@@ -3,6 +3,8 @@
     spark-submit kerbside/plans/suggestion_job.py --hotspots hotspots --output answers --positions 'positions/*.txt'
     spark-submit kerbside/plans/suggestion_job.py --hotspots hotspots --output answers \\
         --checkpoint state --brokers host:9092 --topic positions --partitions 3
+
+The hotspots may lie in a database, too: ``--hotspots jdbc:... --table hotspots --properties connection.properties``.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from kerbside.operators.sampling import suggestions
 from kerbside.params import PICKS
 from kerbside.session import build_session
 from kerbside.sources.messages import MAX_OFFSETS_PER_TRIGGER, kafka_options, read_messages
-from kerbside.sources.tables import ParquetTable, Table, read_table
+from kerbside.sources.tables import Table, add_table_options, named_table, read_table
 from kerbside.sources.text import positions_from_lines, read_lines
 from kerbside.streaming.suggestions import load_hotspots, run_suggestions
 
@@ -41,7 +43,8 @@ def suggest_history(spark: SparkSession, positions: DataFrame, table: Table, k:
 
 def main() -> None:
     args = argparse.ArgumentParser(description=__doc__)
-    args.add_argument("--hotspots", required=True)
+    args.add_argument("--hotspots", required=True, help="a folder or a jdbc: address")
+    add_table_options(args)
     args.add_argument("--output", required=True)
     args.add_argument("--positions", help="stored position text; without it the stream is answered")
     for name in ("checkpoint", "brokers", "topic"):
@@ -51,10 +54,11 @@ def main() -> None:
     args.add_argument("--picks", type=int, default=PICKS)
     args.add_argument("--max-offsets", type=int, default=MAX_OFFSETS_PER_TRIGGER, help="messages of one micro-batch")
     given = args.parse_args()
+    table = named_table(given.hotspots, given)
     spark = build_session("suggestions")
     if given.positions:
         positions = positions_from_lines(read_lines(spark, given.positions))
-        answers = suggest_history(spark, positions, ParquetTable(given.hotspots), given.picks)
+        answers = suggest_history(spark, positions, table, given.picks)
         answers.write.mode("overwrite").parquet(given.output)
         return
     missing = [name for name in ("checkpoint", "brokers", "topic", "partitions") if getattr(given, name) is None]
@@ -62,7 +66,7 @@ def main() -> None:
         args.error(f"the stream also needs {', '.join(missing)}")
     options = kafka_options(given.brokers, given.topic, given.partitions, given.start_offset, given.max_offsets)
     messages = read_messages(spark, "kafka", options)
-    hotspots = load_hotspots(spark, ParquetTable(given.hotspots))
+    hotspots = load_hotspots(spark, table)
     run_suggestions(messages, hotspots, given.output, given.checkpoint, given.picks).awaitTermination()
 
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from argparse import ArgumentParser, Namespace
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +32,23 @@ class JdbcTable:
 Table = ParquetTable | JdbcTable
 
 
+def add_table_options(args: ArgumentParser) -> None:
+    """Options that name a table of a database, for an argument that is a path or a ``jdbc:`` address."""
+    args.add_argument("--table", help="with a jdbc: address, the table of hotspots there")
+    args.add_argument("--properties", help="file of key=value lines for the connection: user, password, driver, fetchsize")
+
+
+def named_table(place: str, given: Namespace) -> Table:
+    """The table that a command line names by a path or a ``jdbc:`` address. Passwords come from a file only."""
+    if not place.startswith("jdbc:"):
+        return ParquetTable(place)
+    if not given.table:
+        raise SystemExit("a jdbc: address also needs --table")
+    lines = Path(given.properties).read_text().splitlines() if given.properties else []
+    pairs = (line.split("=", 1) for line in lines if "=" in line and not line.lstrip().startswith("#"))
+    return JdbcTable(place, given.table, {key.strip(): value.strip() for key, value in pairs})
+
+
 def cluster_by(df: DataFrame, partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()) -> DataFrame:
     """Lays rows out so that later look-ups read little, ready for a ``partitionBy`` write.
 

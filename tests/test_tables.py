@@ -1,9 +1,13 @@
 """Stored tables and their layout."""
 
+import argparse
 import re
 from pathlib import Path
 
+import pytest
+
 from kerbside.operators import ranking
+from kerbside.sources import tables
 from kerbside.sources.tables import JdbcTable, ParquetTable, cluster_by, read_slots, read_table, slot_predicates, write_table
 
 
@@ -47,3 +51,18 @@ def test_clustering_brings_keys_together(spark, plan):
 def test_slot_counts(spark):
     found = {r.time_slot: r.row_count for r in ranking.slot_counts(slots(spark)).collect()}
     assert found == {slot: 5 for slot in range(144)}
+
+
+def test_command_lines_name_folders_and_databases(tmp_path):
+    """Only the options are tested; there is no database here."""
+    parser = argparse.ArgumentParser()
+    tables.add_table_options(parser)
+    assert tables.named_table("/shared/hotspots", parser.parse_args([])) == tables.ParquetTable("/shared/hotspots")
+    file = tmp_path / "connection.properties"
+    file.write_text("# fleet\nuser = me\npassword=a=b\n\nfetchsize=1000\n")
+    given = parser.parse_args(["--table", "hotspots", "--properties", str(file)])
+    found = tables.named_table("jdbc:postgresql://host/fleet", given)
+    assert found == tables.JdbcTable("jdbc:postgresql://host/fleet", "hotspots", {"user": "me", "password": "a=b", "fetchsize": "1000"})
+    assert tables.named_table("jdbc:x", parser.parse_args(["--table", "t"])).properties == {}
+    with pytest.raises(SystemExit):
+        tables.named_table("jdbc:x", parser.parse_args([]))
