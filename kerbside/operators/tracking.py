@@ -196,39 +196,44 @@ def fleet_at_clocks(
     parts of it allowed) and any other columns; each of its rows comes back with the row shown then. A vehicle
     without rows in the month gives none, and neither does a request without a vehicle, month or clock.
 
-    Positions are reduced to the earliest and latest of each minute, partly before the shuffle, and requests to distinct
-    minutes. The two go side by side through a window over ``bucket`` minutes, which finds what comes next inside them;
-    what comes after a bucket, and the last row of all, is told by one summary row per bucket, linked by a second
-    window. So the longest history is many tasks, and no join compares a request with positions.
+    Requests are reduced to distinct minutes. Positions are reduced, partly before the shuffle, once to the earliest and latest
+    of each ``bucket`` minutes and once to the earliest of each minute. A first window, over a vehicle and month, takes the
+    requests past the buckets: it finds what comes after a request's own bucket and the last row of all, and leaves out requests
+    that have no rows. A second, over one bucket, takes them past its minutes. So the longest history is many tasks, no join
+    compares a request with positions, and each reduction is alone in its stage: none waits in memory for a second one.
     """
     clock_at = F.col("clock").cast("double")
     inside = F.greatest(F.least(clock_at, F.lit(MONTH_MINUTES + 1.0)), F.lit(-1.0))
     asked = requests.withColumn("asked minute", F.when(clock_at.isNotNull() & ~F.isnan(clock_at), F.ceil(inside).cast("int")))
     distinct = asked.select("vehicle_id", "month", F.col("asked minute").alias("minute")).dropna().distinct()
-    reduced = minutes(df, order)
+    bucket_at = F.floor(F.col("minute") / F.lit(float(bucket))).cast("int").alias("bucket")
+    timed = with_minute(df)
+    here = record(timed, order)
+    buckets = timed.groupBy("vehicle_id", "month", bucket_at).agg(F.min(here).alias("early"), F.max(here).alias("late"))
+    absent = F.lit(None).cast(buckets.schema["early"].dataType)
+
+    asking = distinct.select("vehicle_id", "month", bucket_at, "minute", absent.alias("early"), absent.alias("late"))
+    line = buckets.withColumn("minute", F.lit(None).cast("int")).unionByName(asking)
+    # Both windows run backwards: the first with later buckets only, the second with all rows of the request's own minute.
+    back = Window.partitionBy("vehicle_id", "month").orderBy(F.desc("bucket"))
+    later = F.min("early").over(back.rangeBetween(Window.unboundedPreceding, -1))
+    last = F.max("late").over(back.rangeBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    passed = line.select("vehicle_id", "month", "bucket", "minute", absent.alias("early"), later.alias("later"), last.alias("last"))
+    passed = passed.filter(F.col("minute").isNotNull() & F.col("last").isNotNull())
+
     # Only vehicles and months somebody asks for. An inner join with distinct keys, as in keep_vehicles.
     pairs = distinct.select(F.col("vehicle_id").alias("wanted_id"), F.col("month").alias("wanted_month")).distinct()
     same = (F.col("vehicle_id") == F.col("wanted_id")) & (F.col("month") == F.col("wanted_month"))
-    records = reduced.join(pairs, same).select("vehicle_id", "month", "minute", "early", "late", F.lit(False).alias("asks"))
-    absent = F.lit(None).cast(records.schema["early"].dataType)
-    asking = distinct.select("vehicle_id", "month", "minute", absent.alias("early"), absent.alias("late"), F.lit(True).alias("asks"))
-    line = records.unionByName(asking).withColumn("bucket", F.floor(F.col("minute") / F.lit(float(bucket))).cast("int"))
-
-    summary = line.groupBy("vehicle_id", "month", "bucket").agg(F.min("early").alias("early"), F.max("late").alias("late"))
-    whole = Window.partitionBy("vehicle_id", "month")
-    later = whole.orderBy("bucket").rowsBetween(1, Window.unboundedFollowing)
-    summary = summary.select(
-        "vehicle_id", "month", "bucket", F.min("early").over(later).alias("later"), F.max("late").over(whole).alias("last")
+    records = minutes(df, order).join(pairs, same).select(
+        "vehicle_id", "month", bucket_at, "minute", "early", absent.alias("later"), absent.alias("last")
     )
-    # Running backwards, with all rows of the request's own minute.
     ahead = Window.partitionBy("vehicle_id", "month", "bucket").orderBy(F.desc("minute"))
     ahead = ahead.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    found = line.withColumn("ahead", F.min("early").over(ahead)).filter("asks")
-    shown = F.coalesce(F.least("ahead", "later"), "ahead", "later", "last")
-    answers = found.join(summary, ["vehicle_id", "month", "bucket"]).select(
+    found = records.unionByName(passed).withColumn("ahead", F.min("early").over(ahead)).filter(F.col("last").isNotNull())
+    shown = F.coalesce(F.least("ahead", "later"), "last")
+    answers = found.select(
         F.col("vehicle_id").alias("asked vehicle"), F.col("month").alias("asked month"), "minute", shown.alias("shown")
     )
-    answers = answers.filter(F.col("shown").isNotNull())
     rows = (
         (F.col("vehicle_id") == F.col("asked vehicle"))
         & (F.col("month") == F.col("asked month"))

@@ -106,6 +106,43 @@ def test_fleet_at_clocks_equals_fleet_at_on_odd_times(spark):
     assert tracking.fleet_at_clocks(df, requests.limit(0)).count() == tracking.fleet_at_clocks(df.limit(0), requests).count() == 0
 
 
+def most_reductions(node):
+    """The largest number of aggregations that lie one behind the other in a stage at or below a node of a plan, and in its own stage."""
+    children = [node.children().apply(n) for n in range(node.children().size())]
+    below = [(most_reductions(child), "Exchange" in child.nodeName()) for child in children]
+    own = max((here for (_, here), shuffled in below if not shuffled), default=0) + ("Aggregate" in node.nodeName())
+    return max([own, *(most for (most, _), _ in below)]), own
+
+
+def test_fleet_at_clocks_reduces_once_a_stage(spark, moves):
+    """Distinct requests used to stay in memory while they were sorted for a second reduction of the same stage."""
+    requests = spark.createDataFrame([("hot", "2014-08", 600.0)], "vehicle_id string, month string, clock double").repartition(4)
+    df = spark.createDataFrame(moves, SCHEMA).repartition(5)
+    before = {key: spark.conf.get(key) for key in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = tracking.fleet_at_clocks(df, requests, ("datetime", "row"))
+        assert most_reductions(found._jdf.queryExecution().executedPlan())[0] == 1
+        assert [r.row for r in found.collect()] == [walk(moves, [600])["hot", 600]]
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def test_fleet_at_clocks_in_and_around_empty_buckets(spark):
+    """Requests in buckets without rows, before, between and behind those with rows; rows and requests of nobody."""
+    moves = [("a", "2014-08-01 00:30:00", 1), ("a", "2014-08-01 12:10:00", 2), ("a", "2014-08-01 12:10:30", 3), ("a", "2014-08-03 10:00:00", 4)]
+    moves += [("b", "2014-08-02 05:00:00", 5), (None, "2014-08-01 00:00:00", 6), ("a", "2014-08-01 25:00:00", 7), ("c", "2014-08-01 00:00:00", 8)]
+    asked = [(v, "2014-08", float(clock)) for v in ("a", "b", "nobody") for clock in range(-10, 4500, 45)]
+    requests = spark.createDataFrame([*asked, (None, "2014-08", 0.0)], "vehicle_id string, month string, clock double").repartition(3)
+    df = spark.createDataFrame(moves, "vehicle_id string, datetime string, bucket int").repartition(2)
+    expected = walk([row for row in moves if row[0] in ("a", "b") and row[2] != 7], [float(clock) for clock in range(-10, 4500, 45)])
+    for bucket in (7, 360, 720):
+        found = tracking.fleet_at_clocks(df, requests, ("datetime", "bucket"), bucket).collect()
+        assert len(found) == len(expected) and {(r.vehicle_id, r.clock): r.bucket for r in found} == expected
+
+
 MONTHS = [
     ("a", "2014-08-01 10:00:00", 1), ("a", "2014-08-01 20:00:00", 2), ("a", "2014-09-01 10:00:00", 3), ("a", "2014-09-01 12:00:00", 4),
     ("b", "2014-8-1 10:00:00", 5), ("b", "2014-09-01 09:00:00", 6),
